@@ -15,6 +15,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tape.operators import bars, book as book_ops, checks, marts, quality, staging
+from tape.plans import reports
 from tape.schemas import QUOTE_FLAGS, SIDES, TRADE_FLAGS
 from tape.sources import fixtures as fx
 
@@ -242,6 +243,100 @@ def q_chk_vwap_range(spark, sf):
     return checks.vwap_out_of_range(daily(spark, sf))
 
 
+# --- reports ------------------------------------------------------------------------
+START, END = "2024-01-03 00:00:00", "2024-01-28 23:59:59"
+SYMS = ["click_0", "click_1", "view_2", "purchase_3", "error_4", "signup_0"]
+ONE = "click_2"
+
+
+def _vwap(spark, sf):
+    return bars.vwap_bars(trades(spark, sf), tie=TIE)
+
+
+def _spread(spark, sf):
+    return bars.spread_stats(quotes(spark, sf))
+
+
+def _profile(spark, sf):
+    return bars.volume_profile(trades(spark, sf))
+
+
+def q_rep_vwap_series(spark, sf):
+    return reports.vwap_series(_vwap(spark, sf), START, END, SYMS)
+
+
+def q_rep_volume_by_symbol(spark, sf):
+    return reports.volume_by_symbol(_vwap(spark, sf), START, END)
+
+
+def q_rep_spread_heatmap(spark, sf):
+    return reports.spread_heatmap(_spread(spark, sf), START, END, SYMS)
+
+
+def q_rep_volume_time_of_day(spark, sf):
+    return reports.volume_by_time_of_day(_profile(spark, sf), START, END, SYMS)
+
+
+def q_rep_daily_table(spark, sf):
+    return reports.daily_summary_table(daily(spark, sf), START, END, SYMS)
+
+
+def q_rep_tick_chart(spark, sf):
+    return reports.tick_chart(raw_trades(spark, sf), ONE, START, END)
+
+
+def q_rep_ohlc(spark, sf):
+    return reports.ohlc(_vwap(spark, sf), ONE, START, END)
+
+
+def q_rep_spread_evolution(spark, sf):
+    return reports.spread_evolution(_spread(spark, sf), ONE, START, END)
+
+
+def q_rep_volume_buckets(spark, sf):
+    return reports.volume_by_bucket(_profile(spark, sf), ONE, START, END)
+
+
+def q_rep_size_histogram(spark, sf):
+    return reports.trade_size_histogram(raw_trades(spark, sf), ONE, START, END, width=10)
+
+
+def q_rep_daily_stats(spark, sf):
+    return reports.daily_stats(daily(spark, sf), ONE)
+
+
+def q_rep_symbol_issues(spark, sf):
+    return reports.symbol_issues(issue_log(spark, sf), ONE, START, END, k=100)
+
+
+def q_rep_issues_over_time(spark, sf):
+    return reports.issues_over_time(issue_log(spark, sf), START, END, SYMS, time_col="event_time")
+
+
+def q_rep_issue_types(spark, sf):
+    return reports.issue_count_by_type(issue_log(spark, sf), START, END, SYMS, time_col="event_time")
+
+
+def q_rep_issues_by_symbol(spark, sf):
+    return reports.issues_by_symbol(issue_log(spark, sf), START, END, k=50, time_col="event_time")
+
+
+def q_rep_severity(spark, sf):
+    return reports.severity_breakdown(issue_log(spark, sf), START, END, time_col="event_time")
+
+
+def q_rep_quality_rate(spark, sf):
+    return reports.quality_rate(issue_log(spark, sf), raw_trades(spark, sf), raw_quotes(spark, sf))
+
+
+def q_rep_recent_issues(spark, sf):
+    return reports.recent_issues(issue_log(spark, sf), START, END, SYMS, k=200, time_col="event_time")
+
+
+def q_rep_symbols(spark, sf):
+    return reports.symbol_options(raw_trades(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "stg_trades": q_stg_trades,
     "stg_quotes": q_stg_quotes,
@@ -276,4 +371,23 @@ QUERIES: dict[str, Query] = {
     "chk_dup_quotes": q_chk_dup_quotes,
     "chk_future": q_chk_future,
     "chk_vwap_range": q_chk_vwap_range,
+    "rep_vwap_series": q_rep_vwap_series,
+    "rep_volume_by_symbol": q_rep_volume_by_symbol,
+    "rep_spread_heatmap": q_rep_spread_heatmap,
+    "rep_volume_time_of_day": q_rep_volume_time_of_day,
+    "rep_daily_table": q_rep_daily_table,
+    "rep_tick_chart": q_rep_tick_chart,
+    "rep_ohlc": q_rep_ohlc,
+    "rep_spread_evolution": q_rep_spread_evolution,
+    "rep_volume_buckets": q_rep_volume_buckets,
+    "rep_size_histogram": q_rep_size_histogram,
+    "rep_daily_stats": q_rep_daily_stats,
+    "rep_symbol_issues": q_rep_symbol_issues,
+    "rep_issues_over_time": q_rep_issues_over_time,
+    "rep_issue_types": q_rep_issue_types,
+    "rep_issues_by_symbol": q_rep_issues_by_symbol,
+    "rep_severity": q_rep_severity,
+    "rep_quality_rate": q_rep_quality_rate,
+    "rep_recent_issues": q_rep_recent_issues,
+    "rep_symbols": q_rep_symbols,
 }
