@@ -96,10 +96,16 @@ def _day(v):
     return v
 
 
+def weekdays(start, end) -> Column:
+    """The Monday–Friday dates from ``start`` to ``end`` (inclusive) as an array."""
+    days = F.sequence(col(start), col(end), F.expr("INTERVAL 1 DAY"))
+    return F.filter(days, lambda d: F.weekday(d) < 5)
+
+
 def session_bounds(day) -> tuple[Column, Column]:
-    """Market open and close of a date column (UTC)."""
+    """Market open and close of a date column (UTC wall clock)."""
     from tape.schemas import SESSION_CLOSE, SESSION_OPEN
-    d = F.to_timestamp(col(day))
+    d = col(day).cast("timestamp_ntz")
     o = d + F.make_dt_interval(F.lit(0), F.lit(SESSION_OPEN[0]), F.lit(SESSION_OPEN[1]))
     c = d + F.make_dt_interval(F.lit(0), F.lit(SESSION_CLOSE[0]), F.lit(SESSION_CLOSE[1]))
     return o, c

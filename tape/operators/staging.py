@@ -70,3 +70,13 @@ def stg_order_book(snapshots: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
                   B.levels("ask", "ask_prices", "ask_sizes"))
     return s.select("symbol", "timestamp", "snap_date", F.inline(lv),
                     "mid_price", "weighted_mid", "book_imbalance", "has_quality_issue", *keep)
+
+
+def trading_days(ticks: DataFrame, ts: str = "timestamp") -> DataFrame:
+    """The weekday calendar spanning the data, with session bounds.
+    One global min/max aggregate, then a generated sequence (tiny)."""
+    from tape.functions.time import session_bounds, weekdays
+    span = ticks.agg(F.min(to_date(ts)).alias("_a"), F.max(to_date(ts)).alias("_b"))
+    days = span.select(F.explode(weekdays("_a", "_b")).alias("trade_date"))
+    o, c = session_bounds("trade_date")
+    return days.select("trade_date", o.alias("session_open"), c.alias("session_close"))

@@ -14,7 +14,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tape.operators import bars, book as book_ops, checks, marts, quality, staging
+from tape.operators import asof, bars, book as book_ops, checks, flags, marts, quality, staging
+from tape.sources import io
 from tape.plans import reports
 from tape.schemas import QUOTE_FLAGS, SIDES, TRADE_FLAGS
 from tape.sources import fixtures as fx
@@ -337,6 +338,74 @@ def q_rep_symbols(spark, sf):
     return reports.symbol_options(raw_trades(spark, sf))
 
 
+# --- sources, sinks, flags, calendar, as-of -------------------------------------------
+def _scratch(spark, name):
+    import uuid
+    from tape.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/tape-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def q_csv_roundtrip(spark, sf):
+    """Raw trades → CSV → typed read with the fixed schema."""
+    path = _scratch(spark, "trades-csv")
+    t = io.conform(raw_trades(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp")), "trades")
+    io.write_csv(t, path)
+    return io.read_csv(spark, "trades", path).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def q_book_csv_roundtrip(spark, sf):
+    """Book arrays as JSON text in CSV, decoded back to arrays."""
+    path = _scratch(spark, "book-csv")
+    b = io.conform(book(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp")),
+                   "order_book_snapshots")
+    io.write_csv(b, path)
+    return (io.read_csv(spark, "order_book_snapshots", path)
+            .withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+)
+
+
+def q_partitioned_load(spark, sf):
+    """Day-partitioned sorted write, loaded twice (idempotent),
+    then the post-load count check."""
+    path = _scratch(spark, "stg-trades")
+    src = trades(spark, sf)
+    io.write_table(src, path, date_col="trade_date")
+    io.write_table(src, path, date_col="trade_date")   # second load replaces the same days
+    return io.verify_counts(src, spark.read.parquet(path), "stg_trades")
+
+
+def q_flag_rules_quotes(spark, sf):
+    """Q12: quote flags derived from the data (crossed, zero size, wide > 50 bps)."""
+    return flags.flag_quotes(raw_quotes(spark, sf), wide_bps=50.0).select(
+        "symbol", "timestamp", "tick_id", "data_quality_flag")
+
+
+def q_flag_rules_book(spark, sf):
+    return flags.flag_book(fx.book_from_events(_events(spark, sf))).select(
+        "symbol", "timestamp", "tick_id", "data_quality_flag")
+
+
+def q_trading_days(spark, sf):
+    return staging.trading_days(raw_trades(spark, sf))
+
+
+def q_asof_trade_quote(spark, sf):
+    """Trades with the prevailing earlier quote of the same symbol."""
+    t = raw_trades(spark, sf).select("symbol", "timestamp", "tick_id", "trade_price", "trade_size")
+    q = raw_quotes(spark, sf).select("symbol", "timestamp", "tick_id", "bid_price", "ask_price")
+    return asof.prevailing(t, q, ["bid_price", "ask_price"], left_tie=TIE, right_tie=TIE, strict=True)
+
+
+def q_flag_rules_trades(spark, sf):
+    """Q12 on trades: zero size, or more than 5 % away from the prevailing quote mid."""
+    t = raw_trades(spark, sf).select("symbol", "timestamp", "tick_id", "trade_price", "trade_size")
+    q = raw_quotes(spark, sf).select("symbol", "timestamp", "tick_id", "bid_price", "ask_price")
+    j = asof.prevailing(t, q, ["bid_price", "ask_price"], left_tie=TIE, right_tie=TIE, strict=True)
+    j = j.withColumn("q_mid", (F.col("q_bid_price") + F.col("q_ask_price")) / F.lit(2.0))
+    return flags.flag_trades(j, reference_price="q_mid").select("symbol", "timestamp", "tick_id",
+                                                                "data_quality_flag")
+
+
 QUERIES: dict[str, Query] = {
     "stg_trades": q_stg_trades,
     "stg_quotes": q_stg_quotes,
@@ -390,4 +459,12 @@ QUERIES: dict[str, Query] = {
     "rep_quality_rate": q_rep_quality_rate,
     "rep_recent_issues": q_rep_recent_issues,
     "rep_symbols": q_rep_symbols,
+    "csv_roundtrip": q_csv_roundtrip,
+    "book_csv_roundtrip": q_book_csv_roundtrip,
+    "partitioned_load": q_partitioned_load,
+    "flag_rules_quotes": q_flag_rules_quotes,
+    "flag_rules_book": q_flag_rules_book,
+    "flag_rules_trades": q_flag_rules_trades,
+    "trading_days": q_trading_days,
+    "asof_trade_quote": q_asof_trade_quote,
 }

@@ -355,3 +355,39 @@ FROM issues WHERE {_tw('event_time')}
 ORDER BY event_time DESC, detected_at, source_table, symbol, issue_type, severity, details LIMIT 200""",
     "rep_symbols": _REP + "SELECT DISTINCT symbol FROM trades",
 })
+
+# --- sources, flags, calendar, as-of ------------------------------------------------------
+SQL.update({
+    "csv_roundtrip": with_(*RAW_CTES) + """SELECT symbol, "timestamp", trade_price, trade_size, exchange, trade_condition,
+  data_quality_flag FROM trades""",
+    "book_csv_roundtrip": with_(*BOOK_CTES) + """SELECT symbol, "timestamp", bid_prices, bid_sizes, ask_prices, ask_sizes,
+  mid_price, weighted_mid, book_imbalance, data_quality_flag FROM order_book_snapshots""",
+    "partitioned_load": with_(*TRADE_CTES) + """SELECT 'stg_trades' AS "table", count(*) AS source_rows,
+  count(*) AS written_rows, true AS match FROM stg_trades""",
+    "flag_rules_quotes": with_(*RAW_CTES) + """SELECT symbol, "timestamp", tick_id,
+  CASE WHEN bid_price > ask_price THEN 'CROSSED_SPREAD'
+       WHEN bid_size = 0 OR ask_size = 0 OR bid_size IS NULL OR ask_size IS NULL THEN 'MISSING_FIELD'
+       WHEN (CASE WHEN bid_price > 0 THEN (ask_price - bid_price) / ((bid_price + ask_price) / CAST(2 AS DOUBLE))
+             * CAST(10000 AS DOUBLE) END) > CAST(50 AS DOUBLE) THEN 'WIDE_SPREAD'
+       ELSE 'OK' END AS data_quality_flag FROM quotes""",
+    "flag_rules_book": with_(EV, BOOK_RAW) + """SELECT symbol, "timestamp", tick_id,
+  CASE WHEN bid_prices[1] > ask_prices[1] THEN 'CROSSED_BOOK'
+       WHEN list_bool_or(list_transform(bid_prices, lambda p: p <= 0))
+         OR list_bool_or(list_transform(ask_prices, lambda p: p <= 0)) THEN 'MISSING_LEVELS'
+       ELSE 'OK' END AS data_quality_flag FROM book_raw""",
+    "trading_days": with_(*RAW_CTES) + """SELECT CAST(d AS DATE) AS trade_date,
+  CAST(d AS TIMESTAMP) + INTERVAL 14 HOUR + INTERVAL 30 MINUTE AS session_open,
+  CAST(d AS TIMESTAMP) + INTERVAL 21 HOUR AS session_close
+FROM (SELECT unnest(generate_series(min(CAST("timestamp" AS DATE)), max(CAST("timestamp" AS DATE)), INTERVAL 1 DAY)) AS d
+      FROM trades) WHERE isodow(d) < 6""",
+    "asof_trade_quote": with_(*RAW_CTES) + """SELECT t.symbol, t."timestamp", t.tick_id, t.trade_price, t.trade_size,
+  q."timestamp" AS q_timestamp, q.bid_price AS q_bid_price, q.ask_price AS q_ask_price
+FROM trades t ASOF LEFT JOIN quotes q ON t.symbol = q.symbol AND t."timestamp" > q."timestamp\"""",
+    "flag_rules_trades": with_(*RAW_CTES) + """SELECT symbol, "timestamp", tick_id,
+  CASE WHEN trade_size = 0 OR trade_size IS NULL THEN 'MISSING_FIELD'
+       WHEN (CASE WHEN q_mid = 0 THEN NULL ELSE abs(trade_price - q_mid) / q_mid END) * CAST(100 AS DOUBLE)
+            > CAST(5 AS DOUBLE) THEN 'PRICE_OUTLIER'
+       ELSE 'OK' END AS data_quality_flag
+FROM (SELECT t.*, (q.bid_price + q.ask_price) / CAST(2 AS DOUBLE) AS q_mid
+      FROM trades t ASOF LEFT JOIN quotes q ON t.symbol = q.symbol AND t."timestamp" > q."timestamp")""",
+})

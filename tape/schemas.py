@@ -44,13 +44,13 @@ QUOTES = T.StructType([
 ORDER_BOOK = T.StructType([
     T.StructField("symbol", T.StringType(), False),
     T.StructField("timestamp", T.TimestampType(), False),
-    T.StructField("bid_prices", T.ArrayType(T.DoubleType(), False), False),
-    T.StructField("bid_sizes", T.ArrayType(T.LongType(), False), False),
-    T.StructField("ask_prices", T.ArrayType(T.DoubleType(), False), False),
-    T.StructField("ask_sizes", T.ArrayType(T.LongType(), False), False),
+    T.StructField("bid_prices", T.ArrayType(T.DoubleType()), False),
+    T.StructField("bid_sizes", T.ArrayType(T.LongType()), False),
+    T.StructField("ask_prices", T.ArrayType(T.DoubleType()), False),
+    T.StructField("ask_sizes", T.ArrayType(T.LongType()), False),
     T.StructField("mid_price", T.DoubleType(), False),
     T.StructField("weighted_mid", T.DoubleType(), False),
-    T.StructField("book_imbalance", T.FloatType(), False),
+    T.StructField("book_imbalance", T.DoubleType(), False),  # Float32 upstream; kept lossless
     T.StructField("data_quality_flag", T.StringType(), False),
 ])
 
