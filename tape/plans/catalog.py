@@ -406,6 +406,56 @@ def q_flag_rules_trades(spark, sf):
                                                                 "data_quality_flag")
 
 
+# --- pipeline and streaming ----------------------------------------------------------
+def q_pipeline_daily_summary(spark, sf):
+    """The whole batch pipeline on the event ticks; returns the written mart."""
+    from tape.plans.pipeline import run_pipeline
+    raw = {"trades": raw_trades(spark, sf), "quotes": raw_quotes(spark, sf)}
+    out = run_pipeline(spark, raw, _scratch(spark, "pipeline"), as_of=AS_OF, tie=TIE)
+    return out["mart_daily_summary"].select(*daily(spark, sf).columns)
+
+
+def _event_stream(spark, sf):
+    from tape.streaming import run as srun
+    return srun.tick_stream(spark, sf, "events.parquet")
+
+
+def q_stream_vwap_bars(spark, sf):
+    """Minute bars from a stream; windows still inside the watermark at
+    the end of input are not emitted."""
+    from tape.streaming import run as srun, ticks as st
+    ev = _event_stream(spark, sf)
+    t = staging.stg_trades(st.event_time(fx.trades_from_events(ev)), keep=TIE)
+    out = srun.run_to_parquet(st.vwap_bars(t, tie=TIE), "vwap")
+    return out.withColumn("minute_bucket", F.col("minute_bucket").cast("timestamp_ntz"))
+
+
+def q_stream_dedup(spark, sf):
+    """The same input delivered twice comes out once."""
+    from tape.streaming import run as srun, ticks as st
+    a = st.event_time(fx.trades_from_events(_event_stream(spark, sf)))
+    b = st.event_time(fx.trades_from_events(_event_stream(spark, sf)))
+    out = srun.run_to_parquet(st.drop_repeated_ticks(a.unionByName(b), ["symbol", "timestamp", "tick_id"]), "dedup")
+    return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def q_stream_stale(spark, sf):
+    """Stale-quote gaps with per-symbol state."""
+    from tape.streaming import run as srun, ticks as st
+    q = st.event_time(fx.quotes_from_events(_event_stream(spark, sf)))
+    out = srun.run_to_parquet(st.stale_quotes(q, tie=TIE), "stale")
+    return out.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
+def q_stream_checks_sink(spark, sf):
+    """T4: row-wise quote checks appended per micro-batch; replays add nothing."""
+    from tape.streaming import run as srun, ticks as st
+    q = fx.quotes_from_events(_event_stream(spark, sf))
+    base = srun.scratch(spark, "log")
+    srun.run_foreach_batch(q, st.checks_to_log(f"{base}/log", AS_OF), "checks")
+    return spark.read.parquet(f"{base}/log").drop("detected_at")
+
+
 QUERIES: dict[str, Query] = {
     "stg_trades": q_stg_trades,
     "stg_quotes": q_stg_quotes,
@@ -467,4 +517,9 @@ QUERIES: dict[str, Query] = {
     "flag_rules_trades": q_flag_rules_trades,
     "trading_days": q_trading_days,
     "asof_trade_quote": q_asof_trade_quote,
+    "pipeline_daily_summary": q_pipeline_daily_summary,
+    "stream_vwap_bars": q_stream_vwap_bars,
+    "stream_dedup": q_stream_dedup,
+    "stream_stale": q_stream_stale,
+    "stream_checks_sink": q_stream_checks_sink,
 }

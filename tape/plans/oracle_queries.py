@@ -391,3 +391,14 @@ FROM trades t ASOF LEFT JOIN quotes q ON t.symbol = q.symbol AND t."timestamp" >
 FROM (SELECT t.*, (q.bid_price + q.ask_price) / CAST(2 AS DOUBLE) AS q_mid
       FROM trades t ASOF LEFT JOIN quotes q ON t.symbol = q.symbol AND t."timestamp" > q."timestamp")""",
 })
+
+# --- pipeline and streaming ------------------------------------------------------------
+SQL.update({
+    "pipeline_daily_summary": SQL["mart_daily_summary"],
+    # windows whose end is at or before the final watermark (max event time − 10 min)
+    "stream_vwap_bars": with_(*TRADE_CTES, _VWAP_CTE) + """SELECT * FROM int_vwap
+WHERE minute_bucket + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+    "stream_dedup": with_(*RAW_CTES) + "SELECT * FROM trades",
+    "stream_stale": with_(*RAW_CTES) + _stale(),
+    "stream_checks_sink": with_(*RAW_CTES) + f"{_CROSSED}\nUNION ALL {_ZERO_Q}",
+})
