@@ -45,15 +45,16 @@ def global_row_number(df: DataFrame, part: Sequence[str], order: Sequence[str],
 def with_halo(ranked: DataFrame, part: Sequence[str], halo: int, block_rows: int,
               rn: str = "_rn") -> DataFrame:
     """Add ``_blk`` and copy each block's last ``halo`` rows into the next
-    block with ``_halo = true``."""
+    block with ``_halo = true``.  One pass: a tail row explodes into itself
+    and its copy (no union, so the ranking is not computed twice)."""
     if block_rows < halo:
         raise ValueError("block_rows must be at least the halo")
-    b = ranked.withColumn("_blk", F.floor((F.col(rn) - 1) / F.lit(block_rows)).cast("long"))
-    main = b.withColumn("_halo", F.lit(False))
-    tail = (b.where(F.pmod(F.col(rn) - 1, F.lit(block_rows)) >= block_rows - halo)
-            .withColumn("_blk", F.col("_blk") + 1)
-            .withColumn("_halo", F.lit(True)))
-    return main.unionByName(tail)
+    pos = F.pmod(F.col(rn) - 1, F.lit(block_rows))
+    copies = F.when(pos >= block_rows - halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return (ranked.withColumn("_copy", F.explode(copies))
+            .withColumn("_blk", F.floor((F.col(rn) - 1) / F.lit(block_rows)).cast("long") + F.col("_copy"))
+            .withColumn("_halo", F.col("_copy") == 1)
+            .drop("_copy"))
 
 
 def rolling_mean_std(df: DataFrame, value: str, part: Sequence[str], order: Sequence[str],
