@@ -4,7 +4,7 @@ symbol — the one join the source system names as missing.
 Plan (no per-symbol partition, no pairwise candidates):
 
 1. Tag and union both sides; bucket by coarse time.
-2. Inside (symbol, bucket), ``last(quote, ignorenulls)`` over the running
+2. Inside (symbol, minute), ``last(quote, ignorenulls)`` over the running
    frame gives the prevailing quote when one exists earlier in the bucket.
 3. For rows whose bucket has no earlier quote, carry the last quote of the
    previous buckets: per (symbol, bucket) last quote → running
@@ -27,7 +27,7 @@ from tape.functions.time import bucket
 
 def prevailing(left: DataFrame, right: DataFrame, right_cols: Sequence[str], by: str = "symbol",
                ts: str = "timestamp", left_tie: Sequence[str] = (), right_tie: Sequence[str] = (),
-               strict: bool = False, coarse_seconds: int = 3600, prefix: str = "q_") -> DataFrame:
+               strict: bool = False, coarse_seconds: int = 60, prefix: str = "q_") -> DataFrame:
     """Left as-of join: ``left`` rows + ``prefix``-named columns of the
     prevailing ``right`` row (NULL when none)."""
     left_cols = left.columns

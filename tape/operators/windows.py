@@ -5,7 +5,7 @@ with a few dozen symbols that is a few dozen tasks however large the data, and
 a hot symbol holding a third of the rows becomes one giant sort.  The blocked
 plan here keeps every window partition bounded:
 
-1. rank rows inside (symbol, coarse time bucket)            — bounded groups
+1. rank rows inside (symbol, minute) — groups bounded by the tick rate
 2. per-bucket row counts → running offsets per symbol        — tiny table
 3. global per-symbol row number = offset + local rank
 4. block = (rn − 1) div B; the last ``halo`` rows of each block are copied
@@ -28,7 +28,7 @@ from tape.functions.time import bucket
 
 
 def global_row_number(df: DataFrame, part: Sequence[str], order: Sequence[str],
-                      coarse_seconds: int = 3600, ts: str = "timestamp", name: str = "_rn") -> DataFrame:
+                      coarse_seconds: int = 60, ts: str = "timestamp", name: str = "_rn") -> DataFrame:
     """1-based row number per ``part`` in ``order`` without a per-symbol sort."""
     part = list(part)
     d = df.withColumn("_cb", bucket(ts, coarse_seconds))
@@ -59,7 +59,7 @@ def with_halo(ranked: DataFrame, part: Sequence[str], halo: int, block_rows: int
 
 def rolling_mean_std(df: DataFrame, value: str, part: Sequence[str], order: Sequence[str],
                      rows: int = 1000, blocked: bool = True, block_rows: int = 100_000,
-                     coarse_seconds: int = 3600, ts: str = "timestamp") -> DataFrame:
+                     coarse_seconds: int = 60, ts: str = "timestamp") -> DataFrame:
     """Adds ``rolling_mean`` and ``rolling_std`` (population) over the last
     ``rows`` rows including the current one, per ``part`` in ``order``."""
     part = list(part)
@@ -87,7 +87,7 @@ def rolling_mean_std(df: DataFrame, value: str, part: Sequence[str], order: Sequ
 
 
 def previous(df: DataFrame, col: str, part: Sequence[str], order: Sequence[str], name: str,
-             blocked: bool = True, block_rows: int = 100_000, coarse_seconds: int = 3600,
+             blocked: bool = True, block_rows: int = 100_000, coarse_seconds: int = 60,
              ts: str = "timestamp") -> DataFrame:
     """``lag(col)`` per ``part`` in ``order`` (NULL for the first row)."""
     part = list(part)
