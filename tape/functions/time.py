@@ -35,6 +35,17 @@ def millis_between(start, end) -> Column:
     return epoch_millis(end) - epoch_millis(start)
 
 
+def from_epoch_micros(us) -> Column:
+    """Microseconds since the epoch → timestamp."""
+    return F.timestamp_micros(col(us))
+
+
+def tick_time_text(ts) -> Column:
+    """The tick text form ``yyyy-MM-dd HH:mm:ss.SSSSSS``."""
+    from tape.schemas import CSV_TIMESTAMP_FORMAT
+    return F.date_format(col(ts), CSV_TIMESTAMP_FORMAT)
+
+
 def micros_between(start, end) -> Column:
     """Exact difference in microseconds (the tick resolution)."""
     return epoch_micros(end) - epoch_micros(start)

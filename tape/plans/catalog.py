@@ -234,6 +234,12 @@ def q_chk_dup_quotes(spark, sf):
     return checks.duplicates(quotes(spark, sf))
 
 
+def q_chk_dup_rows(spark, sf):
+    """Q9 variant (S6): ticks repeated in every column, on the lineitem tape."""
+    t = li_trades(spark, sf).drop(*fx.LINEITEM_TIE)
+    return checks.full_row_duplicates(t)
+
+
 def q_chk_future(spark, sf):
     """Q10 with a fixed 'now' inside the data range."""
     return checks.future_rows(trades(spark, sf), dt.datetime(2024, 1, 30, 12, 0, 0),
@@ -302,6 +308,10 @@ def q_rep_size_histogram(spark, sf):
     return reports.trade_size_histogram(raw_trades(spark, sf), ONE, START, END, width=10)
 
 
+def q_rep_size_sample(spark, sf):
+    return reports.trade_size_sample(raw_trades(spark, sf), ONE, START, END, n=100_000, tie=TIE)
+
+
 def q_rep_daily_stats(spark, sf):
     return reports.daily_stats(daily(spark, sf), ONE)
 
@@ -430,6 +440,14 @@ def q_stream_vwap_bars(spark, sf):
     return out.withColumn("minute_bucket", F.col("minute_bucket").cast("timestamp_ntz"))
 
 
+def q_stream_volume_profile(spark, sf):
+    """5-minute volume profile from a stream."""
+    from tape.streaming import run as srun, ticks as st
+    t = staging.stg_trades(st.event_time(fx.trades_from_events(_event_stream(spark, sf))))
+    out = srun.run_to_parquet(st.volume_profile(t), "profile")
+    return out.withColumn("bucket_start", F.col("bucket_start").cast("timestamp_ntz"))
+
+
 def q_stream_dedup(spark, sf):
     """The same input delivered twice comes out once."""
     from tape.streaming import run as srun, ticks as st
@@ -488,6 +506,7 @@ QUERIES: dict[str, Query] = {
     "chk_accepted": q_chk_accepted,
     "chk_dup": q_chk_dup,
     "chk_dup_quotes": q_chk_dup_quotes,
+    "chk_dup_rows": q_chk_dup_rows,
     "chk_future": q_chk_future,
     "chk_vwap_range": q_chk_vwap_range,
     "rep_vwap_series": q_rep_vwap_series,
@@ -500,6 +519,7 @@ QUERIES: dict[str, Query] = {
     "rep_spread_evolution": q_rep_spread_evolution,
     "rep_volume_buckets": q_rep_volume_buckets,
     "rep_size_histogram": q_rep_size_histogram,
+    "rep_size_sample": q_rep_size_sample,
     "rep_daily_stats": q_rep_daily_stats,
     "rep_symbol_issues": q_rep_symbol_issues,
     "rep_issues_over_time": q_rep_issues_over_time,
@@ -519,6 +539,7 @@ QUERIES: dict[str, Query] = {
     "asof_trade_quote": q_asof_trade_quote,
     "pipeline_daily_summary": q_pipeline_daily_summary,
     "stream_vwap_bars": q_stream_vwap_bars,
+    "stream_volume_profile": q_stream_volume_profile,
     "stream_dedup": q_stream_dedup,
     "stream_stale": q_stream_stale,
     "stream_checks_sink": q_stream_checks_sink,

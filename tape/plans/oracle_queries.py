@@ -402,3 +402,14 @@ WHERE minute_bucket + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERV
     "stream_stale": with_(*RAW_CTES) + _stale(),
     "stream_checks_sink": with_(*RAW_CTES) + f"{_CROSSED}\nUNION ALL {_ZERO_Q}",
 })
+
+SQL.update({
+    "stream_volume_profile": with_(*TRADE_CTES, _PROFILE_CTE) + """SELECT * FROM int_volume_profile
+WHERE bucket_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+    "chk_dup_rows": with_(LI_TRADES, STG_LI_TRADES) + """SELECT symbol, "timestamp", trade_date, trade_price, trade_size,
+  trade_notional, exchange, trade_condition, data_quality_flag, has_quality_issue, count(*) AS row_count
+FROM stg_trades GROUP BY ALL HAVING count(*) > 1""",
+})
+
+SQL["rep_size_sample"] = _REP + f"""SELECT "timestamp", tick_id, trade_size FROM trades
+WHERE {_tw('"timestamp"', _ONE)} AND data_quality_flag = 'OK' ORDER BY "timestamp", tick_id LIMIT 100000"""

@@ -120,6 +120,17 @@ def trade_size_histogram(trades: DataFrame, symbol: str, start=None, end=None, w
             .orderBy("bin_start"))
 
 
+def trade_size_sample(trades: DataFrame, symbol: str, start=None, end=None, n: int = 100_000,
+                      tie: Sequence[str] = ()) -> DataFrame:
+    """the raw panel form — at most ``n`` clean trade sizes, taken in time
+    order so the sample is the same on every run (top-n, no full sort)."""
+    return (_window(trades, "timestamp", start, end, symbol)
+            .where(F.col("data_quality_flag") == "OK")
+            .orderBy("timestamp", *tie)
+            .limit(n)
+            .select("timestamp", *tie, "trade_size"))
+
+
 def daily_stats(mart: DataFrame, symbol: str) -> DataFrame:
     """Every day of one symbol, newest first (no time filter)."""
     return (mart.where(F.col("symbol") == symbol)

@@ -41,6 +41,21 @@ def vwap_bars(stg_trades: DataFrame, watermark: str = "10 minutes", width: str =
                     "total_volume", "total_notional", "trade_count", "low", "high", "open", "close"))
 
 
+def volume_profile(stg_trades: DataFrame, watermark: str = "10 minutes", width: str = "5 minutes") -> DataFrame:
+    """The 5-minute volume profile on a stream (append mode)."""
+    return (stg_trades.where(~F.col("has_quality_issue"))
+            .withWatermark("timestamp", watermark)
+            .groupBy("symbol", "trade_date", F.window("timestamp", width))
+            .agg(F.sum("trade_size").alias("bucket_volume"),
+                 F.sum("trade_notional").alias("bucket_notional"),
+                 F.count(F.lit(1)).alias("bucket_trade_count"),
+                 P.vwap().alias("bucket_vwap"),
+                 F.min("trade_price").alias("bucket_low"),
+                 F.max("trade_price").alias("bucket_high"))
+            .select("symbol", "trade_date", F.col("window.start").alias("bucket_start"), "bucket_volume",
+                    "bucket_notional", "bucket_trade_count", "bucket_vwap", "bucket_low", "bucket_high"))
+
+
 def drop_repeated_ticks(ticks: DataFrame, keys: Sequence[str], watermark: str = "10 minutes",
                         ts: str = "timestamp") -> DataFrame:
     """A tick delivered twice (a re-sent file, a replayed feed) is kept
