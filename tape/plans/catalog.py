@@ -117,7 +117,8 @@ def q_dq_crossed(spark, sf):
 
 
 def q_dq_stale(spark, sf):
-    return quality.stale_quotes(raw_quotes(spark, sf), tie=TIE, as_of=AS_OF).drop("detected_at")
+    """Stale check on the plain per-symbol window (the model as written)."""
+    return quality.stale_quotes(raw_quotes(spark, sf), tie=TIE, blocked=False, as_of=AS_OF).drop("detected_at")
 
 
 def q_dq_stale_blocked(spark, sf):
@@ -127,11 +128,14 @@ def q_dq_stale_blocked(spark, sf):
 
 
 def q_dq_stale_daily(spark, sf):
-    return quality.stale_quotes(raw_quotes(spark, sf), tie=TIE, reset_daily=True, as_of=AS_OF).drop("detected_at")
+    return quality.stale_quotes(raw_quotes(spark, sf), tie=TIE, reset_daily=True, blocked=False,
+                                as_of=AS_OF).drop("detected_at")
 
 
 def q_dq_outlier(spark, sf):
-    return quality.price_outliers(raw_trades(spark, sf), tie=TIE, as_of=AS_OF).select(*FINDING, "trade_price")
+    """Outlier check on the plain 1000-row sliding window (the model as written)."""
+    return (quality.price_outliers(raw_trades(spark, sf), tie=TIE, blocked=False, as_of=AS_OF)
+            .select(*FINDING, "trade_price"))
 
 
 def q_dq_outlier_halo(spark, sf):

@@ -69,10 +69,9 @@ def test_gap_threshold_is_strict(spark):
 
 def test_day_boundary_gap_and_reset_daily(spark):
     times = ["2024-01-02 20:59:00", "2024-01-03 14:30:00"]
-    assert len(_stale(spark, times)) == 1
-    assert _stale(spark, times, reset_daily=True) == []
-    for blocked in (True,):
+    for blocked in (False, True):
         assert len(_stale(spark, times, blocked=blocked, block_rows=1)) == 1
+        assert _stale(spark, times, reset_daily=True, blocked=blocked, block_rows=1) == []
 
 
 def _outliers(spark, prices, blocked=False):

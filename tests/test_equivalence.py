@@ -24,12 +24,13 @@ def test_blocked_windows_agree_with_plain_on_lineitem(spark):
     from tape.sources import fixtures as fx
     t = fx.trades_from_lineitem(fx.table(spark, SF_MID, "lineitem"))
     key = ["symbol", "event_time", "trade_price"]
-    plain = rows(quality.price_outliers(t, tie=fx.LINEITEM_TIE, as_of=AS_OF).select(*key))
+    plain = rows(quality.price_outliers(t, tie=fx.LINEITEM_TIE, blocked=False, as_of=AS_OF).select(*key))
     blocked = rows(quality.price_outliers(t, tie=fx.LINEITEM_TIE, blocked=True, block_rows=1000,
                                           as_of=AS_OF).select(*key))
     assert len(plain) > 0 and bag(plain) == bag(blocked)
     q = t.select("symbol", "timestamp", *fx.LINEITEM_TIE)
-    s1 = rows(quality.stale_quotes(q, tie=fx.LINEITEM_TIE, hours=(0, 24), as_of=AS_OF).select("symbol", "event_time", "gap_us"))
+    s1 = rows(quality.stale_quotes(q, tie=fx.LINEITEM_TIE, hours=(0, 24), blocked=False, as_of=AS_OF)
+              .select("symbol", "event_time", "gap_us"))
     s2 = rows(quality.stale_quotes(q, tie=fx.LINEITEM_TIE, hours=(0, 24), blocked=True, block_rows=37,
                                    as_of=AS_OF).select("symbol", "event_time", "gap_us"))
     assert len(s1) > 0 and bag(s1) == bag(s2)
