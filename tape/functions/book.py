@@ -1,5 +1,13 @@
-"""Order-book measures on the level arrays, evaluated on the snapshot row with
-higher-order functions (no explode, no shuffle).  Level 1 is the best price."""
+"""Order-book measures on the level arrays, evaluated on the snapshot row
+(no explode, no shuffle).  Level 1 is the best price.
+
+Books have a fixed depth (``BOOK_LEVELS``), so each measure is unrolled into
+plain ``element_at`` arithmetic, which whole-stage codegen compiles; Spark's
+higher-order functions (``aggregate``/``filter``/``zip_with``) are evaluated
+interpreted, row by row.  Arrays longer than the unrolled depth take the
+higher-order form inside the same CASE, so any length is handled exactly.
+Element order and NULL propagation are the same in both forms.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +15,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tape.functions.time import col
+from tape.schemas import BOOK_LEVELS
+
+
+def _el(a, i: int) -> Column:
+    """Element ``i`` (1-based); NULL past the end."""
+    return F.try_element_at(col(a), F.lit(i))
+
+
+def _unrolled(arrays: list, term, zero, levels: int, fallback: Column) -> Column:
+    """Σ over levels of ``term(elements…)``, left to right from ``zero``;
+    levels past the array's end add ``zero``."""
+    acc = zero
+    n = F.size(col(arrays[0])) if len(arrays) == 1 else F.greatest(*[F.size(col(a)) for a in arrays])
+    for i in range(1, levels + 1):
+        acc = acc + F.when(n >= i, term(*[_el(a, i) for a in arrays])).otherwise(zero)
+    return F.when(n <= levels, acc).otherwise(fallback)
 
 
 def best(prices) -> Column:
@@ -14,14 +38,17 @@ def best(prices) -> Column:
     return F.element_at(col(prices), 1)
 
 
-def array_sum(a) -> Column:
-    return F.aggregate(col(a), F.lit(0).cast("long"), lambda acc, x: acc + x)
+def array_sum(a, levels: int = BOOK_LEVELS) -> Column:
+    zero = F.lit(0).cast("long")
+    hof = F.aggregate(col(a), zero, lambda acc, x: acc + x)
+    return _unrolled([a], lambda x: x, zero, levels, hof)
 
 
-def dot(prices, sizes) -> Column:
+def dot(prices, sizes, levels: int = BOOK_LEVELS) -> Column:
     """Σ price·size over levels."""
-    return F.aggregate(F.zip_with(col(prices), col(sizes), lambda p, s: p * s),
-                       F.lit(0.0), lambda acc, x: acc + x)
+    hof = F.aggregate(F.zip_with(col(prices), col(sizes), lambda p, s: p * s),
+                      F.lit(0.0), lambda acc, x: acc + x)
+    return _unrolled([prices, sizes], lambda p, s: p * s, F.lit(0.0), levels, hof)
 
 
 def snapshot_mid(bid_prices="bid_prices", ask_prices="ask_prices", digits: int | None = 4) -> Column:
@@ -50,12 +77,15 @@ def imbalance(bid_sizes="bid_sizes", ask_sizes="ask_sizes", digits: int | None =
     return F.coalesce(v, F.lit(0.0))
 
 
-def depth_within(prices, sizes, mid_col, bps: float, side: str) -> Column:
+def depth_within(prices, sizes, mid_col, bps: float, side: str, levels: int = BOOK_LEVELS) -> Column:
     """Σ size of the levels inside the bps band around mid (H15 on arrays)."""
     lim = col(mid_col) * F.lit(1.0 - bps / 10000.0 if side == "bid" else 1.0 + bps / 10000.0)
-    inside = F.filter(F.arrays_zip(col(prices).alias("p"), col(sizes).alias("s")),
-                      (lambda x: x["p"] >= lim) if side == "bid" else (lambda x: x["p"] <= lim))
-    return F.aggregate(inside, F.lit(0).cast("long"), lambda acc, x: acc + x["s"])
+    inside_p = (lambda p: p >= lim) if side == "bid" else (lambda p: p <= lim)
+    zero = F.lit(0).cast("long")
+    hof = F.aggregate(F.filter(F.arrays_zip(col(prices).alias("p"), col(sizes).alias("s")),
+                               lambda x: inside_p(x["p"])),
+                      zero, lambda acc, x: acc + x["s"])
+    return _unrolled([prices, sizes], lambda p, s: F.when(inside_p(p), s).otherwise(zero), zero, levels, hof)
 
 
 def levels(side: str, prices, sizes) -> Column:

@@ -73,6 +73,14 @@ def last_by_time(value, order: list) -> Column:
     return F.max_by(col(value), F.struct(*[col(c) for c in order]))
 
 
+def quantiles(c, qs: list[float], exact: bool = True, accuracy: int = 10000) -> Column:
+    """Several quantiles of one column from a single aggregate buffer (an array)."""
+    arr = F.array(*[F.lit(float(q)) for q in qs])
+    if exact:
+        return F.percentile(col(c), arr)
+    return F.percentile_approx(col(c), arr, F.lit(accuracy)).cast("array<double>")
+
+
 def quantile(c, q: float, exact: bool = True, accuracy: int = 10000) -> Column:
     """Exact interpolated quantile, or the mergeable sketch for very
     large groups (bounded memory per group)."""

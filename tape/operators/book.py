@@ -6,9 +6,10 @@ Two plans with the same result:
   table — conditional aggregates re-group 20 level rows into one snapshot
   row (one exchange), then a second aggregate to minutes (second exchange).
 - ``snapshot_stats_arrays``: the same measures evaluated on the snapshot row
-  with higher-order array functions.  No explode (20× fewer rows) and no
-  snapshot-level shuffle; only the minute aggregate exchanges.  This is the
-  plan to run at scale; ``tests/test_book.py`` checks both are equal.
+  with level arithmetic compiled by whole-stage codegen (``tape.functions.book``).
+  No explode (20× fewer rows) and no snapshot-level shuffle; only the minute
+  aggregate exchanges.  This is the plan to run at scale;
+  ``tests/test_equivalence.py`` checks both are equal.
 
 Flagged snapshots still count in spread and top-of-book, and count as depth 0
 (S10).  Bands are a parameter (default 5 and 10 bps).
@@ -84,8 +85,7 @@ def minute_depth(per_snapshot: DataFrame, bands: Sequence[int] = BANDS, exact: b
         F.avg("mid_price").alias("avg_mid_price"),
         F.avg("weighted_mid").alias("avg_weighted_mid"),
         F.avg("bbo_spread_bps").alias("avg_bbo_spread_bps"),
-        P.quantile("bbo_spread_bps", 0.5, exact).alias("median_bbo_spread_bps"),
-        P.quantile("bbo_spread_bps", 0.95, exact).alias("p95_bbo_spread_bps"),
+        P.quantiles("bbo_spread_bps", [0.5, 0.95], exact).alias("_qs"),
         F.avg("tob_bid_size").alias("avg_tob_bid_size"),
         F.avg("tob_ask_size").alias("avg_tob_ask_size"),
     ]
@@ -95,11 +95,19 @@ def minute_depth(per_snapshot: DataFrame, bands: Sequence[int] = BANDS, exact: b
                  F.round(ab / F.nullif(ab + aa, F.lit(0.0)), 4).alias(f"depth_imbalance_{b}bps")]
     aggs += [
         F.avg("book_imbalance").alias("avg_book_imbalance"),
-        P.quantile("book_imbalance", 0.25, exact).alias("p25_book_imbalance"),
-        P.quantile("book_imbalance", 0.75, exact).alias("p75_book_imbalance"),
+        P.quantiles("book_imbalance", [0.25, 0.75], exact).alias("_qi"),
         F.count(F.lit(1)).alias("snapshot_count"),
     ]
-    return per_snapshot.groupBy("symbol", "minute_bucket", "snap_date").agg(*aggs)
+    out = per_snapshot.groupBy("symbol", "minute_bucket", "snap_date").agg(*aggs)
+    names = [c for c in out.columns if c not in ("_qs", "_qi")]
+    cols = []
+    for c in names:
+        cols.append(F.col(c))
+        if c == "avg_bbo_spread_bps":
+            cols += [F.col("_qs")[0].alias("median_bbo_spread_bps"), F.col("_qs")[1].alias("p95_bbo_spread_bps")]
+        if c == "avg_book_imbalance":
+            cols += [F.col("_qi")[0].alias("p25_book_imbalance"), F.col("_qi")[1].alias("p75_book_imbalance")]
+    return out.select(*cols)
 
 
 def order_book_depth(snapshots: DataFrame, bands: Sequence[int] = BANDS, exact: bool = True,

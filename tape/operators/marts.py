@@ -29,10 +29,11 @@ def daily_quote_stats(stg_quotes: DataFrame, exact: bool = True) -> DataFrame:
     """Per symbol-day spread statistics."""
     return (stg_quotes.groupBy("symbol", F.col("quote_date").alias("trade_date"))
             .agg(F.avg("spread_bps").alias("avg_spread_bps"),
-                 P.quantile("spread_bps", 0.5, exact).alias("median_spread_bps"),
-                 P.quantile("spread_bps", 0.95, exact).alias("p95_spread_bps"),
+                 P.quantiles("spread_bps", [0.5, 0.95], exact).alias("_q"),
                  F.count(F.lit(1)).alias("quote_count"),
-                 F.count_if("has_quality_issue").alias("quote_quality_issues")))
+                 F.count_if("has_quality_issue").alias("quote_quality_issues"))
+            .select("symbol", "trade_date", "avg_spread_bps", F.col("_q")[0].alias("median_spread_bps"),
+                    F.col("_q")[1].alias("p95_spread_bps"), "quote_count", "quote_quality_issues"))
 
 
 def daily_summary(stg_trades: DataFrame, stg_quotes: DataFrame, tie: Sequence[str] = (),

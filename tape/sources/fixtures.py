@@ -86,10 +86,9 @@ def book_from_events(events: DataFrame) -> DataFrame:
     half = (F.col("k") + 1) / F.lit(1000.0)
     bid1 = F.when(crossed, mid0 + half + F.lit(0.01)).otherwise(mid0 - half)
     ask1 = F.when(crossed, mid0 - half - F.lit(0.01)).otherwise(mid0 + half)
-    lv = F.sequence(F.lit(1), F.lit(BOOK_LEVELS))
-
     def per_level(fn, zero):
-        return F.transform(lv, lambda i: F.when(missing & (i > 5), zero).otherwise(fn(i)))
+        return F.array(*[F.when(missing & F.lit(i > 5), zero).otherwise(fn(F.lit(i)))
+                         for i in range(1, BOOK_LEVELS + 1)])
 
     flag = F.when(crossed, "CROSSED_BOOK").when(missing, "MISSING_LEVELS").otherwise("OK")
     return b.select(
