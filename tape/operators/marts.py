@@ -25,8 +25,23 @@ def daily_trade_stats(stg_trades: DataFrame, tie: Sequence[str] = ()) -> DataFra
                  F.count_if("has_quality_issue").alias("trade_quality_issues")))
 
 
-def daily_quote_stats(stg_quotes: DataFrame, exact: bool = True) -> DataFrame:
-    """Per symbol-day spread statistics."""
+def daily_quote_stats(stg_quotes: DataFrame, exact: bool | str = True) -> DataFrame:
+    """Per symbol-day spread statistics.
+
+    ``exact``: True = ``percentile`` (one value map per group), False = the
+    mergeable sketch, "distributed" = exact without a per-group map
+    (``tape.operators.quantiles``), for symbol-days too large for one task."""
+    if exact == "distributed":
+        from tape.operators.quantiles import exact_quantiles
+        base = (stg_quotes.groupBy("symbol", F.col("quote_date").alias("trade_date"))
+                .agg(F.avg("spread_bps").alias("avg_spread_bps"),
+                     F.count(F.lit(1)).alias("quote_count"),
+                     F.count_if("has_quality_issue").alias("quote_quality_issues")))
+        q = exact_quantiles(stg_quotes.withColumnRenamed("quote_date", "trade_date"), ["symbol", "trade_date"],
+                            "spread_bps", [0.5, 0.95], ["median_spread_bps", "p95_spread_bps"])
+        return (base.join(q, ["symbol", "trade_date"], "left")
+                .select("symbol", "trade_date", "avg_spread_bps", "median_spread_bps", "p95_spread_bps",
+                        "quote_count", "quote_quality_issues"))
     return (stg_quotes.groupBy("symbol", F.col("quote_date").alias("trade_date"))
             .agg(F.avg("spread_bps").alias("avg_spread_bps"),
                  P.quantiles("spread_bps", [0.5, 0.95], exact).alias("_q"),
@@ -37,7 +52,7 @@ def daily_quote_stats(stg_quotes: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def daily_summary(stg_trades: DataFrame, stg_quotes: DataFrame, tie: Sequence[str] = (),
-                  exact: bool = True) -> DataFrame:
+                  exact: bool | str = True) -> DataFrame:
     """Q14 ``mart_daily_summary``: trade day ⟕ quote day on (symbol, date).
 
     Both sides are already hash-partitioned on the key by their aggregates, so

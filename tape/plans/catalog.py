@@ -193,6 +193,13 @@ def q_mart_daily_summary(spark, sf):
     return daily(spark, sf)
 
 
+def q_daily_spread_quantiles(spark, sf):
+    """D9/D10 at scale: exact daily median and p95 spread without a per-group map."""
+    from tape.operators.quantiles import exact_quantiles
+    return exact_quantiles(quotes(spark, sf), ["symbol", "quote_date"], "spread_bps", [0.5, 0.95],
+                           ["median_spread_bps", "p95_spread_bps"])
+
+
 def q_mart_data_quality_summary(spark, sf):
     return marts.data_quality_summary(trades(spark, sf), quotes(spark, sf))
 
@@ -506,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "dq_rate": q_dq_rate,
     "mart_daily_summary": q_mart_daily_summary,
     "mart_data_quality_summary": q_mart_data_quality_summary,
+    "daily_spread_quantiles": q_daily_spread_quantiles,
     "chk_not_null": q_chk_not_null,
     "chk_accepted": q_chk_accepted,
     "chk_dup": q_chk_dup,

@@ -413,3 +413,7 @@ FROM stg_trades GROUP BY ALL HAVING count(*) > 1""",
 
 SQL["rep_size_sample"] = _REP + f"""SELECT "timestamp", tick_id, trade_size FROM trades
 WHERE {_tw('"timestamp"', _ONE)} AND data_quality_flag = 'OK' ORDER BY "timestamp", tick_id LIMIT 100000"""
+
+SQL["daily_spread_quantiles"] = with_(*QUOTE_CTES) + f"""SELECT symbol, quote_date, {qx("xs", 0.5)} AS median_spread_bps,
+  {qx("xs", 0.95)} AS p95_spread_bps
+FROM (SELECT symbol, quote_date, {sorted_list("spread_bps")} AS xs FROM stg_quotes GROUP BY ALL)"""

@@ -90,3 +90,28 @@ def test_second_scan_adds_nothing(spark):
     first = quality.scan(t, q, as_of=AS_OF, tie=["tick_id"])
     assert first.count() > 0
     assert quality.scan(t, q, log=first, as_of=AS_OF, tie=["tick_id"]).count() == 0
+
+
+def test_distributed_quantiles_equal_percentile_on_a_hot_group(spark):
+    from tape.operators.quantiles import exact_quantiles
+    from tape.sources import fixtures as fx
+    t = fx.trades_from_lineitem(fx.table(spark, SF_MID, "lineitem"))
+    # one symbol holds most rows; many repeated values; split over 13 range partitions
+    t = t.withColumn("grp", F.when(F.col("symbol") < "S20", F.lit("HOT")).otherwise(F.col("symbol")))
+    t = t.withColumn("px", F.round("trade_price", 0))
+    qs = [0.0, 0.25, 0.5, 0.95, 1.0]
+    got = exact_quantiles(t, ["grp"], "px", qs, partitions=13)
+    ref = t.groupBy("grp").agg(F.percentile("px", F.array(*[F.lit(q) for q in qs])).alias("p"))
+    exp = {r["grp"]: r["p"] for r in rows(ref)}
+    out = rows(got)
+    assert len(out) == len(exp) == 6
+    for r in out:
+        assert [r[f"q{i}"] for i in range(len(qs))] == exp[r["grp"]]
+
+
+def test_daily_mart_distributed_quantiles_mode(spark):
+    from tape.operators import marts
+    t, q = C.trades(spark, SF_SMALL), C.quotes(spark, SF_SMALL)
+    a = rows(marts.daily_summary(t, q, tie=["tick_id"]))
+    b = rows(marts.daily_summary(t, q, tie=["tick_id"], exact="distributed"))
+    assert bag(a) == bag(b)
