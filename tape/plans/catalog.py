@@ -117,8 +117,9 @@ def q_dq_crossed(spark, sf):
 
 
 def q_dq_stale(spark, sf):
-    """Stale check on the plain per-symbol window (the model as written)."""
-    return quality.stale_quotes(raw_quotes(spark, sf), tie=TIE, blocked=False, as_of=AS_OF).drop("detected_at")
+    """Stale check (bounded blocked windows; the plain per-symbol window gives
+    the same rows, see tests/test_equivalence.py)."""
+    return quality.stale_quotes(raw_quotes(spark, sf), tie=TIE, as_of=AS_OF).drop("detected_at")
 
 
 def q_dq_stale_blocked(spark, sf):
@@ -128,13 +129,12 @@ def q_dq_stale_blocked(spark, sf):
 
 
 def q_dq_stale_daily(spark, sf):
-    return quality.stale_quotes(raw_quotes(spark, sf), tie=TIE, reset_daily=True, blocked=False,
-                                as_of=AS_OF).drop("detected_at")
+    return quality.stale_quotes(raw_quotes(spark, sf), tie=TIE, reset_daily=True, as_of=AS_OF).drop("detected_at")
 
 
 def q_dq_outlier(spark, sf):
-    """Outlier check on the plain 1000-row sliding window (the model as written)."""
-    return (quality.price_outliers(raw_trades(spark, sf), tie=TIE, blocked=False, as_of=AS_OF)
+    """Outlier check with the library defaults (blocked windows, 100,000-row blocks)."""
+    return (quality.price_outliers(raw_trades(spark, sf), tie=TIE, as_of=AS_OF)
             .select(*FINDING, "trade_price"))
 
 
