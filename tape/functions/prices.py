@@ -63,14 +63,33 @@ def fmt(x, decimals: int) -> Column:
     return F.format_string(f"%.{decimals}f", col(x))
 
 
-def first_by_time(value, order: list) -> Column:
+def order_key(order: list, dtypes: dict | None = None) -> Column:
+    """A single ordering key for (timestamp[, tie]).
+
+    A struct key forces sort-based aggregation (struct buffers are not
+    updatable in place), so when the order is a timestamp and at most one
+    integral tie column it is packed into ``decimal(38,0)``:
+    epoch-µs · 10²⁰ + tie — order preserving for any 64-bit tie, and hash
+    aggregatable.  Other shapes keep the struct."""
+    from tape.functions.time import epoch_micros
+    integral = ("bigint", "int", "smallint", "tinyint")
+    if len(order) == 1:
+        return col(order[0])
+    if len(order) == 2 and dtypes is not None and dtypes.get(order[1]) in integral:
+        us = epoch_micros(order[0]).cast("decimal(38,0)")
+        from decimal import Decimal
+        return us * F.lit(Decimal(10 ** 20)).cast("decimal(38,0)") + col(order[1]).cast("decimal(38,0)")
+    return F.struct(*[col(c) for c in order])
+
+
+def first_by_time(value, order: list, dtypes: dict | None = None) -> Column:
     """D2 open: value at the earliest (timestamp, tie key...)."""
-    return F.min_by(col(value), F.struct(*[col(c) for c in order]))
+    return F.min_by(col(value), order_key(order, dtypes))
 
 
-def last_by_time(value, order: list) -> Column:
+def last_by_time(value, order: list, dtypes: dict | None = None) -> Column:
     """D2 close: value at the latest (timestamp, tie key...)."""
-    return F.max_by(col(value), F.struct(*[col(c) for c in order]))
+    return F.max_by(col(value), order_key(order, dtypes))
 
 
 def quantiles(c, qs: list[float], exact: bool = True, accuracy: int = 10000) -> Column:

@@ -32,8 +32,8 @@ def vwap_bars(stg_trades: DataFrame, seconds: int = 60, tie: Sequence[str] = (),
                  F.count(F.lit(1)).alias("trade_count"),
                  F.min("trade_price").alias("low"),
                  F.max("trade_price").alias("high"),
-                 P.first_by_time("trade_price", order).alias("open"),
-                 P.last_by_time("trade_price", order).alias("close")))
+                 P.first_by_time("trade_price", order, dict(stg_trades.dtypes)).alias("open"),
+                 P.last_by_time("trade_price", order, dict(stg_trades.dtypes)).alias("close")))
 
 
 def volume_profile(stg_trades: DataFrame, seconds: int = 300) -> DataFrame:

@@ -14,8 +14,8 @@ def daily_trade_stats(stg_trades: DataFrame, tie: Sequence[str] = ()) -> DataFra
     """Per symbol-day over all staged trades (flagged ones included)."""
     order = ["timestamp", *tie]
     return (stg_trades.groupBy("symbol", "trade_date")
-            .agg(P.first_by_time("trade_price", order).alias("open_price"),
-                 P.last_by_time("trade_price", order).alias("close_price"),
+            .agg(P.first_by_time("trade_price", order, dict(stg_trades.dtypes)).alias("open_price"),
+                 P.last_by_time("trade_price", order, dict(stg_trades.dtypes)).alias("close_price"),
                  F.max("trade_price").alias("high_price"),
                  F.min("trade_price").alias("low_price"),
                  F.sum("trade_size").alias("total_volume"),

@@ -35,8 +35,8 @@ def vwap_bars(stg_trades: DataFrame, watermark: str = "10 minutes", width: str =
                  F.count(F.lit(1)).alias("trade_count"),
                  F.min("trade_price").alias("low"),
                  F.max("trade_price").alias("high"),
-                 P.first_by_time("trade_price", order).alias("open"),
-                 P.last_by_time("trade_price", order).alias("close"))
+                 P.first_by_time("trade_price", order, dict(stg_trades.dtypes)).alias("open"),
+                 P.last_by_time("trade_price", order, dict(stg_trades.dtypes)).alias("close"))
             .select("symbol", F.col("window.start").alias("minute_bucket"), "trade_date", "vwap",
                     "total_volume", "total_notional", "trade_count", "low", "high", "open", "close"))
 

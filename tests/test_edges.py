@@ -145,3 +145,16 @@ def test_missing_input_is_reported(spark, tmp_path):
     from tape.sources import io
     with pytest.raises(io.MissingInput):
         io.read_csv(spark, "trades", str(tmp_path / "nope.csv"))
+
+
+def test_packed_order_key_handles_extreme_tie_keys(spark):
+    big, small = 9_223_372_036_854_775_807, -9_223_372_036_854_775_807
+    s = staging.stg_trades(T(spark, [trade("A", "2024-01-02 15:00:00", 11, 1, tid=big),
+                                     trade("A", "2024-01-02 15:00:00", 10, 1, tid=small),
+                                     trade("A", "2024-01-02 15:00:00.000001", 12, 1, tid=small),
+                                     trade("A", "2024-01-02 14:59:59.999999", 9, 1, tid=big)]), keep=["tick_id"])
+    r = rows(bars.vwap_bars(s, tie=["tick_id"]))
+    by_min = {x["minute_bucket"].minute: x for x in r}
+    assert (by_min[0]["open"], by_min[0]["close"]) == (10.0, 12.0)
+    d = rows(marts.daily_trade_stats(s, tie=["tick_id"]))[0]
+    assert (d["open_price"], d["close_price"]) == (9.0, 12.0)
