@@ -7,9 +7,10 @@ Plan (no per-symbol partition, no pairwise candidates):
 2. Inside (symbol, minute), ``last(quote, ignorenulls)`` over the running
    frame gives the prevailing quote when one exists earlier in the bucket.
 3. For rows whose bucket has no earlier quote, carry the last quote of the
-   previous buckets: per (symbol, bucket) last quote → running
-   ``last(ignorenulls)`` over the bucket list (a table of symbols × buckets,
-   independent of the tick count) → equi-join on (symbol, bucket).
+   previous buckets: per (symbol, bucket) last quote of the quote side →
+   running ``last(ignorenulls)`` over the bucket list of both sides (a table
+   of symbols × buckets, independent of the tick count) → equi-join on
+   (symbol, bucket).
 
 ``strict=True`` requires the quote to be strictly earlier than the trade;
 otherwise a quote at the same timestamp prevails (quotes sort first).
@@ -44,12 +45,20 @@ def prevailing(left: DataFrame, right: DataFrame, right_cols: Sequence[str], by:
     w = (Window.partitionBy(by, "_cb").orderBy(ts, "_side", "_rt")
          .rowsBetween(Window.unboundedPreceding, 0))
     u = u.withColumn("_last", F.last("_q", ignorenulls=True).over(w))
-    # last quote of every (symbol, bucket), carried across buckets
-    per_bucket = (u.groupBy(by, "_cb")
-                  .agg(F.max_by("_q", F.when(F.col("_q").isNotNull(),
-                                             F.struct(F.col(ts), F.col("_side"), F.col("_rt")))).alias("_bq")))
+    # last quote of every (symbol, bucket) from the quote side only, one
+    # max_by per column over a packed order key (hash aggregation), then
+    # carried forward over the bucket list of both sides (symbols × buckets)
+    from tape.functions.prices import order_key
+    rb = right.withColumn("_cb", bucket(ts, coarse_seconds))
+    key = order_key([ts, *right_tie], dict(rb.dtypes))
+    per_bucket = (rb.groupBy(by, "_cb")
+                  .agg(*[F.max_by(c, key).alias(c) for c in [ts, *right_cols]])
+                  .select(by, "_cb", F.struct(*[F.col(c) for c in [ts, *right_cols]]).alias("_bq")))
+    buckets = (left.select(by, bucket(ts, coarse_seconds).alias("_cb"))
+               .unionByName(rb.select(by, "_cb")).distinct())
     before = Window.partitionBy(by).orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(by, "_cb", F.last("_bq", ignorenulls=True).over(before).alias("_carry"))
+    carry = (buckets.join(per_bucket, [by, "_cb"], "left")
+             .select(by, "_cb", F.last("_bq", ignorenulls=True).over(before).alias("_carry")))
     out = (u.where(F.col("_row").isNotNull())
            .join(carry, [by, "_cb"], "left")
            .withColumn("_m", F.coalesce("_last", "_carry")))
