@@ -469,10 +469,11 @@ def q_stream_dedup(spark, sf):
 
 
 def q_stream_stale(spark, sf):
-    """Stale-quote gaps with per-symbol state."""
+    """Stale-quote gaps with per-symbol event-time state; ticks are
+    reported once the final watermark (last tick − 10 minutes) has passed them."""
     from tape.streaming import run as srun, ticks as st
     q = st.event_time(fx.quotes_from_events(_event_stream(spark, sf)))
-    out = srun.run_to_parquet(st.stale_quotes(q, tie=TIE), "stale")
+    out = srun.run_to_parquet(st.stale_quotes(q, tie="tick_id"), "stale")
     return out.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 

@@ -399,7 +399,9 @@ SQL.update({
     "stream_vwap_bars": with_(*TRADE_CTES, _VWAP_CTE) + """SELECT * FROM int_vwap
 WHERE minute_bucket + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
     "stream_dedup": with_(*RAW_CTES) + "SELECT * FROM trades",
-    "stream_stale": with_(*RAW_CTES) + _stale(),
+    "stream_stale": with_(*RAW_CTES) + f"""SELECT * FROM ({_stale()})
+WHERE epoch_us(event_time) <= ((SELECT max(epoch_us(ts)) FROM events
+                                WHERE hour(ts) >= 14 AND hour(ts) < 21) // 1000 - 600000) * 1000""",
     "stream_checks_sink": with_(*RAW_CTES) + f"{_CROSSED}\nUNION ALL {_ZERO_Q}",
 })
 

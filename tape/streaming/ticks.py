@@ -65,47 +65,68 @@ def drop_repeated_ticks(ticks: DataFrame, keys: Sequence[str], watermark: str =
 
 STALE_SCHEMA = ("source_table string, symbol string, event_time timestamp, issue_type string, "
                 "severity string, details string, gap_us long")
-STALE_STATE = "last_us long"
+STALE_STATE = "last_us long, pend_us array<long>, pend_tie array<long>"
 
 
-def _stale_fn(gap_us: int, tie: Sequence[str]):
-    order = ["_us", *tie]
+def _stale_fn(gap_us: int, tie: str | None):
+    """Event-time stale check for one symbol.
 
+    State: the last finalised tick (µs) and the ticks not yet final.  A tick
+    is final once the watermark has passed it: no earlier tick can still
+    arrive, so gaps are computed in (time, tie) order exactly as the batch
+    ``lag``.  Ticks older than the last finalised one are late and dropped.
+    The event-time timeout is the earliest pending tick, so a symbol that goes
+    quiet is still finalised when the watermark moves on."""
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        pdf["_us"] = pdf["timestamp"].astype("datetime64[us]").astype("int64")
-        pdf = pdf.sort_values(order, kind="mergesort")
-        last = state.get[0] if state.exists else None
-        prev = pdf["_us"].shift(1)
-        if last is not None and len(pdf):
+        if state.exists:
+            last, p_us, p_tie = state.get
+            pend = pd.DataFrame({"_us": list(p_us or []), "_tie": list(p_tie or [])}, dtype="int64")
+        else:
+            last, pend = None, pd.DataFrame({"_us": [], "_tie": []}, dtype="int64")
+        for pdf in pdfs:
+            if len(pdf):
+                us = pdf["timestamp"].astype("datetime64[us]").astype("int64")
+                t = pdf[tie].astype("int64") if tie else pd.Series(0, index=pdf.index, dtype="int64")
+                pend = pd.concat([pend, pd.DataFrame({"_us": us.values, "_tie": t.values})], ignore_index=True)
+        if last is not None:
+            pend = pend[pend["_us"] >= last]
+        wm_us = state.getCurrentWatermarkMs() * 1000
+        pend = pend.sort_values(["_us", "_tie"], kind="mergesort")
+        done, pend = pend[pend["_us"] <= wm_us], pend[pend["_us"] > wm_us]
+        prev = done["_us"].shift(1)
+        if last is not None and len(done):
             prev.iloc[0] = last
-        gap = pdf["_us"] - prev
-        hit = pdf[gap > gap_us].copy()
-        g = gap[gap > gap_us].astype("int64")
+        gap = done["_us"] - prev
+        sel = gap > gap_us
+        g = gap[sel].astype("int64")
         cs = (g + 5000) // 10000
-        hit["details"] = ("gap_seconds=" + (cs // 100).astype(str) + "."
-                          + (cs % 100).astype(str).str.zfill(2))
-        if len(pdf):
-            state.update((int(pdf["_us"].iloc[-1]),))
-        yield pd.DataFrame({
-            "source_table": "quotes", "symbol": hit["symbol"], "event_time": hit["timestamp"],
-            "issue_type": "STALE_QUOTE", "severity": "WARNING", "details": hit["details"],
+        out = pd.DataFrame({
+            "source_table": "quotes", "symbol": key[0],
+            "event_time": pd.to_datetime(done.loc[sel, "_us"], unit="us"),
+            "issue_type": "STALE_QUOTE", "severity": "WARNING",
+            "details": "gap_seconds=" + (cs // 100).astype(str) + "." + (cs % 100).astype(str).str.zfill(2),
             "gap_us": g})
+        if len(done):
+            last = int(done["_us"].iloc[-1])
+        state.update((last, pend["_us"].tolist(), pend["_tie"].tolist()))
+        if len(pend):
+            state.setTimeoutTimestamp(int(pend["_us"].min()) // 1000)
+        yield out
     return fn
 
 
 def stale_quotes(quotes: DataFrame, gap_seconds: float = 5.0, hours: tuple[int, int] = (14, 21),
-                 tie: Sequence[str] = ()) -> DataFrame:
-    """Stale-quote gaps on a stream; the last tick time per symbol is the
-    state (``lag`` is not allowed on streams).  Assumes each symbol's ticks
-    arrive in time order across micro-batches; within a batch they are sorted.
-    Each call sees one symbol's rows of one micro-batch, bounded by the
-    trigger size (``maxFilesPerTrigger`` / ``maxBytesPerTrigger``)."""
+                 tie: str | None = None, watermark: str = "10 minutes") -> DataFrame:
+    """Stale-quote gaps on a stream with per-symbol state (``lag`` is not
+    allowed on streams).  Out-of-order ticks within ``watermark`` are put in
+    order before gaps are taken; ticks are reported once the watermark passes
+    them.  ``tie`` is one integral column that orders equal timestamps."""
     from tape.functions.time import hour_in
-    q = quotes.where(hour_in("timestamp", *hours)).select("symbol", "timestamp", *tie)
+    cols = ["symbol", "timestamp"] + ([tie] if tie else [])
+    q = quotes.where(hour_in("timestamp", *hours)).select(*cols).withWatermark("timestamp", watermark)
     return q.groupBy("symbol").applyInPandasWithState(
-        _stale_fn(int(round(gap_seconds * 1_000_000)), list(tie)), STALE_SCHEMA, STALE_STATE,
-        "append", GroupStateTimeout.NoTimeout)
+        _stale_fn(int(round(gap_seconds * 1_000_000)), tie), STALE_SCHEMA, STALE_STATE,
+        "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def checks_to_log(log_path: str, as_of=None):
