@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tape.oracle import (BOOK_CTES, LI_TRADES, QUOTE_CTES, STG_LI_TRADES, TRADE_CTES, EV, with_)
+from tape.oracle import (BOOK_CTES, EV, LI_TRADES, QUOTE_CTES, STG_LI_TRADES, TRADE_CTES, with_)
 
 _VWAP_SELECT = """SELECT symbol, date_trunc('minute', "timestamp") AS minute_bucket, trade_date,
   CASE WHEN sum(trade_size) = 0 THEN NULL ELSE sum(trade_notional) / sum(trade_size) END AS vwap,
@@ -45,7 +45,7 @@ FROM snap, range(1, len(bid_prices) + 1) r(i)
 UNION ALL
 SELECT symbol, "timestamp", snap_date, 'ask', CAST(i AS INTEGER), ask_prices[i], ask_sizes[i], mid_price,
   weighted_mid, book_imbalance, has_quality_issue
-FROM snap, range(1, len(ask_prices) + 1) r(i)""".replace("WITH ", "WITH ", 1),
+FROM snap, range(1, len(ask_prices) + 1) r(i)""",
     "int_vwap": with_(*TRADE_CTES) + _VWAP_SELECT.format(tie="tick_id", tie_desc="tick_id DESC"),
     "int_vwap_lineitem": with_(LI_TRADES, STG_LI_TRADES) + _VWAP_SELECT.format(tie=LI_TIE, tie_desc=LI_TIE_DESC),
     "int_volume_profile": with_(*TRADE_CTES) + _PROFILE_SELECT,
@@ -54,8 +54,6 @@ FROM snap, range(1, len(ask_prices) + 1) r(i)""".replace("WITH ", "WITH ", 1),
     "spread_hourly": with_(*QUOTE_CTES) + _SPREAD_SELECT.format(unit="hour"),
 }
 
-_ = EV
-
 
 def qx(xs: str, q: float) -> str:
     """Exact interpolated quantile of a sorted list, written with the same
@@ -136,7 +134,7 @@ FROM (SELECT symbol, minute_bucket, snap_date, avg(mid_price) AS avg_mid_price,
                                    xb=sorted_list("bbo_spread_bps"), xi=sorted_list("book_imbalance"))
 
 SQL["int_order_book_depth"] = (with_(*BOOK_CTES) + ",\n" + _SNAP.format(depth=_depth_cols()) + "\n"
-                               + _DEPTH_SELECT).replace("WITH ", "WITH ", 1)
+                               + _DEPTH_SELECT)
 SQL["book_depth_arrays"] = SQL["int_order_book_depth"]
 
 # --- quality findings -------------------------------------------------------------
