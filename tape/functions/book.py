@@ -18,19 +18,23 @@ from tape.functions.time import col
 from tape.schemas import BOOK_LEVELS
 
 
-def _el(a, i: int) -> Column:
-    """Element ``i`` (1-based); NULL past the end."""
-    return F.try_element_at(col(a), F.lit(i))
+def _n(c) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + c.replace("`", "``") + "`"
 
 
-def _unrolled(arrays: list, term, zero, levels: int, fallback: Column) -> Column:
-    """Σ over levels of ``term(elements…)``, left to right from ``zero``;
-    levels past the array's end add ``zero``."""
-    acc = zero
-    n = F.size(col(arrays[0])) if len(arrays) == 1 else F.greatest(*[F.size(col(a)) for a in arrays])
-    for i in range(1, levels + 1):
-        acc = acc + F.when(n >= i, term(*[_el(a, i) for a in arrays])).otherwise(zero)
-    return F.when(n <= levels, acc).otherwise(fallback)
+def _unrolled(arrays: list[str], term, zero: str, levels: int, fallback: str) -> Column:
+    """Σ over levels of ``term(i)``, left to right from ``zero``; levels past
+    the arrays' end add ``zero``.  Built as SQL text: one expression parsed
+    on the JVM side instead of thousands of Python-side calls."""
+    n = (f"size({_n(arrays[0])})" if len(arrays) == 1
+         else "greatest(" + ", ".join(f"size({_n(a)})" for a in arrays) + ")")
+    terms = " + ".join(f"(CASE WHEN {n} >= {i} THEN {term(i)} ELSE {zero} END)" for i in range(1, levels + 1))
+    return F.expr(f"CASE WHEN {n} <= {levels} THEN {zero} + {terms} ELSE {fallback} END")
+
+
+def _at(a: str, i: int) -> str:
+    return f"try_element_at({_n(a)}, {i})"
 
 
 def best(prices) -> Column:
@@ -38,17 +42,17 @@ def best(prices) -> Column:
     return F.element_at(col(prices), 1)
 
 
-def array_sum(a, levels: int = BOOK_LEVELS) -> Column:
-    zero = F.lit(0).cast("long")
-    hof = F.aggregate(col(a), zero, lambda acc, x: acc + x)
-    return _unrolled([a], lambda x: x, zero, levels, hof)
+def array_sum(a: str, levels: int = BOOK_LEVELS) -> Column:
+    zero = "CAST(0 AS BIGINT)"
+    return _unrolled([a], lambda i: _at(a, i), zero, levels,
+                     f"aggregate({_n(a)}, {zero}, (acc, x) -> acc + x)")
 
 
-def dot(prices, sizes, levels: int = BOOK_LEVELS) -> Column:
+def dot(prices: str, sizes: str, levels: int = BOOK_LEVELS) -> Column:
     """Σ price·size over levels."""
-    hof = F.aggregate(F.zip_with(col(prices), col(sizes), lambda p, s: p * s),
-                      F.lit(0.0), lambda acc, x: acc + x)
-    return _unrolled([prices, sizes], lambda p, s: p * s, F.lit(0.0), levels, hof)
+    zero = "CAST(0 AS DOUBLE)"
+    hof = f"aggregate(zip_with({_n(prices)}, {_n(sizes)}, (p, s) -> p * s), {zero}, (acc, v) -> acc + v)"
+    return _unrolled([prices, sizes], lambda i: f"{_at(prices, i)} * {_at(sizes, i)}", zero, levels, hof)
 
 
 def snapshot_mid(bid_prices="bid_prices", ask_prices="ask_prices", digits: int | None = 4) -> Column:
@@ -77,15 +81,18 @@ def imbalance(bid_sizes="bid_sizes", ask_sizes="ask_sizes", digits: int | None =
     return F.coalesce(v, F.lit(0.0))
 
 
-def depth_within(prices, sizes, mid_col, bps: float, side: str, levels: int = BOOK_LEVELS) -> Column:
+def depth_within(prices: str, sizes: str, mid_col: str, bps: float, side: str,
+                 levels: int = BOOK_LEVELS) -> Column:
     """Σ size of the levels inside the bps band around mid (H15 on arrays)."""
-    lim = col(mid_col) * F.lit(1.0 - bps / 10000.0 if side == "bid" else 1.0 + bps / 10000.0)
-    inside_p = (lambda p: p >= lim) if side == "bid" else (lambda p: p <= lim)
-    zero = F.lit(0).cast("long")
-    hof = F.aggregate(F.filter(F.arrays_zip(col(prices).alias("p"), col(sizes).alias("s")),
-                               lambda x: inside_p(x["p"])),
-                      zero, lambda acc, x: acc + x["s"])
-    return _unrolled([prices, sizes], lambda p, s: F.when(inside_p(p), s).otherwise(zero), zero, levels, hof)
+    factor = 1.0 - bps / 10000.0 if side == "bid" else 1.0 + bps / 10000.0
+    lim = f"({_n(mid_col)} * {factor!r}D)"
+    op = ">=" if side == "bid" else "<="
+    zero = "CAST(0 AS BIGINT)"
+    hof = (f"aggregate(filter(arrays_zip({_n(prices)}, {_n(sizes)}), z -> z.{_n(prices)} {op} {lim}), "
+           f"{zero}, (acc, z) -> acc + z.{_n(sizes)})")
+    return _unrolled([prices, sizes],
+                     lambda i: f"CASE WHEN {_at(prices, i)} {op} {lim} THEN {_at(sizes, i)} ELSE {zero} END",
+                     zero, levels, hof)
 
 
 def levels(side: str, prices, sizes) -> Column:

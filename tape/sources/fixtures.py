@@ -77,27 +77,33 @@ def quotes_from_events(events: DataFrame) -> DataFrame:
 
 def book_from_events(events: DataFrame) -> DataFrame:
     """Raw snapshots (arrays only); mid / weighted mid / imbalance are added
-    by ``tape.operators.staging.enrich_book`` (C6–C8)."""
+    by ``tape.operators.staging.enrich_book`` (C6–C8).  The per-level arrays
+    are SQL text over the best prices (one expression per array)."""
     b = _event_base(events)
     tid = F.col("tick_id")
     crossed = (tid % 700) == 5
     missing = ((tid % 400) == 11) & ~crossed
     mid0 = F.lit(100.0) + F.col("value") / F.lit(10.0)
     half = (F.col("k") + 1) / F.lit(1000.0)
-    bid1 = F.when(crossed, mid0 + half + F.lit(0.01)).otherwise(mid0 - half)
-    ask1 = F.when(crossed, mid0 - half - F.lit(0.01)).otherwise(mid0 + half)
+    b = b.select("symbol", "timestamp", "tick_id",
+                 F.when(crossed, mid0 + half + F.lit(0.01)).otherwise(mid0 - half).alias("_bid1"),
+                 F.when(crossed, mid0 - half - F.lit(0.01)).otherwise(mid0 + half).alias("_ask1"),
+                 missing.alias("_missing"),
+                 F.when(crossed, "CROSSED_BOOK").when(missing, "MISSING_LEVELS").otherwise("OK")
+                 .alias("data_quality_flag"))
+
     def per_level(fn, zero):
-        return F.array(*[F.when(missing & F.lit(i > 5), zero).otherwise(fn(F.lit(i)))
-                         for i in range(1, BOOK_LEVELS + 1)])
+        return F.expr("array(" + ", ".join(
+            f"CASE WHEN _missing AND {str(i > 5).lower()} THEN {zero} ELSE {fn(i)} END"
+            for i in range(1, BOOK_LEVELS + 1)) + ")")
 
-    flag = F.when(crossed, "CROSSED_BOOK").when(missing, "MISSING_LEVELS").otherwise("OK")
     return b.select(
         "symbol", "timestamp",
-        per_level(lambda i: bid1 - (i - 1) * F.lit(0.02), F.lit(0.0)).alias("bid_prices"),
-        per_level(lambda i: F.lit(100) * (F.lit(1) + (tid * i) % 7), F.lit(0).cast("long")).alias("bid_sizes"),
-        per_level(lambda i: ask1 + (i - 1) * F.lit(0.02), F.lit(0.0)).alias("ask_prices"),
-        per_level(lambda i: F.lit(100) * (F.lit(1) + (tid * i) % 5), F.lit(0).cast("long")).alias("ask_sizes"),
-        flag.alias("data_quality_flag"),
+        per_level(lambda i: f"_bid1 - ({i} - 1) * 0.02D", "0.0D").alias("bid_prices"),
+        per_level(lambda i: f"100 * (1 + (tick_id * {i}) % 7)", "CAST(0 AS BIGINT)").alias("bid_sizes"),
+        per_level(lambda i: f"_ask1 + ({i} - 1) * 0.02D", "0.0D").alias("ask_prices"),
+        per_level(lambda i: f"100 * (1 + (tick_id * {i}) % 5)", "CAST(0 AS BIGINT)").alias("ask_sizes"),
+        "data_quality_flag",
         "tick_id",
     )
 
