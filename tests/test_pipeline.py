@@ -22,3 +22,19 @@ def test_pipeline_is_idempotent_and_matches_lazy_models(spark, tmp_path):
     assert checks["no_duplicates:stg_trades"] == 0 and checks["no_future:stg_quotes"] == 0
     second = run_pipeline(spark, raw, out_dir, as_of=as_of, tie=["tick_id"])
     assert {k: second[k].count() for k in counts} == counts
+
+
+def test_report_time_range_prunes_day_partitions(spark, tmp_path):
+    from tape.operators import bars
+    from tape.plans import reports
+    from tape.sources import io
+    path = str(tmp_path / "int_vwap")
+    io.write_table(bars.vwap_bars(C.trades(spark, SF_SMALL), tie=["tick_id"]), path, date_col="trade_date",
+                   sort_cols=["symbol", "minute_bucket"])
+    table = spark.read.parquet(path)
+    r = reports.vwap_series(table, "2024-01-10 00:00:00", "2024-01-12 23:59:59", ["click_0", "view_1"])
+    plan = spark._jvm.PythonSQLUtils.explainString(r._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(trade_date" in plan and "(trade_date#" in plan
+    assert "PushedFilters: [" in plan and "In(symbol, [click_0,view_1])" in plan
+    got = rows(r)
+    assert got and all(dt.date(2024, 1, 10) <= x["time"].date() <= dt.date(2024, 1, 12) for x in got)
