@@ -31,12 +31,13 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence
     names = list(names or [f"q{i}" for i in range(len(qs))])
     vc = (df.where(F.col(value).isNotNull())
           .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
-    n = vc.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     r = vc.repartitionByRange(partitions, *keys, value) if partitions else vc.repartitionByRange(*keys, value)
     r = r.withColumn("_pid", F.spark_partition_id())
+    # chunk sizes from the partitioned counts (partial aggregation, small shuffle)
+    chunks = r.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_cc"))
+    n = chunks.groupBy(*keys).agg(F.sum("_cc").alias("_n"))
     chunk_rows = Window.partitionBy(*keys, "_pid").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     r = r.withColumn("_cum", F.sum("_c").over(chunk_rows))
-    chunks = r.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_cc"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = chunks.select(*keys, "_pid", F.coalesce(F.sum("_cc").over(before), F.lit(0)).alias("_off"))
     r = (r.join(offs, [*keys, "_pid"]).join(n, keys)

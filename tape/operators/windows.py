@@ -33,8 +33,9 @@ def global_row_number(df: DataFrame, part: Sequence[str], order: Sequence[str],
     part = list(part)
     d = df.withColumn("_cb", bucket(ts, coarse_seconds))
     local = d.withColumn("_rl", F.row_number().over(Window.partitionBy(*part, "_cb").orderBy(*order)))
-    # Counts come from the ranked rows (same partitioning → no extra shuffle of the data).
-    counts = local.groupBy(*part, "_cb").agg(F.max("_rl").alias("_n"))
+    # Counts straight from the input: partial aggregation ships one row per
+    # (symbol, minute) per task, instead of re-running the ranking shuffle.
+    counts = d.groupBy(*part, "_cb").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*part).orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(*part, "_cb", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return (local.join(offs, [*part, "_cb"])
