@@ -158,3 +158,29 @@ def test_packed_order_key_handles_extreme_tie_keys(spark):
     assert (by_min[0]["open"], by_min[0]["close"]) == (10.0, 12.0)
     d = rows(marts.daily_trade_stats(s, tie=["tick_id"]))[0]
     assert (d["open_price"], d["close_price"]) == (9.0, 12.0)
+
+
+def test_conform_rejects_missing_columns_and_casts(spark):
+    import pytest
+    from tape.sources import io
+    t = T(spark, [trade("A", "2024-01-02 15:00:00", 10, 1, tid=1)])
+    with pytest.raises(ValueError):
+        io.conform(t.drop("exchange"), "trades")
+    out = io.conform(t, "trades")
+    assert out.columns == ["symbol", "timestamp", "trade_price", "trade_size", "exchange", "trade_condition",
+                           "data_quality_flag"]
+
+
+def test_csv_malformed_row_fails_fast(spark, tmp_path):
+    import pytest
+    from tape.sources import io
+    p = tmp_path / "trades.csv"
+    p.write_text("symbol,timestamp,trade_price,trade_size,exchange,trade_condition,data_quality_flag\n"
+                 "A,2024-01-02 15:00:00.000001,10.5,100,NYSE,@,OK\n"
+                 "A,2024-01-02 15:00:01.000000,not-a-price,100,NYSE,@,OK\n")
+    with pytest.raises(Exception):
+        io.read_csv(spark, "trades", str(p)).collect()
+    p.write_text("symbol,timestamp,trade_price,trade_size,exchange,trade_condition,data_quality_flag\n"
+                 "A,2024-01-02 15:00:00.000001,10.5,100,NYSE,@,\n")
+    r = io.read_csv(spark, "trades", str(p)).collect()[0]
+    assert r["data_quality_flag"] == "OK" and r["timestamp"].microsecond == 1
