@@ -27,16 +27,19 @@ from tape.functions.time import bucket
 
 
 def prevailing(left: DataFrame, right: DataFrame, right_cols: Sequence[str], by: str = "symbol",
-               ts: str = "timestamp", left_tie: Sequence[str] = (), right_tie: Sequence[str] = (),
+               ts: str = "timestamp", right_tie: Sequence[str] = (),
                strict: bool = False, coarse_seconds: int = 60, prefix: str = "q_") -> DataFrame:
     """Left as-of join: ``left`` rows + ``prefix``-named columns of the
     prevailing ``right`` row (NULL when none)."""
     left_cols = left.columns
+    # quotes at the same timestamp: without a tie key, order them by their own
+    # values so the choice is the same on every run (and on recomputation)
+    right_tie = list(right_tie) or [c for c in right_cols if c != ts]
     q = F.struct(*[F.col(c).alias(c) for c in [ts, *right_cols]])
     # order key: time, then side (quotes first unless strict), then tie keys
     r_side, l_side = (1, 0) if strict else (0, 1)
     R = right.select(by, ts, F.lit(r_side).alias("_side"), q.alias("_q"),
-                     F.struct(*[F.col(c) for c in right_tie]).alias("_rt") if right_tie else F.lit(0).alias("_rt"))
+                     F.struct(*[F.col(c) for c in right_tie]).alias("_rt"))
     L = left.select(by, ts, F.lit(l_side).alias("_side"), F.lit(None).cast(R.schema["_q"].dataType).alias("_q"),
                     F.lit(None).cast(R.schema["_rt"].dataType).alias("_rt"),
                     F.struct(*[F.col(c) for c in left_cols]).alias("_row"))

@@ -23,14 +23,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tape.functions.time import bucket
 
 
+def total_order(df: DataFrame, part: Sequence[str], order: Sequence[str]) -> list[str]:
+    """``order`` extended with the other sortable columns, so equal keys rank
+    the same way on every run — a recomputed partition after an executor loss
+    numbers its rows exactly as the first attempt did.  Only rows equal in
+    every column stay interchangeable, and those give identical results."""
+    used = set(part) | set(order)
+    rest = [f.name for f in df.schema.fields
+            if f.name not in used and not isinstance(f.dataType, (T.MapType, T.BinaryType))]
+    return [*order, *rest]
+
+
 def global_row_number(df: DataFrame, part: Sequence[str], order: Sequence[str],
                       coarse_seconds: int = 60, ts: str = "timestamp", name: str = "_rn") -> DataFrame:
     """1-based row number per ``part`` in ``order`` without a per-symbol sort."""
     part = list(part)
+    order = total_order(df, part, order)
     d = df.withColumn("_cb", bucket(ts, coarse_seconds))
     local = d.withColumn("_rl", F.row_number().over(Window.partitionBy(*part, "_cb").orderBy(*order)))
     # Counts straight from the input: partial aggregation ships one row per

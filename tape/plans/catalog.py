@@ -414,14 +414,14 @@ def q_asof_trade_quote(spark, sf):
     """Trades with the prevailing earlier quote of the same symbol."""
     t = raw_trades(spark, sf).select("symbol", "timestamp", "tick_id", "trade_price", "trade_size")
     q = raw_quotes(spark, sf).select("symbol", "timestamp", "tick_id", "bid_price", "ask_price")
-    return asof.prevailing(t, q, ["bid_price", "ask_price"], left_tie=TIE, right_tie=TIE, strict=True)
+    return asof.prevailing(t, q, ["bid_price", "ask_price"], right_tie=TIE, strict=True)
 
 
 def q_flag_rules_trades(spark, sf):
     """Q12 on trades: zero size, or more than 5 % away from the prevailing quote mid."""
     t = raw_trades(spark, sf).select("symbol", "timestamp", "tick_id", "trade_price", "trade_size")
     q = raw_quotes(spark, sf).select("symbol", "timestamp", "tick_id", "bid_price", "ask_price")
-    j = asof.prevailing(t, q, ["bid_price", "ask_price"], left_tie=TIE, right_tie=TIE, strict=True)
+    j = asof.prevailing(t, q, ["bid_price", "ask_price"], right_tie=TIE, strict=True)
     j = j.withColumn("q_mid", (F.col("q_bid_price") + F.col("q_ask_price")) / F.lit(2.0))
     return flags.flag_trades(j, reference_price="q_mid").select("symbol", "timestamp", "tick_id",
                                                                 "data_quality_flag")

@@ -52,7 +52,7 @@ def test_rolling_stats_blocked_close_to_plain(spark):
 def test_asof_matches_pandas(spark):
     t = C.raw_trades(spark, SF_SMALL).select("symbol", "timestamp", "tick_id", "trade_price")
     q = C.raw_quotes(spark, SF_SMALL).select("symbol", "timestamp", "tick_id", "bid_price")
-    got = rows(asof.prevailing(t, q, ["bid_price"], left_tie=["tick_id"], right_tie=["tick_id"], strict=True,
+    got = rows(asof.prevailing(t, q, ["bid_price"], right_tie=["tick_id"], strict=True,
                                coarse_seconds=600))
     tp = t.toPandas().sort_values("timestamp")
     qp = q.toPandas().sort_values("timestamp").rename(columns={"timestamp": "q_timestamp", "bid_price": "q_bid_price",
