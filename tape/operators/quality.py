@@ -55,15 +55,16 @@ def _gap_text(us) -> Column:
 
 
 def stale_quotes(quotes: DataFrame, gap_seconds: float = 5.0, hours: tuple[int, int] = (14, 21),
-                 tie: Sequence[str] = (), reset_daily: bool = False, blocked: bool = True,
+                 tie: Sequence[str] = (), reset_daily: bool = False, blocked: bool | str = "auto",
                  block_rows: int = 100_000, as_of=None) -> DataFrame:
     """Q2: gap to the previous quote of the symbol > ``gap_seconds`` → WARNING.
 
     The hour filter runs before the lag (as in the source system).  The first
     quote of a symbol has no predecessor and is never reported (S1); with
     ``reset_daily`` the first quote of each day is not compared with the day
-    before (S2).  ``blocked`` (default) uses the bounded-partition plan of
-    ``tape.operators.windows``; ``blocked=False`` is the plain per-symbol window.
+    before (S2).  ``blocked``: "auto" (default) takes the bounded-partition
+    plan of ``tape.operators.windows`` unless the planned input is under its
+    size bound; True forces it; False is the plain per-symbol window.
     """
     q = quotes.where(hour_in("timestamp", *hours)).select("symbol", "timestamp", *tie)
     part = ["symbol"]
@@ -79,7 +80,7 @@ def stale_quotes(quotes: DataFrame, gap_seconds: float = 5.0, hours: tuple[int,
 
 
 def price_outliers(trades: DataFrame, rows: int = 1000, z_limit: float = 3.0, tie: Sequence[str] = (),
-                   blocked: bool = True, block_rows: int = 100_000, as_of=None) -> DataFrame:
+                   blocked: bool | str = "auto", block_rows: int = 100_000, as_of=None) -> DataFrame:
     """Q3: |price − rolling mean| / rolling σ > ``z_limit`` over the last
     ``rows`` trades of the symbol (current one included) → CRITICAL.
 
@@ -144,7 +145,7 @@ def new_findings(findings: DataFrame, log: DataFrame | None) -> DataFrame:
 
 
 def scan(trades: DataFrame, quotes: DataFrame, log: DataFrame | None = None, as_of=None,
-         tie: Sequence[str] = (), blocked: bool = True, block_rows: int = 100_000) -> DataFrame:
+         tie: Sequence[str] = (), blocked: bool | str = "auto", block_rows: int = 100_000) -> DataFrame:
     """Q6: all checks as one frame in the log schema, minus what ``log`` holds."""
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     parts = [

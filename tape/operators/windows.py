@@ -71,19 +71,48 @@ def with_halo(ranked: DataFrame, part: Sequence[str], halo: int, block_rows: int
             .drop("_copy"))
 
 
+SMALL_INPUT_BYTES = 64 * 1024 * 1024
+
+
+def planned_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (planning only)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def choose_plan(df: DataFrame, blocked, small_bytes: int = SMALL_INPUT_BYTES) -> str:
+    """``blocked``: True → "blocked", False → "sliding" (built-in frame, the
+    reference), "auto" → "single" (one window per symbol) when the planned
+    input is at most ``small_bytes``, else "blocked".  The single plan is only
+    taken behind that size bound, like a broadcast."""
+    if blocked == "auto":
+        size = planned_bytes(df)
+        return "single" if size is not None and size <= small_bytes else "blocked"
+    return "blocked" if blocked else "sliding"
+
+
 def rolling_mean_std(df: DataFrame, value: str, part: Sequence[str], order: Sequence[str],
-                     rows: int = 1000, blocked: bool = True, block_rows: int = 100_000,
-                     coarse_seconds: int = 60, ts: str = "timestamp") -> DataFrame:
+                     rows: int = 1000, blocked: bool | str = "auto", block_rows: int = 100_000,
+                     coarse_seconds: int = 60, ts: str = "timestamp",
+                     small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
     """Adds ``rolling_mean`` and ``rolling_std`` (population) over the last
     ``rows`` rows including the current one, per ``part`` in ``order``."""
     part = list(part)
-    if not blocked:
+    plan = choose_plan(df, blocked, small_bytes)
+    if plan == "sliding":
         w = Window.partitionBy(*part).orderBy(*order).rowsBetween(-(rows - 1), 0)
         return df.withColumns({"rolling_mean": F.avg(value).over(w),
                                "rolling_std": F.stddev_pop(value).over(w)})
     h = rows - 1
-    ranked = global_row_number(df, part, order, coarse_seconds, ts)
-    x = with_halo(ranked, part, h, max(block_rows, h))
+    if plan == "single":
+        order = total_order(df, part, order)
+        x = df.withColumns({"_rn": F.row_number().over(Window.partitionBy(*part).orderBy(*order)),
+                            "_blk": F.lit(0).cast("long"), "_halo": F.lit(False)})
+    else:
+        ranked = global_row_number(df, part, order, coarse_seconds, ts)
+        x = with_halo(ranked, part, h, max(block_rows, h))
     w = Window.partitionBy(*part, "_blk").orderBy("_rn")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     ref = F.first(value).over(run)
@@ -101,11 +130,11 @@ def rolling_mean_std(df: DataFrame, value: str, part: Sequence[str], order: Sequ
 
 
 def previous(df: DataFrame, col: str, part: Sequence[str], order: Sequence[str], name: str,
-             blocked: bool = True, block_rows: int = 100_000, coarse_seconds: int = 60,
-             ts: str = "timestamp") -> DataFrame:
+             blocked: bool | str = "auto", block_rows: int = 100_000, coarse_seconds: int = 60,
+             ts: str = "timestamp", small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
     """``lag(col)`` per ``part`` in ``order`` (NULL for the first row)."""
     part = list(part)
-    if not blocked:
+    if choose_plan(df, blocked, small_bytes) != "blocked":
         return df.withColumn(name, F.lag(col).over(Window.partitionBy(*part).orderBy(*order)))
     ranked = global_row_number(df, part, order, coarse_seconds, ts)
     x = with_halo(ranked, part, 1, block_rows)

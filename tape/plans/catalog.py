@@ -117,8 +117,9 @@ def q_dq_crossed(spark, sf):
 
 
 def q_dq_stale(spark, sf):
-    """Stale check (bounded blocked windows; the plain per-symbol window gives
-    the same rows, see tests/test_equivalence.py)."""
+    """Stale check with the library default: the bounded blocked plan, or one
+    window per symbol when the planned input is under the size bound (same
+    rows either way, see tests/test_equivalence.py)."""
     return quality.stale_quotes(raw_quotes(spark, sf), tie=TIE, as_of=AS_OF).drop("detected_at")
 
 
@@ -133,7 +134,8 @@ def q_dq_stale_daily(spark, sf):
 
 
 def q_dq_outlier(spark, sf):
-    """Outlier check with the library defaults (blocked windows, 100,000-row blocks)."""
+    """Outlier check with the library defaults (size-bounded choice between one
+    prefix-sum window per symbol and the blocked plan)."""
     return (quality.price_outliers(raw_trades(spark, sf), tie=TIE, as_of=AS_OF)
             .select(*FINDING, "trade_price"))
 
@@ -158,7 +160,7 @@ def q_dq_zero_quotes(spark, sf):
     return quality.zero_size_quotes(raw_quotes(spark, sf), AS_OF).drop("detected_at")
 
 
-def issue_log(spark, sf, blocked=True):
+def issue_log(spark, sf, blocked="auto"):
     return quality.scan(raw_trades(spark, sf), raw_quotes(spark, sf), as_of=AS_OF, tie=TIE, blocked=blocked)
 
 

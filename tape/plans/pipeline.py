@@ -80,7 +80,7 @@ def table_checks(models: dict[str, DataFrame], as_of=None) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, as_of=None,
-                 tie: Sequence[str] = (), write_raw: bool = True, blocked_windows: bool = True
+                 tie: Sequence[str] = (), write_raw: bool = True, blocked_windows: bool | str = "auto"
                  ) -> dict[str, DataFrame]:
     """Load → stage → write models → checks → issue log.  Returns frames read
     back from the written tables (plus the check and issue summaries)."""

@@ -43,10 +43,15 @@ def test_rolling_stats_blocked_close_to_plain(spark):
                                                                 rows=20, blocked=False))}
     b = {r["tick_id"]: r for r in rows(windows.rolling_mean_std(t, "trade_price", ["symbol"], ["timestamp", "tick_id"],
                                                                 rows=20, blocked=True, block_rows=25))}
-    assert a.keys() == b.keys()
+    c = {r["tick_id"]: r for r in rows(windows.rolling_mean_std(t, "trade_price", ["symbol"], ["timestamp", "tick_id"],
+                                                                rows=20, blocked="auto"))}
+    assert windows.choose_plan(t, "auto") == "single"
+    assert windows.choose_plan(t, "auto", small_bytes=0) == "blocked"
+    assert a.keys() == b.keys() == c.keys()
     for k in a:
-        assert abs(a[k]["rolling_mean"] - b[k]["rolling_mean"]) < 1e-9
-        assert abs(a[k]["rolling_std"] - b[k]["rolling_std"]) < 1e-6
+        for o in (b, c):
+            assert abs(a[k]["rolling_mean"] - o[k]["rolling_mean"]) < 1e-9
+            assert abs(a[k]["rolling_std"] - o[k]["rolling_std"]) < 1e-6
 
 
 def test_asof_matches_pandas(spark):
