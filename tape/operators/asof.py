@@ -28,9 +28,15 @@ from tape.functions.time import bucket
 
 def prevailing(left: DataFrame, right: DataFrame, right_cols: Sequence[str], by: str = "symbol",
                ts: str = "timestamp", right_tie: Sequence[str] = (),
-               strict: bool = False, coarse_seconds: int = 60, prefix: str = "q_") -> DataFrame:
+               strict: bool = False, coarse_seconds: int = 60, prefix: str = "q_",
+               bucketed: bool | str = "auto") -> DataFrame:
     """Left as-of join: ``left`` rows + ``prefix``-named columns of the
-    prevailing ``right`` row (NULL when none)."""
+    prevailing ``right`` row (NULL when none).
+
+    ``bucketed="auto"`` uses the bucketed plan unless both inputs together are
+    planned at or under ``windows.SMALL_INPUT_BYTES``; then one running window
+    per symbol (no carry table) is cheaper and bounded by that size."""
+    from tape.operators.windows import SMALL_INPUT_BYTES, planned_bytes
     left_cols = left.columns
     # quotes at the same timestamp: without a tie key, order them by their own
     # values so the choice is the same on every run (and on recomputation)
@@ -43,8 +49,16 @@ def prevailing(left: DataFrame, right: DataFrame, right_cols: Sequence[str], by:
     L = left.select(by, ts, F.lit(l_side).alias("_side"), F.lit(None).cast(R.schema["_q"].dataType).alias("_q"),
                     F.lit(None).cast(R.schema["_rt"].dataType).alias("_rt"),
                     F.struct(*[F.col(c) for c in left_cols]).alias("_row"))
-    u = (L.unionByName(R, allowMissingColumns=True)
-         .withColumn("_cb", bucket(ts, coarse_seconds)))
+    u = L.unionByName(R, allowMissingColumns=True)
+    if bucketed == "auto":
+        size = planned_bytes(u)
+        bucketed = size is None or size > SMALL_INPUT_BYTES
+    if not bucketed:
+        w1 = Window.partitionBy(by).orderBy(ts, "_side", "_rt").rowsBetween(Window.unboundedPreceding, 0)
+        out = u.withColumn("_m", F.last("_q", ignorenulls=True).over(w1)).where(F.col("_row").isNotNull())
+        return out.select(*[F.col("_row")[c].alias(c) for c in left_cols],
+                          *[F.col("_m")[c].alias(prefix + c) for c in [ts, *right_cols]])
+    u = u.withColumn("_cb", bucket(ts, coarse_seconds))
     w = (Window.partitionBy(by, "_cb").orderBy(ts, "_side", "_rt")
          .rowsBetween(Window.unboundedPreceding, 0))
     u = u.withColumn("_last", F.last("_q", ignorenulls=True).over(w))

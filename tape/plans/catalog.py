@@ -419,6 +419,14 @@ def q_asof_trade_quote(spark, sf):
     return asof.prevailing(t, q, ["bid_price", "ask_price"], right_tie=TIE, strict=True)
 
 
+def q_asof_trade_quote_bucketed(spark, sf):
+    """The as-of join forced onto its bucketed scale plan (per symbol-minute
+    windows plus the carry table)."""
+    t = raw_trades(spark, sf).select("symbol", "timestamp", "tick_id", "trade_price", "trade_size")
+    q = raw_quotes(spark, sf).select("symbol", "timestamp", "tick_id", "bid_price", "ask_price")
+    return asof.prevailing(t, q, ["bid_price", "ask_price"], right_tie=TIE, strict=True, bucketed=True)
+
+
 def q_flag_rules_trades(spark, sf):
     """Q12 on trades: zero size, or more than 5 % away from the prevailing quote mid."""
     t = raw_trades(spark, sf).select("symbol", "timestamp", "tick_id", "trade_price", "trade_size")
@@ -552,6 +560,7 @@ QUERIES: dict[str, Query] = {
     "flag_rules_trades": q_flag_rules_trades,
     "trading_days": q_trading_days,
     "asof_trade_quote": q_asof_trade_quote,
+    "asof_trade_quote_bucketed": q_asof_trade_quote_bucketed,
     "pipeline_daily_summary": q_pipeline_daily_summary,
     "stream_vwap_bars": q_stream_vwap_bars,
     "stream_volume_profile": q_stream_volume_profile,

@@ -417,3 +417,5 @@ WHERE {_tw('"timestamp"', _ONE)} AND data_quality_flag = 'OK' ORDER BY "timestam
 SQL["daily_spread_quantiles"] = with_(*QUOTE_CTES) + f"""SELECT symbol, quote_date, {qx("xs", 0.5)} AS median_spread_bps,
   {qx("xs", 0.95)} AS p95_spread_bps
 FROM (SELECT symbol, quote_date, {sorted_list("spread_bps")} AS xs FROM stg_quotes GROUP BY ALL)"""
+
+SQL["asof_trade_quote_bucketed"] = SQL["asof_trade_quote"]

@@ -58,7 +58,9 @@ def test_asof_matches_pandas(spark):
     t = C.raw_trades(spark, SF_SMALL).select("symbol", "timestamp", "tick_id", "trade_price")
     q = C.raw_quotes(spark, SF_SMALL).select("symbol", "timestamp", "tick_id", "bid_price")
     got = rows(asof.prevailing(t, q, ["bid_price"], right_tie=["tick_id"], strict=True,
-                               coarse_seconds=600))
+                               coarse_seconds=600, bucketed=True))
+    small = rows(asof.prevailing(t, q, ["bid_price"], right_tie=["tick_id"], strict=True))
+    assert bag(got) == bag(small)
     tp = t.toPandas().sort_values("timestamp")
     qp = q.toPandas().sort_values("timestamp").rename(columns={"timestamp": "q_timestamp", "bid_price": "q_bid_price",
                                                                 "tick_id": "q_tick"})
