@@ -1,7 +1,8 @@
 """As-of join: each trade with the prevailing (latest earlier) quote of its
 symbol — the one join the source system names as missing.
 
-Plan (no per-symbol partition, no pairwise candidates):
+Bucketed plan (no per-symbol partition, no pairwise candidates), used unless
+the planned input is under ``windows.SMALL_INPUT_BYTES``:
 
 1. Tag and union both sides; bucket by coarse time.
 2. Inside (symbol, minute), ``last(quote, ignorenulls)`` over the running
@@ -23,7 +24,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tape.functions.prices import order_key
 from tape.functions.time import bucket
+from tape.operators.windows import SMALL_INPUT_BYTES, planned_bytes
 
 
 def prevailing(left: DataFrame, right: DataFrame, right_cols: Sequence[str], by: str = "symbol",
@@ -36,7 +39,6 @@ def prevailing(left: DataFrame, right: DataFrame, right_cols: Sequence[str], by:
     ``bucketed="auto"`` uses the bucketed plan unless both inputs together are
     planned at or under ``windows.SMALL_INPUT_BYTES``; then one running window
     per symbol (no carry table) is cheaper and bounded by that size."""
-    from tape.operators.windows import SMALL_INPUT_BYTES, planned_bytes
     left_cols = left.columns
     # quotes at the same timestamp: without a tie key, order them by their own
     # values so the choice is the same on every run (and on recomputation)
@@ -65,7 +67,6 @@ def prevailing(left: DataFrame, right: DataFrame, right_cols: Sequence[str], by:
     # last quote of every (symbol, bucket) from the quote side only, one
     # max_by per column over a packed order key (hash aggregation), then
     # carried forward over the bucket list of both sides (symbols × buckets)
-    from tape.functions.prices import order_key
     rb = right.withColumn("_cb", bucket(ts, coarse_seconds))
     key = order_key([ts, *right_tie], dict(rb.dtypes))
     per_bucket = (rb.groupBy(by, "_cb")

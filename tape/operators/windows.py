@@ -15,6 +15,11 @@ plan here keeps every window partition bounded:
 Rolling mean and population σ come from running sums on values centred on the
 block's first value, minus the same sums ``halo + 1`` rows earlier (lag), so
 each row costs O(1) instead of re-aggregating the whole frame.
+
+``blocked="auto"`` (the default of the checks) takes this plan unless the
+optimizer's planned input size is at most ``SMALL_INPUT_BYTES``; under that
+bound the same running sums run in one window per symbol (one exchange
+instead of five), which is safe because the whole input is that small.
 """
 
 from __future__ import annotations
