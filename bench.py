@@ -7,6 +7,9 @@ computed, nothing is collected to the driver), ``BENCH_RUNS`` times (default
 2).  ``queries`` / ``value`` are the best (warm) run per query; the first run
 of each query, which includes code generation for the new plan, is reported
 as ``cold`` / ``cold_total``.  Prints one JSON line.
+
+``BENCH_EVENT_LOG_DIR`` (optional) writes Spark's event log there, for stage
+and task times without the web UI.
 """
 
 from __future__ import annotations
@@ -34,9 +37,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     keys = sys.argv[1:] or HEADLINE
-    spark = get_session(f"local[{cpus}]", app="tape-bench", shuffle_partitions=int(cpus) * 2,
-                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
-                               "spark.ui.showConsoleProgress": "false"})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
+             "spark.ui.showConsoleProgress": "false"}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
+    spark = get_session(f"local[{cpus}]", app="tape-bench", shuffle_partitions=int(cpus) * 2, extra=extra)
     # warm-up: JVM, Parquet footers, codegen caches
     QUERIES["stg_trades"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     runs = max(1, int(os.environ.get("BENCH_RUNS", "2")))
