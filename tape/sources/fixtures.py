@@ -18,8 +18,23 @@ EVENTS_TIE = ["tick_id"]
 LINEITEM_TIE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
 
+_SCHEMAS: dict[tuple, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read one test table.  Its Parquet schema is inferred once per file
+    (keyed by path, size and modification time) and passed to later reads,
+    which skips the footer-inference job on every query."""
+    import os
+    path = f"{sf_dir}/{name}.parquet"
+    try:
+        st = os.stat(path)
+        key = (path, st.st_size, st.st_mtime_ns)
+    except OSError:       # not a local path: let Spark infer every time
+        return spark.read.parquet(path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def _pick(values: list[str], idx) -> F.Column:
