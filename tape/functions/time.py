@@ -17,6 +17,17 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ts_literal(v, dtype: str = "timestamp") -> Column:
+    """A wall-clock timestamp literal read in the session zone (UTC).  A naive
+    ``datetime`` goes through ISO text, so the Python process's own time zone
+    never shifts it."""
+    if isinstance(v, dt.datetime):
+        if v.tzinfo is not None:
+            v = v.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        v = v.isoformat(sep=" ")
+    return F.lit(v).cast(dtype)
+
+
 def ts_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
@@ -89,11 +100,11 @@ def time_filter(ts, start=None, end=None, date_col: str | None = None) -> Column
     partition column so Parquet partition pruning applies."""
     c = F.lit(True)
     if start is not None:
-        c = c & (col(ts) >= F.lit(start))
+        c = c & (col(ts) >= ts_literal(start, "timestamp_ntz") if isinstance(start, dt.datetime) else col(ts) >= F.lit(start))
         if date_col:
             c = c & (F.col(date_col) >= F.lit(_day(start)))
     if end is not None:
-        c = c & (col(ts) <= F.lit(end))
+        c = c & (col(ts) <= ts_literal(end, "timestamp_ntz") if isinstance(end, dt.datetime) else col(ts) <= F.lit(end))
         if date_col:
             c = c & (F.col(date_col) <= F.lit(_day(end)))
     return c

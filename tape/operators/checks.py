@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tape.functions import prices as P
+from tape.functions.time import ts_literal
 
 # Columns declared not-null per model (the source system's column contracts).
 NOT_NULL = {
@@ -58,8 +59,9 @@ def full_row_duplicates(df: DataFrame) -> DataFrame:
 
 def future_rows(df: DataFrame, as_of=None, cols: Sequence[str] = ("symbol", "timestamp")) -> DataFrame:
     """Q10: rows stamped after ``as_of`` (default: now)."""
-    limit = F.current_timestamp() if as_of is None else F.lit(as_of)
-    return df.where(F.col("timestamp") > limit.cast(df.schema["timestamp"].dataType)).select(*cols)
+    dtype = df.schema["timestamp"].dataType
+    limit = F.current_timestamp().cast(dtype) if as_of is None else ts_literal(as_of, dtype.simpleString())
+    return df.where(F.col("timestamp") > limit).select(*cols)
 
 
 def vwap_out_of_range(mart: DataFrame, pct: float = 5.0) -> DataFrame:

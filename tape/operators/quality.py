@@ -15,21 +15,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tape.functions.time import hour_in, micros_between, to_date
+from tape.functions.time import hour_in, micros_between, to_date, ts_literal
 from tape.operators import windows
 from tape.schemas import ISSUE_COLUMNS
 
 ISSUE_KEY = ["source_table", "issue_type", "symbol", "event_time"]
 
 
-def _detected(as_of) -> Column:
-    return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+def _detected(as_of, dtype: str = "timestamp") -> Column:
+    """The run time, in the same timestamp type as the event times (all of a
+    log's times are UTC wall clock of one type)."""
+    return F.current_timestamp().cast(dtype) if as_of is None else ts_literal(as_of, dtype)
+
+
+def _ts_type(df: DataFrame) -> str:
+    return df.schema["timestamp"].dataType.simpleString()
 
 
 def _issues(df: DataFrame, source: str, issue: str, severity: str, details: Column, as_of=None,
             extra: Sequence[str] = ()) -> DataFrame:
     return df.select(
-        _detected(as_of).alias("detected_at"),
+        _detected(as_of, _ts_type(df)).alias("detected_at"),
         F.lit(source).alias("source_table"),
         "symbol",
         F.col("timestamp").alias("event_time"),
@@ -132,7 +138,7 @@ def quote_row_checks(quotes: DataFrame, as_of=None) -> DataFrame:
                      lambda x: x.isNotNull())
     return (quotes.where(crossed | zero)
             .select("symbol", "timestamp", F.explode(found).alias("_f"))
-            .select(_detected(as_of).alias("detected_at"), F.lit("quotes").alias("source_table"), "symbol",
+            .select(_detected(as_of, _ts_type(quotes)).alias("detected_at"), F.lit("quotes").alias("source_table"), "symbol",
                     F.col("timestamp").alias("event_time"), "_f.issue_type", "_f.severity", "_f.details"))
 
 

@@ -98,7 +98,7 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, a
             io.write_table(models[name], f"{out_dir}/{name}", date_col=date_col, sort_cols=order)
             written[name] = spark.read.parquet(f"{out_dir}/{name}")
     log_path = f"{out_dir}/data_quality_issues"
-    io.reset_issues(spark, log_path)
+    io.reset_issues(spark, log_path, src["quotes"].schema["timestamp"].dataType)
     findings = quality.scan(src["trades"], src["quotes"], as_of=as_of, tie=tie, blocked=blocked_windows)
     io.append_issues(findings, log_path)
     issues = spark.read.parquet(log_path)

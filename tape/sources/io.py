@@ -117,10 +117,12 @@ def append_issues(issues: DataFrame, path: str) -> None:
     issues.write.mode("append").parquet(path)
 
 
-def reset_issues(spark: SparkSession, path: str) -> None:
-    """Empty the issue log before a full run."""
+def reset_issues(spark: SparkSession, path: str, ts_type: T.DataType = T.TimestampType()) -> None:
+    """Empty the issue log before a full run (times typed like the source ticks)."""
     from tape.schemas import ISSUES
-    spark.createDataFrame([], ISSUES).write.mode("overwrite").parquet(path)
+    schema = T.StructType([T.StructField(f.name, ts_type if isinstance(f.dataType, T.TimestampType) else f.dataType,
+                                         f.nullable) for f in ISSUES.fields])
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
