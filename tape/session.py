@@ -24,6 +24,23 @@ SQL_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
+                 shuffle_ratio: float = 0.5) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` of Parquet on a cluster: file
+    splits and shuffle partitions of about ``partition_bytes`` each, sized from
+    the data (not the 200-partition default), with AQE coalescing small ones.
+    ``shuffle_ratio`` is the expected shuffled share of the input.  Pass the
+    result to ``get_session(extra=...)`` or ``spark-submit --conf``."""
+    shuffle = max(200, int(input_bytes * shuffle_ratio // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for k, v in SQL_CONF.items():
         spark.conf.set(k, v)
