@@ -71,11 +71,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this must be set by the deployment (a shared file system).
     Only when it is unset (local tests) a private scratch folder is created.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions have no SparkContext
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if sc is not None and not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="tape-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d
