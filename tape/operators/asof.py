@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from tape.functions.prices import order_key
 from tape.functions.time import bucket
-from tape.operators.windows import SMALL_INPUT_BYTES, planned_bytes
+from tape.operators.windows import SMALL_INPUT_BYTES
+from tape.session import planned_bytes
 
 
 def prevailing(left: DataFrame, right: DataFrame, right_cols: Sequence[str], by: str = "symbol",

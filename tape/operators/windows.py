@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tape.functions.time import bucket
+from tape.session import planned_bytes
 
 
 def total_order(df: DataFrame, part: Sequence[str], order: Sequence[str]) -> list[str]:
@@ -79,14 +80,6 @@ def with_halo(ranked: DataFrame, part: Sequence[str], halo: int, block_rows: int
 SMALL_INPUT_BYTES = 64 * 1024 * 1024
 
 
-def planned_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (planning only)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return None
-
-
 def choose_plan(df: DataFrame, blocked, small_bytes: int = SMALL_INPUT_BYTES) -> str:
     """``blocked``: True → "blocked", False → "sliding" (built-in frame, the
     reference), "auto" → "single" (one window per symbol) when the planned

@@ -24,6 +24,15 @@ SQL_CONF = {
 }
 
 
+def planned_bytes(df) -> int | None:
+    """The optimizer's size estimate of a DataFrame (planning only, nothing
+    runs); None when the plan cannot be inspected (e.g. a remote session)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def cluster_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
                  shuffle_ratio: float = 0.5) -> dict[str, str]:
     """Settings for a run over ``input_bytes`` of Parquet on a cluster: file

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tape.schemas import CSV_TIMESTAMP_FORMAT, RAW, RAW_CSV
+from tape.session import planned_bytes
 
 ARRAY_COLUMNS = {"bid_prices": "array<double>", "bid_sizes": "array<bigint>",
                  "ask_prices": "array<double>", "ask_sizes": "array<bigint>"}
@@ -80,9 +81,8 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 def planned_partitions(df: DataFrame, target_bytes: int = 256 * 1024 * 1024) -> int:
     """Output partition count from the optimizer's size estimate of ``df``
     (planning only, nothing runs): about ``target_bytes`` per partition."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: fall back to the session default
+    size = planned_bytes(df)
+    if size is None:      # no estimate: the session default
         return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(1, min(-(-size // target_bytes), 1_000_000))
 
