@@ -493,7 +493,7 @@ def q_stream_checks_sink(spark, sf):
     q = fx.quotes_from_events(_event_stream(spark, sf))
     base = srun.scratch(spark, "log")
     srun.run_foreach_batch(q, st.checks_to_log(f"{base}/log", AS_OF), "checks")
-    return spark.read.parquet(f"{base}/log").drop("detected_at")
+    return spark.read.parquet(f"{base}/log").drop("detected_at", "event_date")
 
 
 QUERIES: dict[str, Query] = {
