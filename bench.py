@@ -33,11 +33,20 @@ HEADLINE = [
 ]
 
 
+def _default_memory() -> str:
+    """8 GB, or 60 % of physical memory on a smaller machine."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        return f"{max(1024, min(8192, int(total * 0.6 / 2**20)))}m"
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     keys = sys.argv[1:] or HEADLINE
-    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", _default_memory()),
              "spark.ui.showConsoleProgress": "false"}
     if os.environ.get("BENCH_EVENT_LOG_DIR"):
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
