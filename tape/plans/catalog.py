@@ -6,19 +6,18 @@ Every query reads the whole test tables (through the tick views of
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-import datetime as dt
-
 from pyspark.sql import functions as F
 
-from tape.operators import asof, bars, book as book_ops, checks, flags, marts, quality, staging
-from tape.sources import io
+from tape.operators import asof, bars, checks, flags, marts, quality, staging
+from tape.operators import book as book_ops
 from tape.plans import reports
 from tape.schemas import QUOTE_FLAGS, SIDES, TRADE_FLAGS
 from tape.sources import fixtures as fx
+from tape.sources import io
 
 Query = Callable[[SparkSession, str], DataFrame]
 TIE = fx.EVENTS_TIE

@@ -5,7 +5,7 @@ import datetime as dt
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tape.operators import asof, bars, book, quality, staging
+from tape.operators import asof, bars, book, quality
 from tape.plans import catalog as C
 from tests.conftest import SF_MID, SF_SMALL
 from tests.util import bag, rows
