@@ -86,7 +86,8 @@ def stale_quotes(quotes: DataFrame, gap_seconds: float = 5.0, hours: tuple[int,
 
 
 def price_outliers(trades: DataFrame, rows: int = 1000, z_limit: float = 3.0, tie: Sequence[str] = (),
-                   blocked: bool | str = "auto", block_rows: int = 100_000, as_of=None) -> DataFrame:
+                   blocked: bool | str = "auto", block_rows: int = 100_000, as_of=None,
+                   rank: str = "minute") -> DataFrame:
     """Q3: |price − rolling mean| / rolling σ > ``z_limit`` over the last
     ``rows`` trades of the symbol (current one included) → CRITICAL.
 
@@ -95,7 +96,7 @@ def price_outliers(trades: DataFrame, rows: int = 1000, z_limit: float = 3.0, ti
     """
     t = trades.select("symbol", "timestamp", "trade_price", *tie)
     t = windows.rolling_mean_std(t, "trade_price", ["symbol"], ["timestamp", *tie], rows,
-                                 blocked=blocked, block_rows=block_rows)
+                                 blocked=blocked, block_rows=block_rows, rank=rank)
     m, s = F.col("rolling_mean"), F.col("rolling_std")
     t = t.withColumn("z_score", F.when(s > 0, F.abs(F.col("trade_price") - m) / s).otherwise(F.lit(0.0)))
     hit = t.where((F.col("z_score") > z_limit) & (s > 0))

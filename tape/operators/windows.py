@@ -62,6 +62,34 @@ def global_row_number(df: DataFrame, part: Sequence[str], order: Sequence[str],
             .drop("_cb", "_rl", "_off"))
 
 
+def range_row_number(df: DataFrame, part: Sequence[str], order: Sequence[str], name: str = "_rn",
+                     partitions: int | None = None) -> DataFrame:
+    """1-based row number per ``part`` in ``order`` that no key can skew: the
+    range partitioner splits the (part, order) key space evenly, however many
+    rows one symbol or one minute holds.  Inside a partition, after sorting,
+    ``monotonically_increasing_id`` is the row's position; per
+    (part, partition) counts and first ids give offsets (a table of
+    partitions × symbols)."""
+    part = list(part)
+    order = total_order(df, part, order)
+    r = (df.repartitionByRange(partitions, *part, *order) if partitions
+         else df.repartitionByRange(*part, *order))
+    r = (r.sortWithinPartitions(*part, *order)
+         .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}))
+    chunks = r.groupBy(*part, "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = chunks.select(*part, "_pid", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (r.join(offs, [*part, "_pid"])
+            .withColumn(name, F.col("_off") + (F.col("_mid") - F.col("_m0")) + 1)
+            .drop("_pid", "_mid", "_m0", "_off"))
+
+
+def _ranked(df, part, order, coarse_seconds, ts, rank):
+    if rank == "range":
+        return range_row_number(df, part, order)
+    return global_row_number(df, part, order, coarse_seconds, ts)
+
+
 def with_halo(ranked: DataFrame, part: Sequence[str], halo: int, block_rows: int,
               rn: str = "_rn") -> DataFrame:
     """Add ``_blk`` and copy each block's last ``halo`` rows into the next
@@ -94,9 +122,14 @@ def choose_plan(df: DataFrame, blocked, small_bytes: int = SMALL_INPUT_BYTES) ->
 def rolling_mean_std(df: DataFrame, value: str, part: Sequence[str], order: Sequence[str],
                      rows: int = 1000, blocked: bool | str = "auto", block_rows: int = 100_000,
                      coarse_seconds: int = 60, ts: str = "timestamp",
-                     small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+                     small_bytes: int = SMALL_INPUT_BYTES, rank: str = "minute") -> DataFrame:
     """Adds ``rolling_mean`` and ``rolling_std`` (population) over the last
-    ``rows`` rows including the current one, per ``part`` in ``order``."""
+    ``rows`` rows including the current one, per ``part`` in ``order``.
+
+    ``rank`` picks how the blocked plan numbers rows: "minute" ranks inside
+    (symbol, minute) groups; "range" uses the range partitioner, which also
+    splits a single huge symbol-minute (at the price of a join on the
+    per-partition offsets)."""
     part = list(part)
     plan = choose_plan(df, blocked, small_bytes)
     if plan == "sliding":
@@ -109,8 +142,7 @@ def rolling_mean_std(df: DataFrame, value: str, part: Sequence[str], order: Sequ
         x = df.withColumns({"_rn": F.row_number().over(Window.partitionBy(*part).orderBy(*order)),
                             "_blk": F.lit(0).cast("long"), "_halo": F.lit(False)})
     else:
-        ranked = global_row_number(df, part, order, coarse_seconds, ts)
-        x = with_halo(ranked, part, h, max(block_rows, h))
+        x = with_halo(_ranked(df, part, order, coarse_seconds, ts, rank), part, h, max(block_rows, h))
     w = Window.partitionBy(*part, "_blk").orderBy("_rn")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     ref = F.first(value).over(run)
@@ -129,13 +161,12 @@ def rolling_mean_std(df: DataFrame, value: str, part: Sequence[str], order: Sequ
 
 def previous(df: DataFrame, col: str, part: Sequence[str], order: Sequence[str], name: str,
              blocked: bool | str = "auto", block_rows: int = 100_000, coarse_seconds: int = 60,
-             ts: str = "timestamp", small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+             ts: str = "timestamp", small_bytes: int = SMALL_INPUT_BYTES, rank: str = "minute") -> DataFrame:
     """``lag(col)`` per ``part`` in ``order`` (NULL for the first row)."""
     part = list(part)
     if choose_plan(df, blocked, small_bytes) != "blocked":
         return df.withColumn(name, F.lag(col).over(Window.partitionBy(*part).orderBy(*order)))
-    ranked = global_row_number(df, part, order, coarse_seconds, ts)
-    x = with_halo(ranked, part, 1, block_rows)
+    x = with_halo(_ranked(df, part, order, coarse_seconds, ts, rank), part, 1, block_rows)
     w = Window.partitionBy(*part, "_blk").orderBy("_rn")
     return (x.withColumn(name, F.lag(col).over(w))
             .where(~F.col("_halo"))

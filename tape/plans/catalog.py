@@ -151,6 +151,15 @@ def q_dq_outlier_lineitem(spark, sf):
             .select(*FINDING, "trade_price"))
 
 
+def q_dq_outlier_range(spark, sf):
+    """Outlier check on the blocked plan with range-partitioned ranking (skew-proof
+    even when one symbol-minute is huge), on the lineitem tape."""
+    t = fx.trades_from_lineitem(fx.table(spark, sf, "lineitem"))
+    return (quality.price_outliers(t, tie=fx.LINEITEM_TIE, blocked=True, block_rows=1000, rank="range",
+                                   as_of=AS_OF)
+            .select(*FINDING, "trade_price"))
+
+
 def q_dq_zero_trades(spark, sf):
     return quality.zero_size_trades(raw_trades(spark, sf), AS_OF).drop("detected_at")
 
@@ -515,6 +524,7 @@ QUERIES: dict[str, Query] = {
     "dq_outlier": q_dq_outlier,
     "dq_outlier_halo": q_dq_outlier_halo,
     "dq_outlier_lineitem": q_dq_outlier_lineitem,
+    "dq_outlier_range": q_dq_outlier_range,
     "dq_zero_trades": q_dq_zero_trades,
     "dq_zero_quotes": q_dq_zero_quotes,
     "dq_scan": q_dq_scan,

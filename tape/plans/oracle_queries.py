@@ -419,3 +419,5 @@ SQL["daily_spread_quantiles"] = with_(*QUOTE_CTES) + f"""SELECT symbol, quote_da
 FROM (SELECT symbol, quote_date, {sorted_list("spread_bps")} AS xs FROM stg_quotes GROUP BY ALL)"""
 
 SQL["asof_trade_quote_bucketed"] = SQL["asof_trade_quote"]
+
+SQL["dq_outlier_range"] = SQL["dq_outlier_lineitem"]

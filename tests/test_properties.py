@@ -32,10 +32,13 @@ def test_blocked_equals_plain(spark, series, frame, extra, minutes):
     plain = {r["tick_id"]: r for r in rows(windows.rolling_mean_std(df, "px", ["symbol"], order, frame, blocked=False))}
     blk = {r["tick_id"]: r for r in rows(windows.rolling_mean_std(df, "px", ["symbol"], order, frame, blocked=True,
                                                                   block_rows=block))}
-    assert plain.keys() == blk.keys()
+    rng = {r["tick_id"]: r for r in rows(windows.rolling_mean_std(df, "px", ["symbol"], order, frame, blocked=True,
+                                                                  block_rows=block, rank="range"))}
+    assert plain.keys() == blk.keys() == rng.keys()
     for k, a in plain.items():
-        assert abs(a["rolling_mean"] - blk[k]["rolling_mean"]) < 1e-9
-        assert abs(a["rolling_std"] - blk[k]["rolling_std"]) < 1e-6
+        for o in (blk, rng):
+            assert abs(a["rolling_mean"] - o[k]["rolling_mean"]) < 1e-9
+            assert abs(a["rolling_std"] - o[k]["rolling_std"]) < 1e-6
     lag_p = {r["tick_id"]: r["prev"] for r in rows(windows.previous(df, "px", ["symbol"], order, "prev", blocked=False))}
     lag_b = {r["tick_id"]: r["prev"] for r in rows(windows.previous(df, "px", ["symbol"], order, "prev", blocked=True,
                                                                     block_rows=max(1, extra)))}
