@@ -62,7 +62,7 @@ def _gap_text(us) -> Column:
 
 def stale_quotes(quotes: DataFrame, gap_seconds: float = 5.0, hours: tuple[int, int] = (14, 21),
                  tie: Sequence[str] = (), reset_daily: bool = False, blocked: bool | str = "auto",
-                 block_rows: int = 100_000, as_of=None) -> DataFrame:
+                 block_rows: int = 100_000, as_of=None, rank: str = "minute") -> DataFrame:
     """Q2: gap to the previous quote of the symbol > ``gap_seconds`` → WARNING.
 
     The hour filter runs before the lag (as in the source system).  The first
@@ -78,7 +78,7 @@ def stale_quotes(quotes: DataFrame, gap_seconds: float = 5.0, hours: tuple[int,
         q = q.withColumn("_day", to_date("timestamp"))
         part.append("_day")
     q = windows.previous(q, "timestamp", part, ["timestamp", *tie], "_prev", blocked=blocked,
-                         block_rows=block_rows)
+                         block_rows=block_rows, rank=rank)
     q = q.withColumn("_gap_us", micros_between("_prev", "timestamp"))
     hit = q.where(F.col("_gap_us") > F.lit(int(round(gap_seconds * 1_000_000))))
     return _issues(hit, "quotes", "STALE_QUOTE", "WARNING", _gap_text(F.col("_gap_us")), as_of,

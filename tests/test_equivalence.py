@@ -122,3 +122,13 @@ def test_daily_mart_distributed_quantiles_mode(spark):
     a = rows(marts.daily_summary(t, q, tie=["tick_id"]))
     b = rows(marts.daily_summary(t, q, tie=["tick_id"], exact="distributed"))
     assert bag(a) == bag(b)
+
+
+def test_stale_range_ranking_equals_plain(spark):
+    from tape.sources import fixtures as fx
+    t = fx.trades_from_lineitem(fx.table(spark, SF_SMALL, "lineitem")).select("symbol", "timestamp", *fx.LINEITEM_TIE)
+    cols = ["symbol", "event_time", "gap_us"]
+    a = rows(quality.stale_quotes(t, tie=fx.LINEITEM_TIE, hours=(0, 24), blocked=False, as_of=AS_OF).select(*cols))
+    b = rows(quality.stale_quotes(t, tie=fx.LINEITEM_TIE, hours=(0, 24), blocked=True, block_rows=11, rank="range",
+                                  as_of=AS_OF).select(*cols))
+    assert len(a) > 0 and bag(a) == bag(b)
