@@ -95,6 +95,16 @@ def depth_within(prices: str, sizes: str, mid_col: str, bps: float, side: str,
                      zero, levels, hof)
 
 
+def any_level_at_most(prices: str, limit: float = 0.0, levels: int = BOOK_LEVELS) -> Column:
+    """Some level has price ≤ ``limit`` (a truncated book): an OR over the
+    levels, with the same three-valued logic as ``exists``."""
+    n = f"size({_n(prices)})"
+    terms = " OR ".join(f"(CASE WHEN {n} >= {i} THEN {_at(prices, i)} <= {limit!r}D ELSE false END)"
+                        for i in range(1, levels + 1))
+    return F.expr(f"CASE WHEN {n} <= {levels} THEN ({terms}) "
+                  f"ELSE exists({_n(prices)}, p -> p <= {limit!r}D) END")
+
+
 def levels(side: str, prices, sizes) -> Column:
     """array<struct<side, level, price, size>> for one side, level 1-based."""
     return F.transform(F.arrays_zip(col(prices).alias("price"), col(sizes).alias("size")),

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tape.functions import book as B
 from tape.functions import prices as P
 
 
@@ -34,7 +35,7 @@ def book_flag() -> Column:
     """CROSSED_BOOK (best bid > best ask) → MISSING_LEVELS (a level with price
     0, i.e. a truncated book) → OK."""
     crossed = F.element_at("bid_prices", 1) > F.element_at("ask_prices", 1)
-    missing = (F.exists("bid_prices", lambda p: p <= 0) | F.exists("ask_prices", lambda p: p <= 0))
+    missing = B.any_level_at_most("bid_prices") | B.any_level_at_most("ask_prices")
     return F.when(crossed, "CROSSED_BOOK").when(missing, "MISSING_LEVELS").otherwise("OK")
 
 

@@ -184,3 +184,12 @@ def test_csv_malformed_row_fails_fast(spark, tmp_path):
                  "A,2024-01-02 15:00:00.000001,10.5,100,NYSE,@,\n")
     r = io.read_csv(spark, "trades", str(p)).collect()[0]
     assert r["data_quality_flag"] == "OK" and r["timestamp"].microsecond == 1
+
+
+def test_unrolled_level_check_matches_exists(spark):
+    from tape.functions import book as B
+    df = spark.createDataFrame([([1.0, 0.0],), ([1.0, None],), ([1.0, 2.0],), ([],), (None,),
+                                ([float(i + 1) for i in range(12)] + [0.0],)], "p array<double>")
+    got = [r[0] for r in df.select(B.any_level_at_most("p")).collect()]
+    exp = [r[0] for r in df.selectExpr("exists(p, x -> x <= 0D)").collect()]
+    assert got == exp
