@@ -28,7 +28,7 @@ HEADLINE = [
     "int_vwap", "int_volume_profile", "int_spread_analytics", "book_depth_arrays", "int_order_book_depth",
     "mart_daily_summary", "mart_data_quality_summary",
     "dq_stale", "dq_stale_blocked", "dq_outlier", "dq_outlier_halo", "dq_outlier_lineitem", "dq_scan",
-    "asof_trade_quote", "chk_not_null",
+    "asof_trade_quote", "asof_trade_quote_bucketed", "daily_spread_quantiles", "dq_outlier_range", "chk_not_null",
     "rep_vwap_series", "rep_spread_heatmap", "rep_daily_table", "rep_recent_issues", "rep_quality_rate",
 ]
 
