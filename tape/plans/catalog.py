@@ -416,6 +416,14 @@ def q_flag_rules_book(spark, sf):
         "symbol", "timestamp", "tick_id", "data_quality_flag")
 
 
+def q_flag_rules(spark, sf):
+    """Q12 over all three tick tables: the derived flag per tick, tagged by table."""
+    tag = lambda df, name: df.withColumn("source_table", F.lit(name))
+    return (tag(q_flag_rules_trades(spark, sf), "trades")
+            .unionByName(tag(q_flag_rules_quotes(spark, sf), "quotes"))
+            .unionByName(tag(q_flag_rules_book(spark, sf), "order_book_snapshots")))
+
+
 def q_trading_days(spark, sf):
     return staging.trading_days(raw_trades(spark, sf))
 
@@ -564,6 +572,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "book_csv_roundtrip": q_book_csv_roundtrip,
     "partitioned_load": q_partitioned_load,
+    "flag_rules": q_flag_rules,
     "flag_rules_quotes": q_flag_rules_quotes,
     "flag_rules_book": q_flag_rules_book,
     "flag_rules_trades": q_flag_rules_trades,

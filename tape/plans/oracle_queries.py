@@ -421,3 +421,26 @@ FROM (SELECT symbol, quote_date, {sorted_list("spread_bps")} AS xs FROM stg_quot
 SQL["asof_trade_quote_bucketed"] = SQL["asof_trade_quote"]
 
 SQL["dq_outlier_range"] = SQL["dq_outlier_lineitem"]
+
+
+SQL["flag_rules"] = with_(*RAW_CTES, BOOK_RAW) + f"""SELECT *, 'trades' AS source_table FROM (
+  SELECT symbol, "timestamp", tick_id,
+    CASE WHEN trade_size = 0 OR trade_size IS NULL THEN 'MISSING_FIELD'
+         WHEN (CASE WHEN q_mid = 0 THEN NULL ELSE abs(trade_price - q_mid) / q_mid END) * CAST(100 AS DOUBLE)
+              > CAST(5 AS DOUBLE) THEN 'PRICE_OUTLIER'
+         ELSE 'OK' END AS data_quality_flag
+  FROM (SELECT t.*, (q.bid_price + q.ask_price) / CAST(2 AS DOUBLE) AS q_mid
+        FROM trades t ASOF LEFT JOIN quotes q ON t.symbol = q.symbol AND t."timestamp" > q."timestamp"))
+UNION ALL
+SELECT symbol, "timestamp", tick_id,
+  CASE WHEN bid_price > ask_price THEN 'CROSSED_SPREAD'
+       WHEN bid_size = 0 OR ask_size = 0 OR bid_size IS NULL OR ask_size IS NULL THEN 'MISSING_FIELD'
+       WHEN (CASE WHEN bid_price > 0 THEN (ask_price - bid_price) / ((bid_price + ask_price) / CAST(2 AS DOUBLE))
+             * CAST(10000 AS DOUBLE) END) > CAST(50 AS DOUBLE) THEN 'WIDE_SPREAD'
+       ELSE 'OK' END, 'quotes' FROM quotes
+UNION ALL
+SELECT symbol, "timestamp", tick_id,
+  CASE WHEN bid_prices[1] > ask_prices[1] THEN 'CROSSED_BOOK'
+       WHEN list_bool_or(list_transform(bid_prices, lambda p: p <= 0))
+         OR list_bool_or(list_transform(ask_prices, lambda p: p <= 0)) THEN 'MISSING_LEVELS'
+       ELSE 'OK' END, 'order_book_snapshots' FROM book_raw"""
