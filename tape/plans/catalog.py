@@ -454,11 +454,11 @@ def q_flag_rules_trades(spark, sf):
 
 
 # --- pipeline and streaming ----------------------------------------------------------
-def q_pipeline_daily_summary(spark, sf):
+def q_batch_run_daily_summary(spark, sf):
     """The whole batch pipeline on the event ticks; returns the written mart."""
     from tape.plans.pipeline import run_pipeline
     raw = {"trades": raw_trades(spark, sf), "quotes": raw_quotes(spark, sf)}
-    out = run_pipeline(spark, raw, _scratch(spark, "pipeline"), as_of=AS_OF, tie=TIE)
+    out = run_pipeline(spark, raw, _scratch(spark, "batch-run"), as_of=AS_OF, tie=TIE)
     return out["mart_daily_summary"].select(*daily(spark, sf).columns)
 
 
@@ -579,7 +579,7 @@ QUERIES: dict[str, Query] = {
     "trading_days": q_trading_days,
     "asof_trade_quote": q_asof_trade_quote,
     "asof_trade_quote_bucketed": q_asof_trade_quote_bucketed,
-    "pipeline_daily_summary": q_pipeline_daily_summary,
+    "batch_run_daily_summary": q_batch_run_daily_summary,
     "stream_vwap_bars": q_stream_vwap_bars,
     "stream_volume_profile": q_stream_volume_profile,
     "stream_dedup": q_stream_dedup,
