@@ -16,7 +16,7 @@ SCHEMA = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("t
 series = st.lists(st.lists(st.integers(0, 50), min_size=1, max_size=40), min_size=1, max_size=3)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=int(__import__("os").environ.get("TAPE_PROPERTY_EXAMPLES", "8")), deadline=None)
 @given(series=series, frame=st.integers(2, 9), extra=st.integers(0, 12), minutes=st.integers(1, 3))
 def test_blocked_equals_plain(spark, series, frame, extra, minutes):
     base = dt.datetime(2024, 1, 2, 14, 30)
