@@ -29,3 +29,18 @@ def test_load_run_report(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "r2")).count() > 0
     main(["report", "issue_count_by_type", "--out", out, "--time-col", "event_time", "--save", str(tmp_path / "r3")])
     assert spark.read.parquet(str(tmp_path / "r3")).count() > 0
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF_SMALL, BENCH_RUNS="1", BENCH_CPUS="2", BENCH_DRIVER_MEMORY="1g")
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py"), "int_vwap", "dq_scan"], env=env,
+                         capture_output=True, text=True, timeout=600, check=True).stdout
+    lines = [line for line in out.splitlines() if line.strip()]
+    assert len(lines) == 1
+    d = json.loads(lines[0])
+    assert d["unit"] == "sec" and set(d["queries"]) == {"int_vwap", "dq_scan"} and d["value"] > 0
