@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .jaccard import near_duplicates
 from .mixing import mix_sizes
 from .sharding import shard_documents
 
@@ -20,7 +21,13 @@ def op8_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document: five words, 0.8."""
+    return near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=80)
+
+
 QUERIES = {
     "op6_mix_sources": op6_mix_sources,
     "op8_rendezvous_shards": op8_rendezvous_shards,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
 }
