@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,3 +66,18 @@ def n_words(c: Column) -> Column:
     flat = F.trim(F.regexp_replace(c, r"[\x20\x09-\x0D]+", " "))
     n = F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit(""))) + F.lit(1)
     return F.when(flat.isNull() | (flat == ""), F.lit(0)).otherwise(n).cast("long")
+
+
+def append_columns(df: DataFrame, text: str, fields: list[StructField], compute) -> DataFrame:
+    """``df`` with more columns, computed from its text column alone in Arrow
+    batches.  ``compute(text array)`` returns one Arrow array for each field;
+    ``fields`` must be new names."""
+    schema = StructType([*df.schema.fields, *fields])
+    names = [f.name for f in schema.fields]
+    at = df.columns.index(text)
+
+    def rows(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, *compute(batch.column(at))], names=names)
+
+    return df.mapInArrow(rows, schema)

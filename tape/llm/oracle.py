@@ -64,7 +64,32 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard::INT AS shard,
 FROM placed
 """
 
+#: Words after A-Z are lower-cased, for contamination.
+PLAIN = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+         r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+DECONTAMINATE = f"""
+WITH b AS (SELECT item_id, {PLAIN} AS w FROM benchmark),
+sizes AS (SELECT item_id, w, least(10, len(w)) AS m FROM b WHERE len(w) > 0),
+tests AS (
+  SELECT DISTINCT item_id, m, w[pos + 1:pos + m] AS g
+  FROM (SELECT item_id, w, m, unnest(range(len(w) - m + 1)) AS pos FROM sizes)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {PLAIN} AS w FROM documents),
+grams AS (
+  SELECT r, m, pos, w[pos + 1:pos + m] AS g
+  FROM (SELECT r, w, m, unnest(range(greatest(len(w) - m + 1, 0))) AS pos FROM d, (SELECT DISTINCT m FROM tests))),
+hits AS (SELECT r, pos, grams.m, item_id FROM grams JOIN tests ON grams.m = tests.m AND grams.g = tests.g),
+places AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(pos, pos + m)) AS p FROM hits) GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS named
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(named, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (r) LEFT JOIN items USING (r)
+"""
+
 SQL = {
+    "op4_decontaminate": DECONTAMINATE,
     "op6_mix_sources": MIX,
     "op8_rendezvous_shards": SHARDS,
 }

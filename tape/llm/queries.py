@@ -6,11 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontaminate import contamination_report
 from .jaccard import near_duplicates
 from .mixing import mix_sizes
 from .sharding import shard_documents
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of ten words in every document."""
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mix_sizes(table(spark, sf_dir, "documents"))
@@ -27,6 +33,7 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_decontaminate": op4_decontaminate,
     "op6_mix_sources": op6_mix_sources,
     "op8_rendezvous_shards": op8_rendezvous_shards,
     "op9_ngram_jaccard": op9_ngram_jaccard,
