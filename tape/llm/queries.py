@@ -9,9 +9,15 @@ from .common import table
 from .decontaminate import contamination_report
 from .jaccard import near_duplicates
 from .mixing import mix_sizes
+from .quality import classify
 from .sharding import shard_documents
 
 
+def op3_quality_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and verdict of the weak-label classifier on every document."""
+    return classify(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of ten words in every document."""
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
@@ -33,6 +39,7 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_quality_weak_labels": op3_quality_weak_labels,
     "op4_decontaminate": op4_decontaminate,
     "op6_mix_sources": op6_mix_sources,
     "op8_rendezvous_shards": op8_rendezvous_shards,
