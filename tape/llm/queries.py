@@ -8,11 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontaminate import contamination_report
 from .jaccard import near_duplicates
+from .language import identify
 from .mixing import mix_sizes
 from .quality import classify
 from .sharding import shard_documents
 
 
+def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score and verdict of the weak-label classifier on every document."""
     return classify(table(spark, sf_dir, "documents"))
@@ -39,6 +45,7 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language_mixture": op2_language_mixture,
     "op3_quality_weak_labels": op3_quality_weak_labels,
     "op4_decontaminate": op4_decontaminate,
     "op6_mix_sources": op6_mix_sources,
