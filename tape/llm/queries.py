@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .compression import quality_rules
 from .decontaminate import contamination_report
 from .jaccard import near_duplicates
 from .language import identify
@@ -34,6 +35,11 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sizes(table(spark, sf_dir, "documents"))
 
 
+def op7_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and compression verdict of every document."""
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op8_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     return shard_documents(table(spark, sf_dir, "documents"))
@@ -49,6 +55,7 @@ QUERIES = {
     "op3_quality_weak_labels": op3_quality_weak_labels,
     "op4_decontaminate": op4_decontaminate,
     "op6_mix_sources": op6_mix_sources,
+    "op7_compression_bands": op7_compression_bands,
     "op8_rendezvous_shards": op8_rendezvous_shards,
     "op9_ngram_jaccard": op9_ngram_jaccard,
 }
