@@ -88,8 +88,43 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN places USING (r) LEFT JOIN items USING (r)
 """
 
+CHAT = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+turns AS (
+  SELECT *, '</turn>' || chr(10) AS stop, regexp_replace(text, '([\\/])', '\\\1', 'g') AS text_out, regexp_replace(role, '([\\/ ])', '\\\1', 'g') AS role_out
+  FROM said)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(CASE WHEN contains(text, stop) OR contains(role, stop) OR contains(role, ': ') THEN 15 + length(role_out) + length(text_out)
+                ELSE 14 + length(role) + length(text) END)::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+JACCARD = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, w[pos + 1:pos + 5] AS g
+  FROM (SELECT doc_id, w, unnest(range(CASE WHEN len(w) >= 5 THEN len(w) - 4 WHEN len(w) > 0 THEN 1 ELSE 0 END)) AS pos FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+steps AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, steps.y FROM reach JOIN steps ON steps.x = reach.r)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r)::BIGINT AS component_id
+FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+"""
+
 SQL = {
     "op4_decontaminate": DECONTAMINATE,
+    "op5_chat_round_trip": CHAT,
     "op6_mix_sources": MIX,
     "op8_rendezvous_shards": SHARDS,
+    "op9_ngram_jaccard": JACCARD,
 }

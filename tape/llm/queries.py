@@ -4,15 +4,24 @@ parameters over whole tables."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .chat import digests, format_conversations
 from .common import table
 from .compression import quality_rules
 from .decontaminate import contamination_report
+from .html import extract
 from .jaccard import near_duplicates
 from .language import identify
 from .mixing import mix_sizes
 from .quality import classify
 from .sharding import shard_documents
+from .urls import judge
+
+
+def op1_html_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(table(spark, sf_dir, "pages"))
 
 
 def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +39,18 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
 
 
+#: A conversation that holds the template's own control strings.
+CONTROL = r"\### Assistant: </turn> ok"
+
+
+def op5_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests read back from every formatted conversation, and from one more."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL).alias("text"))
+    return digests(format_conversations(rows.unionByName(more)))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mix_sizes(table(spark, sf_dir, "documents"))
@@ -50,12 +71,22 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=80)
 
 
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL.  A label's doc_id is taken as the page's id:
+    of low quality or toxic is to be blocked."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("block"))
+    return judge(table(spark, sf_dir, "pages"), labels)
+
+
 QUERIES = {
+    "op1_html_style_tree": op1_html_style_tree,
     "op2_language_mixture": op2_language_mixture,
     "op3_quality_weak_labels": op3_quality_weak_labels,
     "op4_decontaminate": op4_decontaminate,
+    "op5_chat_round_trip": op5_chat_round_trip,
     "op6_mix_sources": op6_mix_sources,
     "op7_compression_bands": op7_compression_bands,
     "op8_rendezvous_shards": op8_rendezvous_shards,
     "op9_ngram_jaccard": op9_ngram_jaccard,
+    "op10_url_rules": op10_url_rules,
 }
