@@ -7,8 +7,8 @@
    often each labeller is right about good and about bad documents, and the
    share of good ones; from these every pattern gets a posterior.  No gold
    label is read.
-3. The posteriors of about ``train_rows`` documents (those with the smallest
-   hashes: a documented bound, the same rows each time) train a logistic scorer
+3. The posteriors of about ``train_rows`` distinct texts at most (those with the
+   smallest hashes: a documented bound, the same texts each time) train a logistic scorer
    on hashed features: byte trigrams, character-shape 4-grams and word repeats.
 4. The scorer judges every whole text; below ``threshold`` a document goes.
 
@@ -223,10 +223,12 @@ def train(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) ->
     codes, counts = found.column("votes").to_numpy(), found.column("n").to_numpy()
     good, accuracy, share = estimate(decode(codes), counts)
     total = int(counts.sum())
-    # the rows with the smallest hashes: a binomial number about train_rows
+    # the texts with the smallest hashes: a binomial number about train_rows
     limit = int(min(1.0, train_rows / max(total, 1)) * float(1 << 62))
     key = F.shiftrightunsigned(F.xxhash64("text"), 2)
-    sample = vote_codes(texts.select(key.alias("key"), "text").where((F.col("key") < limit) & F.col("text").isNotNull()), "text")
+    # copies of one text share a hash and count once, however many they are
+    picked = texts.select(key.alias("key"), "text").where((F.col("key") < limit) & F.col("text").isNotNull()).dropDuplicates(["key"])
+    sample = vote_codes(picked, "text")
     rows = training_rows(sample).toArrow().sort_by([("key", "ascending")])
     labels = dict(zip(codes.tolist(), good.tolist()))
     w, bias = fit([x.values.to_numpy() for x in rows.column("dims")], [x.values.to_numpy() for x in rows.column("values")], np.array([labels[x] for x in rows.column("votes").to_pylist()]))
