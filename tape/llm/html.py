@@ -300,7 +300,7 @@ def noise_nodes(tree: DataFrame, threshold: float = THRESHOLD, min_pages: int =
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", threshold: float = THRESHOLD, min_pages: int = MIN_PAGES) -> DataFrame:
     """key, url, text and n_chars of every page."""
     named = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html"), host_of(F.col(url)).alias("host"))
-    tree = style_tree(named.where((F.col("host") != "") & F.col("html").isNotNull()).select("host", "html"))
+    tree = staged(style_tree(named.where((F.col("host") != "") & F.col("html").isNotNull()).select("host", "html")), "html-tree")
     noise = staged(noise_nodes(tree, threshold, min_pages), "html-noise")
     joined = named.join(noise.withColumnRenamed("host", "of"), F.col("host") == F.col("of"), "left").select("key", "url", "html", "noise")
     schema = StructType([StructField("key", joined.schema["key"].dataType), StructField("url", StringType()), StructField("text", StringType())])
