@@ -38,8 +38,8 @@ def _at(a: str, i: int) -> str:
 
 
 def best(prices) -> Column:
-    """Best bid / best ask = element 1."""
-    return F.element_at(col(prices), 1)
+    """Best bid / best ask = element 1; NULL on an empty side."""
+    return F.try_element_at(col(prices), F.lit(1))
 
 
 def array_sum(a: str, levels: int = BOOK_LEVELS) -> Column:

@@ -76,9 +76,12 @@ def order_key(order: list, dtypes: dict | None = None) -> Column:
     if len(order) == 1:
         return col(order[0])
     if len(order) == 2 and dtypes is not None and dtypes.get(order[1]) in integral:
-        us = epoch_micros(order[0]).cast("decimal(38,0)")
         from decimal import Decimal
-        return us * F.lit(Decimal(10 ** 20)).cast("decimal(38,0)") + col(order[1]).cast("decimal(38,0)")
+
+        def first(c, least):   # NULL sorts before every value
+            return F.coalesce(c.cast("decimal(38,0)"), F.lit(Decimal(least)).cast("decimal(38,0)"))
+        us = first(epoch_micros(order[0]), -10 ** 17)
+        return us * F.lit(Decimal(10 ** 20)).cast("decimal(38,0)") + first(col(order[1]), -10 ** 19)
     return F.struct(*[col(c) for c in order])
 
 
@@ -98,11 +101,3 @@ def quantiles(c, qs: list[float], exact: bool = True, accuracy: int = 10000) ->
     if exact:
         return F.percentile(col(c), arr)
     return F.percentile_approx(col(c), arr, F.lit(accuracy)).cast("array<double>")
-
-
-def quantile(c, q: float, exact: bool = True, accuracy: int = 10000) -> Column:
-    """Exact interpolated quantile, or the mergeable sketch for very
-    large groups (bounded memory per group)."""
-    if exact:
-        return F.percentile(col(c), F.lit(q))
-    return F.percentile_approx(col(c), F.lit(q), F.lit(accuracy)).cast("double")

@@ -1,20 +1,18 @@
 """As-of join: each trade with the prevailing (latest earlier) quote of its
 symbol — the one join the source system names as missing.
 
-Bucketed plan (no per-symbol partition, no pairwise candidates), used unless
-the planned input is under ``windows.SMALL_INPUT_BYTES``:
+One plan for every size, without a per-symbol partition or pairwise candidates:
 
-1. Tag and union both sides; bucket by coarse time.
-2. Inside (symbol, minute), ``last(quote, ignorenulls)`` over the running
+1. Tag and union both sides; bucket by a few seconds.
+2. Inside (symbol, bucket), ``last(quote, ignorenulls)`` over the running
    frame gives the prevailing quote when one exists earlier in the bucket.
 3. For rows whose bucket has no earlier quote, carry the last quote of the
-   previous buckets: per (symbol, bucket) last quote of the quote side →
-   running ``last(ignorenulls)`` over the bucket list of both sides (a table
-   of symbols × buckets, independent of the tick count) → equi-join on
-   (symbol, bucket).
+   buckets before: per (symbol, bucket) the last quote, run forward inside the
+   (symbol, day), and the last quote of each day run forward over the days.
 
-``strict=True`` requires the quote to be strictly earlier than the trade;
-otherwise a quote at the same timestamp prevails (quotes sort first).
+Order is (time, side, tie keys), NULLs first, in every step; symbols compare
+null-safe.  ``strict=True`` requires the quote to be strictly earlier than the
+trade; otherwise a quote at the same timestamp prevails (quotes sort first).
 """
 
 from __future__ import annotations
@@ -24,22 +22,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tape.functions.prices import order_key
-from tape.functions.time import bucket
-from tape.operators.windows import SMALL_INPUT_BYTES
-from tape.session import planned_bytes
+from tape.functions.time import bucket, to_date
+from tape.operators.windows import COARSE_SECONDS, null_safe_join
 
 
 def prevailing(left: DataFrame, right: DataFrame, right_cols: Sequence[str], by: str = "symbol",
                ts: str = "timestamp", right_tie: Sequence[str] = (),
-               strict: bool = False, coarse_seconds: int = 60, prefix: str = "q_",
-               bucketed: bool | str = "auto") -> DataFrame:
+               strict: bool = False, coarse_seconds: int = COARSE_SECONDS, prefix: str = "q_") -> DataFrame:
     """Left as-of join: ``left`` rows + ``prefix``-named columns of the
-    prevailing ``right`` row (NULL when none).
-
-    ``bucketed="auto"`` uses the bucketed plan unless both inputs together are
-    planned at or under ``windows.SMALL_INPUT_BYTES``; then one running window
-    per symbol (no carry table) is cheaper and bounded by that size."""
+    prevailing ``right`` row (NULL when none)."""
     left_cols = left.columns
     # quotes at the same timestamp: without a tie key, order them by their own
     # values so the choice is the same on every run (and on recomputation)
@@ -52,34 +43,19 @@ def prevailing(left: DataFrame, right: DataFrame, right_cols: Sequence[str], by:
     L = left.select(by, ts, F.lit(l_side).alias("_side"), F.lit(None).cast(R.schema["_q"].dataType).alias("_q"),
                     F.lit(None).cast(R.schema["_rt"].dataType).alias("_rt"),
                     F.struct(*[F.col(c) for c in left_cols]).alias("_row"))
-    u = L.unionByName(R, allowMissingColumns=True)
-    if bucketed == "auto":
-        size = planned_bytes(u)
-        bucketed = size is None or size > SMALL_INPUT_BYTES
-    if not bucketed:
-        w1 = Window.partitionBy(by).orderBy(ts, "_side", "_rt").rowsBetween(Window.unboundedPreceding, 0)
-        out = u.withColumn("_m", F.last("_q", ignorenulls=True).over(w1)).where(F.col("_row").isNotNull())
-        return out.select(*[F.col("_row")[c].alias(c) for c in left_cols],
-                          *[F.col("_m")[c].alias(prefix + c) for c in [ts, *right_cols]])
-    u = u.withColumn("_cb", bucket(ts, coarse_seconds))
-    w = (Window.partitionBy(by, "_cb").orderBy(ts, "_side", "_rt")
-         .rowsBetween(Window.unboundedPreceding, 0))
-    u = u.withColumn("_last", F.last("_q", ignorenulls=True).over(w))
-    # last quote of every (symbol, bucket) from the quote side only, one
-    # max_by per column over a packed order key (hash aggregation), then
-    # carried forward over the bucket list of both sides (symbols × buckets)
-    rb = right.withColumn("_cb", bucket(ts, coarse_seconds))
-    key = order_key([ts, *right_tie], dict(rb.dtypes))
-    per_bucket = (rb.groupBy(by, "_cb")
-                  .agg(*[F.max_by(c, key).alias(c) for c in [ts, *right_cols]])
-                  .select(by, "_cb", F.struct(*[F.col(c) for c in [ts, *right_cols]]).alias("_bq")))
-    buckets = (left.select(by, bucket(ts, coarse_seconds).alias("_cb"))
-               .unionByName(rb.select(by, "_cb")).distinct())
-    before = Window.partitionBy(by).orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (buckets.join(per_bucket, [by, "_cb"], "left")
-             .select(by, "_cb", F.last("_bq", ignorenulls=True).over(before).alias("_carry")))
-    out = (u.where(F.col("_row").isNotNull())
-           .join(carry, [by, "_cb"], "left")
-           .withColumn("_m", F.coalesce("_last", "_carry")))
+    u = L.unionByName(R, allowMissingColumns=True).withColumn("_cb", bucket(ts, coarse_seconds))
+    upto = (Window.partitionBy(by, "_cb").orderBy(ts, "_side", "_rt")
+            .rowsBetween(Window.unboundedPreceding, 0))
+    near = u.withColumn("_last", F.last("_q", ignorenulls=True).over(upto)).where(F.col("_row").isNotNull())
+    # every (symbol, bucket) of both sides with the last quote in it
+    newest = F.max(F.when(F.col("_q").isNotNull(), F.struct(F.col(ts).alias("_t"), "_rt", "_q")))
+    buckets = u.groupBy(by, "_cb").agg(newest.alias("_m")).select(by, "_cb", to_date("_cb").alias("_cd"), F.col("_m._q").alias("_bq"))
+    in_day = Window.partitionBy(by, "_cd").orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
+    days = buckets.groupBy(by, "_cd").agg(F.max(F.when(F.col("_bq").isNotNull(), F.struct("_cb", "_bq"))).alias("_m"))
+    earlier = Window.partitionBy(by).orderBy("_cd").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select(by, "_cd", F.last(F.col("_m._bq"), ignorenulls=True).over(earlier).alias("_dq"))
+    carry = (null_safe_join(buckets.withColumn("_iq", F.last("_bq", ignorenulls=True).over(in_day)), days, [by, "_cd"])
+             .select(by, "_cb", F.coalesce("_iq", "_dq").alias("_carry")))
+    out = null_safe_join(near, carry, [by, "_cb"], "left").withColumn("_m", F.coalesce("_last", "_carry"))
     return out.select(*[F.col("_row")[c].alias(c) for c in left_cols],
                       *[F.col("_m")[c].alias(prefix + c) for c in [ts, *right_cols]])

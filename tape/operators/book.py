@@ -66,8 +66,8 @@ def snapshot_stats_arrays(snapshots: DataFrame, bands: Sequence[int] = BANDS,
     cols = {
         "minute_bucket": bucket("timestamp", 60, ts_type(s, "timestamp")),
         "bbo_spread_bps": _bbo_bps(B.best("ask_prices"), B.best("bid_prices")),
-        "tob_bid_size": F.element_at("bid_sizes", 1),
-        "tob_ask_size": F.element_at("ask_sizes", 1),
+        "tob_bid_size": B.best("bid_sizes"),
+        "tob_ask_size": B.best("ask_sizes"),
     }
     for b in bands:
         for sd in ("bid", "ask"):

@@ -34,7 +34,7 @@ def trade_flag(reference_price: str | None = None, outlier_pct: float = 5.0) ->
 def book_flag() -> Column:
     """CROSSED_BOOK (best bid > best ask) → MISSING_LEVELS (a level with price
     0, i.e. a truncated book) → OK."""
-    crossed = F.element_at("bid_prices", 1) > F.element_at("ask_prices", 1)
+    crossed = B.best("bid_prices") > B.best("ask_prices")
     missing = B.any_level_at_most("bid_prices") | B.any_level_at_most("ask_prices")
     return F.when(crossed, "CROSSED_BOOK").when(missing, "MISSING_LEVELS").otherwise("OK")
 

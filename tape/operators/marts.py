@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tape.functions import prices as P
+from tape.operators.quantiles import exact_quantiles
+from tape.operators.windows import null_safe_join
 
 
 def daily_trade_stats(stg_trades: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
@@ -25,44 +27,37 @@ def daily_trade_stats(stg_trades: DataFrame, tie: Sequence[str] = ()) -> DataFra
                  F.count_if("has_quality_issue").alias("trade_quality_issues")))
 
 
-def daily_quote_stats(stg_quotes: DataFrame, exact: bool | str = True) -> DataFrame:
+def daily_quote_stats(stg_quotes: DataFrame, exact: bool = True) -> DataFrame:
     """Per symbol-day spread statistics.
 
-    ``exact``: True = ``percentile`` (one value map per group), False = the
-    mergeable sketch, "distributed" = exact without a per-group map
-    (``tape.operators.quantiles``), for symbol-days too large for one task."""
-    if exact == "distributed":
-        from tape.operators.quantiles import exact_quantiles
-        base = (stg_quotes.groupBy("symbol", F.col("quote_date").alias("trade_date"))
-                .agg(F.avg("spread_bps").alias("avg_spread_bps"),
-                     F.count(F.lit(1)).alias("quote_count"),
-                     F.count_if("has_quality_issue").alias("quote_quality_issues")))
-        q = exact_quantiles(stg_quotes.withColumnRenamed("quote_date", "trade_date"), ["symbol", "trade_date"],
+    A symbol-day can be large, so its exact quantiles come from
+    ``tape.operators.quantiles`` (no value map per group); ``exact=False``
+    takes the mergeable sketch."""
+    day = F.col("quote_date").alias("trade_date")
+    aggs = [F.avg("spread_bps").alias("avg_spread_bps"), F.count(F.lit(1)).alias("quote_count"),
+            F.count_if("has_quality_issue").alias("quote_quality_issues")]
+    if exact:
+        q = exact_quantiles(stg_quotes.select("symbol", day, "spread_bps"), ["symbol", "trade_date"],
                             "spread_bps", [0.5, 0.95], ["median_spread_bps", "p95_spread_bps"])
-        return (base.join(q, ["symbol", "trade_date"], "left")
-                .select("symbol", "trade_date", "avg_spread_bps", "median_spread_bps", "p95_spread_bps",
-                        "quote_count", "quote_quality_issues"))
-    return (stg_quotes.groupBy("symbol", F.col("quote_date").alias("trade_date"))
-            .agg(F.avg("spread_bps").alias("avg_spread_bps"),
-                 P.quantiles("spread_bps", [0.5, 0.95], exact).alias("_q"),
-                 F.count(F.lit(1)).alias("quote_count"),
-                 F.count_if("has_quality_issue").alias("quote_quality_issues"))
-            .select("symbol", "trade_date", "avg_spread_bps", F.col("_q")[0].alias("median_spread_bps"),
-                    F.col("_q")[1].alias("p95_spread_bps"), "quote_count", "quote_quality_issues"))
+        out = null_safe_join(stg_quotes.groupBy("symbol", day).agg(*aggs), q, ["symbol", "trade_date"], "left")
+    else:
+        out = (stg_quotes.groupBy("symbol", day).agg(*aggs, P.quantiles("spread_bps", [0.5, 0.95], False).alias("_q"))
+               .withColumns({"median_spread_bps": F.col("_q")[0], "p95_spread_bps": F.col("_q")[1]}))
+    return out.select("symbol", "trade_date", "avg_spread_bps", "median_spread_bps", "p95_spread_bps",
+                      "quote_count", "quote_quality_issues")
 
 
 def daily_summary(stg_trades: DataFrame, stg_quotes: DataFrame, tie: Sequence[str] = (),
-                  exact: bool | str = True) -> DataFrame:
+                  exact: bool = True) -> DataFrame:
     """Q14 ``mart_daily_summary``: trade day ⟕ quote day on (symbol, date).
 
-    Both sides are already hash-partitioned on the key by their aggregates, so
-    the join adds no exchange of the data (AQE broadcasts the smaller side when
-    its measured size is under the threshold).  Days without quotes keep their
+    Both sides are one row per symbol-day, joined null-safe (AQE broadcasts the
+    smaller side when its measured size is under the threshold).  Days without quotes keep their
     trade issue count and get quote_count 0 (S3).
     """
     t = daily_trade_stats(stg_trades, tie)
     q = daily_quote_stats(stg_quotes, exact)
-    j = t.join(q, ["symbol", "trade_date"], "left")
+    j = null_safe_join(t, q, ["symbol", "trade_date"], "left")
     return j.select(
         "symbol", "trade_date", "open_price", "high_price", "low_price", "close_price",
         "total_volume", "total_notional", "day_vwap", "trade_count",

@@ -61,24 +61,21 @@ def _gap_text(us) -> Column:
 
 
 def stale_quotes(quotes: DataFrame, gap_seconds: float = 5.0, hours: tuple[int, int] = (14, 21),
-                 tie: Sequence[str] = (), reset_daily: bool = False, blocked: bool | str = "auto",
-                 block_rows: int = 100_000, as_of=None, rank: str = "minute") -> DataFrame:
+                 tie: Sequence[str] = (), reset_daily: bool = False,
+                 block_rows: int = 100_000, as_of=None, rank: str = "time") -> DataFrame:
     """Q2: gap to the previous quote of the symbol > ``gap_seconds`` → WARNING.
 
     The hour filter runs before the lag (as in the source system).  The first
     quote of a symbol has no predecessor and is never reported (S1); with
     ``reset_daily`` the first quote of each day is not compared with the day
-    before (S2).  ``blocked``: "auto" (default) takes the bounded-partition
-    plan of ``tape.operators.windows`` unless the planned input is under its
-    size bound; True forces it; False is the plain per-symbol window.
+    before (S2).
     """
     q = quotes.where(hour_in("timestamp", *hours)).select("symbol", "timestamp", *tie)
     part = ["symbol"]
     if reset_daily:
         q = q.withColumn("_day", to_date("timestamp"))
         part.append("_day")
-    q = windows.previous(q, "timestamp", part, ["timestamp", *tie], "_prev", blocked=blocked,
-                         block_rows=block_rows, rank=rank)
+    q = windows.previous(q, "timestamp", part, ["timestamp", *tie], "_prev", block_rows=block_rows, rank=rank)
     q = q.withColumn("_gap_us", micros_between("_prev", "timestamp"))
     hit = q.where(F.col("_gap_us") > F.lit(int(round(gap_seconds * 1_000_000))))
     return _issues(hit, "quotes", "STALE_QUOTE", "WARNING", _gap_text(F.col("_gap_us")), as_of,
@@ -86,8 +83,7 @@ def stale_quotes(quotes: DataFrame, gap_seconds: float = 5.0, hours: tuple[int,
 
 
 def price_outliers(trades: DataFrame, rows: int = 1000, z_limit: float = 3.0, tie: Sequence[str] = (),
-                   blocked: bool | str = "auto", block_rows: int = 100_000, as_of=None,
-                   rank: str = "minute") -> DataFrame:
+                   block_rows: int = 100_000, as_of=None, rank: str = "time") -> DataFrame:
     """Q3: |price − rolling mean| / rolling σ > ``z_limit`` over the last
     ``rows`` trades of the symbol (current one included) → CRITICAL.
 
@@ -96,7 +92,7 @@ def price_outliers(trades: DataFrame, rows: int = 1000, z_limit: float = 3.0, ti
     """
     t = trades.select("symbol", "timestamp", "trade_price", *tie)
     t = windows.rolling_mean_std(t, "trade_price", ["symbol"], ["timestamp", *tie], rows,
-                                 blocked=blocked, block_rows=block_rows, rank=rank)
+                                 block_rows=block_rows, rank=rank)
     m, s = F.col("rolling_mean"), F.col("rolling_std")
     t = t.withColumn("z_score", F.when(s > 0, F.abs(F.col("trade_price") - m) / s).otherwise(F.lit(0.0)))
     hit = t.where((F.col("z_score") > z_limit) & (s > 0))
@@ -152,13 +148,13 @@ def new_findings(findings: DataFrame, log: DataFrame | None) -> DataFrame:
 
 
 def scan(trades: DataFrame, quotes: DataFrame, log: DataFrame | None = None, as_of=None,
-         tie: Sequence[str] = (), blocked: bool | str = "auto", block_rows: int = 100_000) -> DataFrame:
+         tie: Sequence[str] = (), block_rows: int = 100_000) -> DataFrame:
     """Q6: all checks as one frame in the log schema, minus what ``log`` holds."""
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     parts = [
         quote_row_checks(quotes, as_of),
-        stale_quotes(quotes, tie=tie, blocked=blocked, block_rows=block_rows, as_of=as_of),
-        price_outliers(trades, tie=tie, blocked=blocked, block_rows=block_rows, as_of=as_of),
+        stale_quotes(quotes, tie=tie, block_rows=block_rows, as_of=as_of),
+        price_outliers(trades, tie=tie, block_rows=block_rows, as_of=as_of),
         zero_size_trades(trades, as_of),
     ]
     out = parts[0].select(*ISSUE_COLUMNS)

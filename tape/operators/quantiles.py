@@ -8,7 +8,8 @@ floor and ceiling ranks) while every step stays bounded:
 1. distinct-value counts per group (partial aggregation; the shuffle key
    includes the value, so a hot group spreads over many tasks)
 2. range partitioning on (group, value): a hot group's values are split into
-   contiguous chunks over many partitions
+   contiguous chunks over many partitions; written once, so that the partition
+   numbers are data and every later step sees the same chunks
 3. running counts inside each (group, partition) chunk, plus per-chunk offsets
    (a table of groups × partitions) → the rank interval of every distinct value
 4. keep the values whose interval holds a target rank (≤ 2 per quantile per
@@ -22,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tape.operators.windows import null_safe_join, numbered_ranges
+
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float],
                     names: Sequence[str] | None = None, partitions: int | None = None) -> DataFrame:
@@ -31,8 +34,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence
     names = list(names or [f"q{i}" for i in range(len(qs))])
     vc = (df.where(F.col(value).isNotNull())
           .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
-    r = vc.repartitionByRange(partitions, *keys, value) if partitions else vc.repartitionByRange(*keys, value)
-    r = r.withColumn("_pid", F.spark_partition_id())
+    r = numbered_ranges(vc, [*keys, value], partitions).drop("_mid")
     # chunk sizes from the partitioned counts (partial aggregation, small shuffle)
     chunks = r.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_cc"))
     n = chunks.groupBy(*keys).agg(F.sum("_cc").alias("_n"))
@@ -40,7 +42,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence
     r = r.withColumn("_cum", F.sum("_c").over(chunk_rows))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = chunks.select(*keys, "_pid", F.coalesce(F.sum("_cc").over(before), F.lit(0)).alias("_off"))
-    r = (r.join(offs, [*keys, "_pid"]).join(n, keys)
+    r = (null_safe_join(null_safe_join(r, offs, [*keys, "_pid"]), n, keys)
          .withColumn("_end", F.col("_off") + F.col("_cum") - 1)
          .withColumn("_start", F.col("_end") - F.col("_c") + 1))
     pos = {i: F.lit(float(q)) * (F.col("_n") - 1).cast("double") for i, q in enumerate(qs)}

@@ -116,15 +116,13 @@ def q_dq_crossed(spark, sf):
 
 
 def q_dq_stale(spark, sf):
-    """Stale check with the library default: the bounded blocked plan, or one
-    window per symbol when the planned input is under the size bound (same
-    rows either way, see tests/test_equivalence.py)."""
+    """Stale check with the library defaults."""
     return quality.stale_quotes(raw_quotes(spark, sf), tie=TIE, as_of=AS_OF).drop("detected_at")
 
 
 def q_dq_stale_blocked(spark, sf):
     """Stale check on the bounded-partition plan (small blocks so the halo is exercised)."""
-    return quality.stale_quotes(raw_quotes(spark, sf), tie=TIE, blocked=True, block_rows=50,
+    return quality.stale_quotes(raw_quotes(spark, sf), tie=TIE, block_rows=50,
                                 as_of=AS_OF).drop("detected_at")
 
 
@@ -133,21 +131,20 @@ def q_dq_stale_daily(spark, sf):
 
 
 def q_dq_outlier(spark, sf):
-    """Outlier check with the library defaults (size-bounded choice between one
-    prefix-sum window per symbol and the blocked plan)."""
+    """Outlier check with the library defaults."""
     return (quality.price_outliers(raw_trades(spark, sf), tie=TIE, as_of=AS_OF)
             .select(*FINDING, "trade_price"))
 
 
 def q_dq_outlier_halo(spark, sf):
     """Outlier check on the blocked plan: 1000-row frames over blocks of 1000 + 999 halo rows."""
-    return (quality.price_outliers(raw_trades(spark, sf), tie=TIE, blocked=True, block_rows=1000, as_of=AS_OF)
+    return (quality.price_outliers(raw_trades(spark, sf), tie=TIE, block_rows=1000, as_of=AS_OF)
             .select(*FINDING, "trade_price"))
 
 
 def q_dq_outlier_lineitem(spark, sf):
     t = fx.trades_from_lineitem(fx.table(spark, sf, "lineitem"))
-    return (quality.price_outliers(t, tie=fx.LINEITEM_TIE, blocked=True, block_rows=1000, as_of=AS_OF)
+    return (quality.price_outliers(t, tie=fx.LINEITEM_TIE, block_rows=1000, as_of=AS_OF)
             .select(*FINDING, "trade_price"))
 
 
@@ -155,7 +152,7 @@ def q_dq_outlier_range(spark, sf):
     """Outlier check on the blocked plan with range-partitioned ranking (skew-proof
     even when one symbol-minute is huge), on the lineitem tape."""
     t = fx.trades_from_lineitem(fx.table(spark, sf, "lineitem"))
-    return (quality.price_outliers(t, tie=fx.LINEITEM_TIE, blocked=True, block_rows=1000, rank="range",
+    return (quality.price_outliers(t, tie=fx.LINEITEM_TIE, block_rows=1000, rank="range",
                                    as_of=AS_OF)
             .select(*FINDING, "trade_price"))
 
@@ -168,8 +165,8 @@ def q_dq_zero_quotes(spark, sf):
     return quality.zero_size_quotes(raw_quotes(spark, sf), AS_OF).drop("detected_at")
 
 
-def issue_log(spark, sf, blocked="auto"):
-    return quality.scan(raw_trades(spark, sf), raw_quotes(spark, sf), as_of=AS_OF, tie=TIE, blocked=blocked)
+def issue_log(spark, sf):
+    return quality.scan(raw_trades(spark, sf), raw_quotes(spark, sf), as_of=AS_OF, tie=TIE)
 
 
 def q_dq_scan(spark, sf):
@@ -440,7 +437,7 @@ def q_asof_trade_quote_bucketed(spark, sf):
     windows plus the carry table)."""
     t = raw_trades(spark, sf).select("symbol", "timestamp", "tick_id", "trade_price", "trade_size")
     q = raw_quotes(spark, sf).select("symbol", "timestamp", "tick_id", "bid_price", "ask_price")
-    return asof.prevailing(t, q, ["bid_price", "ask_price"], right_tie=TIE, strict=True, bucketed=True)
+    return asof.prevailing(t, q, ["bid_price", "ask_price"], right_tie=TIE, strict=True, coarse_seconds=60)
 
 
 def q_flag_rules_trades(spark, sf):

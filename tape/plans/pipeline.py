@@ -80,8 +80,7 @@ def table_checks(models: dict[str, DataFrame], as_of=None) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, as_of=None,
-                 tie: Sequence[str] = (), write_raw: bool = True, blocked_windows: bool | str = "auto"
-                 ) -> dict[str, DataFrame]:
+                 tie: Sequence[str] = (), write_raw: bool = True) -> dict[str, DataFrame]:
     """Load → stage → write models → checks → issue log.  Returns frames read
     back from the written tables (plus the check and issue summaries)."""
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -99,7 +98,7 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, a
             written[name] = spark.read.parquet(f"{out_dir}/{name}")
     log_path = f"{out_dir}/data_quality_issues"
     io.reset_issues(spark, log_path, src["quotes"].schema["timestamp"].dataType)
-    findings = quality.scan(src["trades"], src["quotes"], as_of=as_of, tie=tie, blocked=blocked_windows)
+    findings = quality.scan(src["trades"], src["quotes"], as_of=as_of, tie=tie)
     io.append_issues(findings, log_path)
     issues = spark.read.parquet(log_path)
     staged = {**models, **written}

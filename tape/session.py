@@ -6,10 +6,9 @@ timestamp, so the session time zone must be UTC (``configure`` sets it).
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # SQL settings applied to every session the library touches.
 SQL_CONF = {
@@ -24,15 +23,6 @@ SQL_CONF = {
 }
 
 
-def planned_bytes(df) -> int | None:
-    """The optimizer's size estimate of a DataFrame (planning only, nothing
-    runs); None when the plan cannot be inspected (e.g. a remote session)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return None
-
-
 def cluster_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
                  shuffle_ratio: float = 0.5) -> dict[str, str]:
     """Settings for a run over ``input_bytes`` of Parquet on a cluster: file
@@ -75,23 +65,24 @@ def get_session(master: str | None = None, app: str = "tape",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the deployment (a shared file system).
-    Only when it is unset (local tests) a private scratch folder is created.
+    Only where it is unset and all of Spark runs in this process (tests,
+    notebooks) a folder below ``spark.sql.warehouse.dir`` is taken.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - remote sessions have no SparkContext
-        sc = None
-    if not d and sc is not None:
-        d = sc.getCheckpointDir()
-    if not d:
-        if sc is not None and not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        d = tempfile.mkdtemp(prefix="tape-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    if sc is not None:
-        sc.setCheckpointDir(d)
-    return d
+    if d:
+        return d
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: what follows sees
+    one evaluation of it, whatever is recomputed."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tape.schemas import CSV_TIMESTAMP_FORMAT, RAW, RAW_CSV
-from tape.session import planned_bytes
 
 ARRAY_COLUMNS = {"bid_prices": "array<double>", "bid_sizes": "array<bigint>",
                  "ask_prices": "array<double>", "ask_sizes": "array<bigint>"}
@@ -78,32 +77,24 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def planned_partitions(df: DataFrame, target_bytes: int = 256 * 1024 * 1024) -> int:
-    """Output partition count from the optimizer's size estimate of ``df``
-    (planning only, nothing runs): about ``target_bytes`` per partition."""
-    size = planned_bytes(df)
-    if size is None:      # no estimate: the session default
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(-(-size // target_bytes), 1_000_000))
-
-
 def write_table(df: DataFrame, path: str, date_col: str | None = None,
                 sort_cols: Sequence[str] = ("symbol", "timestamp"), mode: str = "overwrite",
-                partitions: int | None = None, target_file_bytes: int = 256 * 1024 * 1024) -> None:
+                partitions: int | None = None) -> None:
     """Day-partitioned, sorted, idempotent per day (dynamic overwrite).
 
     ``date_col`` is derived from ``timestamp`` when missing.  A range
     partitioning on (date, sort columns) balances files even when one symbol
     dominates (a hot symbol is cut by time), and keeps each file to a narrow
-    symbol/time range for row-group skipping.  The partition count comes from
-    the planned size (``target_file_bytes`` each) unless given.
+    symbol/time range for row-group skipping.  ``partitions`` is the number of
+    ranges; without it Spark takes ``spark.sql.shuffle.partitions`` and
+    coalesces small ones by its advisory partition size.
     """
     sort_cols = [c for c in sort_cols if c in df.columns]
     if date_col:
         if date_col not in df.columns:
             df = df.withColumn(date_col, F.to_date("timestamp"))
         keys = [date_col, *sort_cols]
-        df = df.repartitionByRange(partitions or planned_partitions(df, target_file_bytes), *keys)
+        df = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
         (df.sortWithinPartitions(*keys).write.mode(mode)
          .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
     else:

@@ -69,27 +69,27 @@ def test_gap_threshold_is_strict(spark):
 
 def test_day_boundary_gap_and_reset_daily(spark):
     times = ["2024-01-02 20:59:00", "2024-01-03 14:30:00"]
-    for blocked in (False, True):
-        assert len(_stale(spark, times, blocked=blocked, block_rows=1)) == 1
-        assert _stale(spark, times, reset_daily=True, blocked=blocked, block_rows=1) == []
+    for rank in ("time", "range"):
+        assert len(_stale(spark, times, rank=rank, block_rows=1)) == 1
+        assert _stale(spark, times, reset_daily=True, rank=rank, block_rows=1) == []
 
 
-def _outliers(spark, prices, blocked=False):
+def _outliers(spark, prices, rank="time"):
     t = T(spark, [trade("A", f"2024-01-02 15:{i // 60:02d}:{i % 60:02d}", p, 1, tid=i)
                   for i, p in enumerate(prices)])
-    return rows(quality.price_outliers(t, tie=["tick_id"], blocked=blocked, block_rows=1000, as_of=AS_OF))
+    return rows(quality.price_outliers(t, tie=["tick_id"], rank=rank, block_rows=1000, as_of=AS_OF))
 
 
 def test_constant_series_has_no_outlier(spark):
     assert _outliers(spark, [10.0] * 30) == []
-    assert _outliers(spark, [10.0] * 30, blocked=True) == []
+    assert _outliers(spark, [10.0] * 30, rank="range") == []
 
 
 def test_outlier_needs_enough_history(spark):
     # z ≤ √(n−1): 8 equal ticks and a jump (n = 9) cannot exceed 3; 10 + jump (n = 11) gives √10
     assert _outliers(spark, [10.0] * 8 + [20.0]) == []
-    for blocked in (False, True):
-        out = _outliers(spark, [10.0] * 10 + [20.0], blocked=blocked)
+    for rank in ("time", "range"):
+        out = _outliers(spark, [10.0] * 10 + [20.0], rank=rank)
         assert len(out) == 1 and math.isclose(out[0]["z_score"], math.sqrt(10), rel_tol=1e-9)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tape.operators import asof, bars, book, quality
 from tape.plans import catalog as C
 from tests.conftest import SF_MID, SF_SMALL
-from tests.util import bag, rows
+from tests.util import bag, rows, sliding_mean_std, sliding_previous
 
 AS_OF = dt.datetime(2025, 1, 1)
 
@@ -20,45 +20,97 @@ def test_book_paths_agree(spark):
     assert bag(a) == bag(c)
 
 
-def test_blocked_windows_agree_with_plain_on_lineitem(spark):
+def test_findings_agree_with_the_sliding_frame_on_lineitem(spark):
     from tape.sources import fixtures as fx
     t = fx.trades_from_lineitem(fx.table(spark, SF_MID, "lineitem"))
+    order = ["timestamp", *fx.LINEITEM_TIE]
+    s = sliding_mean_std(t.select("symbol", "timestamp", "trade_price", *fx.LINEITEM_TIE), "trade_price", ["symbol"], order, 1000)
+    plain = rows(s.where("rolling_std > 0 and abs(trade_price - rolling_mean) / rolling_std > 3")
+                 .select("symbol", F.col("timestamp").alias("event_time"), "trade_price"))
     key = ["symbol", "event_time", "trade_price"]
-    plain = rows(quality.price_outliers(t, tie=fx.LINEITEM_TIE, blocked=False, as_of=AS_OF).select(*key))
-    blocked = rows(quality.price_outliers(t, tie=fx.LINEITEM_TIE, blocked=True, block_rows=1000,
-                                          as_of=AS_OF).select(*key))
-    assert len(plain) > 0 and bag(plain) == bag(blocked)
+    assert len(plain) > 0
+    for rank in ("time", "range"):
+        got = rows(quality.price_outliers(t, tie=fx.LINEITEM_TIE, block_rows=1000, rank=rank, as_of=AS_OF).select(*key))
+        assert bag(plain) == bag(got)
     q = t.select("symbol", "timestamp", *fx.LINEITEM_TIE)
-    s1 = rows(quality.stale_quotes(q, tie=fx.LINEITEM_TIE, hours=(0, 24), blocked=False, as_of=AS_OF)
-              .select("symbol", "event_time", "gap_us"))
-    s2 = rows(quality.stale_quotes(q, tie=fx.LINEITEM_TIE, hours=(0, 24), blocked=True, block_rows=37,
-                                   as_of=AS_OF).select("symbol", "event_time", "gap_us"))
-    assert len(s1) > 0 and bag(s1) == bag(s2)
-
-
-def test_rolling_stats_blocked_close_to_plain(spark):
-    t = C.raw_trades(spark, SF_SMALL).select("symbol", "timestamp", "tick_id", "trade_price")
+    gap = F.unix_micros(F.col("timestamp").cast("timestamp")) - F.unix_micros(F.col("_p").cast("timestamp"))
+    lag = rows(sliding_previous(q, "timestamp", ["symbol"], order, "_p").withColumn("gap_us", gap).where("gap_us > 5000000")
+               .select("symbol", F.col("timestamp").alias("event_time"), "gap_us"))
+    assert len(lag) > 0
+    for rank, block in (("time", 37), ("range", 11)):
+        got = rows(quality.stale_quotes(q, tie=fx.LINEITEM_TIE, hours=(0, 24), block_rows=block, rank=rank, as_of=AS_OF)
+                   .select("symbol", "event_time", "gap_us"))
+        assert bag(lag) == bag(got)
+
+
+def _hard_series(spark):
+    """NULL and NaN prices, a NULL symbol, NULL times, a level shift."""
+    base = dt.datetime(2024, 1, 2, 14, 30)
+    data = []
+    for i in range(400):
+        s = [None, "A", "B", "C"][i % 4]
+        px = None if i < 8 or i % 37 == 0 else float("nan") if s == "B" and i == 122 else 1e9 + i % 7 if i > 250 and s == "C" else 100.0 + (i * i) % 13
+        data.append((s, None if i in (3, 40, 41) else base + dt.timedelta(seconds=11 * (i // 3)), i, px))
+    return spark.createDataFrame(data, "symbol string, timestamp timestamp_ntz, tick_id long, px double")
+
+
+def test_windows_agree_on_nulls_nans_and_level_shifts(spark):
     from tape.operators import windows
-    a = {r["tick_id"]: r for r in rows(windows.rolling_mean_std(t, "trade_price", ["symbol"], ["timestamp", "tick_id"],
-                                                                rows=20, blocked=False))}
-    b = {r["tick_id"]: r for r in rows(windows.rolling_mean_std(t, "trade_price", ["symbol"], ["timestamp", "tick_id"],
-                                                                rows=20, blocked=True, block_rows=25))}
-    c = {r["tick_id"]: r for r in rows(windows.rolling_mean_std(t, "trade_price", ["symbol"], ["timestamp", "tick_id"],
-                                                                rows=20, blocked="auto"))}
-    assert windows.choose_plan(t, "auto") == "single"
-    assert windows.choose_plan(t, "auto", small_bytes=0) == "blocked"
-    assert a.keys() == b.keys() == c.keys()
-    for k in a:
-        for o in (b, c):
-            assert abs(a[k]["rolling_mean"] - o[k]["rolling_mean"]) < 1e-9
-            assert abs(a[k]["rolling_std"] - o[k]["rolling_std"]) < 1e-6
+    df = _hard_series(spark).withColumn("kept", F.create_map(F.lit("k"), F.col("tick_id")))
+    order = ["timestamp", "tick_id"]
+    want = {r["tick_id"]: r for r in rows(sliding_mean_std(df, "px", ["symbol"], order, 20))}
+    lag = {r["tick_id"]: r["p"] for r in rows(sliding_previous(df, "px", ["symbol"], order, "p"))}
+    for rank in ("time", "range"):
+        got = {r["tick_id"]: r for r in rows(windows.rolling_mean_std(df, "px", ["symbol"], order, 20, block_rows=25, rank=rank))}
+        assert got.keys() == want.keys()
+        for k, w in want.items():
+            for c in ("rolling_mean", "rolling_std"):
+                a, b = w[c], got[k][c]
+                assert (a is None) == (b is None) and (a is None or (a != a and b != b) or abs(a - b) <= 1e-8 * max(1.0, abs(a))), (k, c, a, b)
+        back = {r["tick_id"]: r["p"] for r in rows(windows.previous(df, "px", ["symbol"], order, "p", block_rows=3, rank=rank))}
+        assert {k: repr(v) for k, v in back.items()} == {k: repr(v) for k, v in lag.items()}
+
+
+def test_numbering_does_not_depend_on_exchange_reuse(spark):
+    from tape.operators import windows
+    from tape.operators.quantiles import exact_quantiles
+    from tape.sources import fixtures as fx
+    t = fx.trades_from_lineitem(fx.table(spark, SF_MID, "lineitem")).withColumn("kept", F.create_map(F.lit("k"), F.lit(1)))
+    t = t.withColumn("symbol", F.when(F.col("symbol") != "S01", F.col("symbol")))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        r = windows.range_row_number(t, ["symbol"], ["timestamp", *fx.LINEITEM_TIE], partitions=7)
+        n = rows(r.groupBy("symbol").agg(F.count("*").alias("n"), F.min("_rn").alias("lo"), F.max("_rn").alias("hi"), F.countDistinct("_rn").alias("d")))
+        assert all(x["lo"] == 1 and x["hi"] == x["n"] == x["d"] for x in n) and sum(x["n"] for x in n) == t.count()
+        got = {x["symbol"]: (x["q0"], x["q1"]) for x in rows(exact_quantiles(t, ["symbol"], "trade_price", [0.5, 0.95], partitions=7))}
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    want = {x["symbol"]: tuple(x["p"]) for x in rows(t.groupBy("symbol").agg(F.percentile("trade_price", F.array(F.lit(0.5), F.lit(0.95))).alias("p")))}
+    assert got == want
+
+
+def test_asof_with_null_ties_symbols_and_days(spark):
+    base = dt.datetime(2024, 1, 1, 9)
+    q = spark.createDataFrame([(s, base + dt.timedelta(hours=5 * i), None if i % 2 else i, float(i)) for s in ("A", None) for i in range(12)],
+                              "symbol string, timestamp timestamp_ntz, tie long, bid double")
+    q = q.unionByName(q.withColumn("tie", F.lit(None).cast("long")).withColumn("bid", -F.col("bid")))
+    t = spark.createDataFrame([(s, base + dt.timedelta(minutes=97 * i), i) for s in ("A", "Z", None) for i in range(-3, 50)],
+                              "symbol string, timestamp timestamp_ntz, id long")
+    for strict in (True, False):
+        got = {(r["symbol"], r["id"]): r["q_timestamp"] for r in rows(asof.prevailing(t, q, ["bid"], right_tie=["tie", "bid"], strict=strict))}
+        for (s, i), found in got.items():
+            at = base + dt.timedelta(minutes=97 * i)
+            times = [base + dt.timedelta(hours=5 * k) for k in range(12)] if s != "Z" else []
+            past = [x for x in times if (x < at if strict else x <= at)]
+            assert found == (max(past) if past else None)
+        assert len(got) == 3 * 53
 
 
 def test_asof_matches_pandas(spark):
     t = C.raw_trades(spark, SF_SMALL).select("symbol", "timestamp", "tick_id", "trade_price")
     q = C.raw_quotes(spark, SF_SMALL).select("symbol", "timestamp", "tick_id", "bid_price")
     got = rows(asof.prevailing(t, q, ["bid_price"], right_tie=["tick_id"], strict=True,
-                               coarse_seconds=600, bucketed=True))
+                               coarse_seconds=600))
     small = rows(asof.prevailing(t, q, ["bid_price"], right_tie=["tick_id"], strict=True))
     assert bag(got) == bag(small)
     tp = t.toPandas().sort_values("timestamp")
@@ -116,19 +168,10 @@ def test_distributed_quantiles_equal_percentile_on_a_hot_group(spark):
         assert [r[f"q{i}"] for i in range(len(qs))] == exp[r["grp"]]
 
 
-def test_daily_mart_distributed_quantiles_mode(spark):
+def test_daily_quote_stats_equal_percentile(spark):
     from tape.operators import marts
-    t, q = C.trades(spark, SF_SMALL), C.quotes(spark, SF_SMALL)
-    a = rows(marts.daily_summary(t, q, tie=["tick_id"]))
-    b = rows(marts.daily_summary(t, q, tie=["tick_id"], exact="distributed"))
-    assert bag(a) == bag(b)
-
-
-def test_stale_range_ranking_equals_plain(spark):
-    from tape.sources import fixtures as fx
-    t = fx.trades_from_lineitem(fx.table(spark, SF_SMALL, "lineitem")).select("symbol", "timestamp", *fx.LINEITEM_TIE)
-    cols = ["symbol", "event_time", "gap_us"]
-    a = rows(quality.stale_quotes(t, tie=fx.LINEITEM_TIE, hours=(0, 24), blocked=False, as_of=AS_OF).select(*cols))
-    b = rows(quality.stale_quotes(t, tie=fx.LINEITEM_TIE, hours=(0, 24), blocked=True, block_rows=11, rank="range",
-                                  as_of=AS_OF).select(*cols))
-    assert len(a) > 0 and bag(a) == bag(b)
+    q = C.quotes(spark, SF_SMALL).withColumn("symbol", F.when(~F.col("symbol").endswith("_1"), F.col("symbol")))
+    got = rows(marts.daily_quote_stats(q).select("symbol", "trade_date", "median_spread_bps", "p95_spread_bps"))
+    want = rows(q.groupBy("symbol", F.col("quote_date").alias("trade_date")).agg(
+        F.percentile("spread_bps", F.lit(0.5)).alias("median_spread_bps"), F.percentile("spread_bps", F.lit(0.95)).alias("p95_spread_bps")))
+    assert len(got) > 0 and bag(got) == bag(want)

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import types as T
 
 from tape.operators import windows
-from tests.util import rows
+from tests.util import rows, sliding_mean_std, sliding_previous
 
 SCHEMA = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("timestamp", T.TimestampNTZType()),
                        T.StructField("tick_id", T.LongType()), T.StructField("px", T.DoubleType())])
@@ -29,17 +29,17 @@ def test_blocked_equals_plain(spark, series, frame, extra, minutes):
     df = spark.createDataFrame(data, SCHEMA)
     order = ["timestamp", "tick_id"]
     block = frame - 1 + extra
-    plain = {r["tick_id"]: r for r in rows(windows.rolling_mean_std(df, "px", ["symbol"], order, frame, blocked=False))}
-    blk = {r["tick_id"]: r for r in rows(windows.rolling_mean_std(df, "px", ["symbol"], order, frame, blocked=True,
+    plain = {r["tick_id"]: r for r in rows(sliding_mean_std(df, "px", ["symbol"], order, frame))}
+    blk = {r["tick_id"]: r for r in rows(windows.rolling_mean_std(df, "px", ["symbol"], order, frame,
                                                                   block_rows=block))}
-    rng = {r["tick_id"]: r for r in rows(windows.rolling_mean_std(df, "px", ["symbol"], order, frame, blocked=True,
+    rng = {r["tick_id"]: r for r in rows(windows.rolling_mean_std(df, "px", ["symbol"], order, frame,
                                                                   block_rows=block, rank="range"))}
     assert plain.keys() == blk.keys() == rng.keys()
     for k, a in plain.items():
         for o in (blk, rng):
             assert abs(a["rolling_mean"] - o[k]["rolling_mean"]) < 1e-9
-            assert abs(a["rolling_std"] - o[k]["rolling_std"]) < 1e-6
-    lag_p = {r["tick_id"]: r["prev"] for r in rows(windows.previous(df, "px", ["symbol"], order, "prev", blocked=False))}
-    lag_b = {r["tick_id"]: r["prev"] for r in rows(windows.previous(df, "px", ["symbol"], order, "prev", blocked=True,
+            assert abs(a["rolling_std"] - o[k]["rolling_std"]) < 1e-9
+    lag_p = {r["tick_id"]: r["prev"] for r in rows(sliding_previous(df, "px", ["symbol"], order, "prev"))}
+    lag_b = {r["tick_id"]: r["prev"] for r in rows(windows.previous(df, "px", ["symbol"], order, "prev",
                                                                     block_rows=max(1, extra)))}
     assert lag_p == lag_b

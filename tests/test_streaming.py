@@ -34,7 +34,7 @@ def test_stale_stream_reorders_out_of_order_ticks(spark, tmp_path):
     n_reordered = rest.where(F.col("timestamp") <= F.lit(late_window)).count()
     assert n_reordered > 5
     wm = q.agg(F.max("timestamp")).first()[0] - dt.timedelta(days=2)
-    batch = (quality.stale_quotes(q, tie=["tick_id"], blocked=False)
+    batch = (quality.stale_quotes(q, tie=["tick_id"])
              .where(F.col("event_time") <= F.lit(wm)).select("symbol", "event_time", "gap_us"))
     exp = rows(batch)
     assert len(exp) > 0 and bag(got) == bag(exp)

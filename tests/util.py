@@ -69,3 +69,18 @@ def trade(sym, t, price, size, flag="OK", tid=0):
 
 def quote(sym, t, bid, ask, bs=100, asz=100, flag="OK", tid=0):
     return (sym, ts(t), float(bid), float(ask), bs, asz, "NYSE", flag, tid)
+
+
+def sliding_mean_std(df, value, part, order, rows):
+    """The built-in sliding frame (one task per part): the reference of the
+    bounded plan."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(-(rows - 1), 0)
+    return df.withColumns({"rolling_mean": F.avg(value).over(w), "rolling_std": F.stddev_pop(value).over(w)})
+
+
+def sliding_previous(df, col, part, order, name):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    return df.withColumn(name, F.lag(col).over(Window.partitionBy(*part).orderBy(*order)))
