@@ -95,18 +95,32 @@ def hour_in(ts, lo: int, hi: int) -> Column:
     return (h >= lo) & (h < hi)
 
 
+def _utc(v):
+    """A bound as naive UTC: zoned datetimes and ISO text with an offset are
+    converted, dates and anything else stay."""
+    if isinstance(v, str):
+        try:
+            v = dt.datetime.fromisoformat(v)
+        except ValueError:
+            return v
+    if isinstance(v, dt.datetime) and v.tzinfo is not None:
+        v = v.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return v
+
+
 def time_filter(ts, start=None, end=None, date_col: str | None = None) -> Column:
     """B11 + O5: closed range on the timestamp, repeated on the day
-    partition column so Parquet partition pruning applies."""
+    partition column so Parquet partition pruning applies.  Both bounds are
+    taken in UTC, the zone of the ticks and of their days."""
     c = F.lit(True)
-    if start is not None:
-        c = c & (col(ts) >= ts_literal(start, "timestamp_ntz") if isinstance(start, dt.datetime) else col(ts) >= F.lit(start))
-        if date_col:
-            c = c & (F.col(date_col) >= F.lit(_day(start)))
-    if end is not None:
-        c = c & (col(ts) <= ts_literal(end, "timestamp_ntz") if isinstance(end, dt.datetime) else col(ts) <= F.lit(end))
+    for bound, at_least in ((_utc(start), True), (_utc(end), False)):
+        if bound is None:
+            continue
+        value = ts_literal(bound, "timestamp_ntz") if isinstance(bound, dt.datetime) else F.lit(bound)
+        c = c & (col(ts) >= value if at_least else col(ts) <= value)
         if date_col:
-            c = c & (F.col(date_col) <= F.lit(_day(end)))
+            day = F.lit(_day(bound))
+            c = c & (F.col(date_col) >= day if at_least else F.col(date_col) <= day)
     return c
 
 

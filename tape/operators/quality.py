@@ -139,17 +139,21 @@ def quote_row_checks(quotes: DataFrame, as_of=None) -> DataFrame:
                     F.col("timestamp").alias("event_time"), "_f.issue_type", "_f.severity", "_f.details"))
 
 
-def new_findings(findings: DataFrame, log: DataFrame | None) -> DataFrame:
+def new_findings(findings: DataFrame, log: DataFrame | None, event_days: tuple | None = None) -> DataFrame:
     """Drop findings already in the log (hash anti-join on the issue key;
-    ``NOT IN`` would plan as a nested-loop join)."""
+    ``NOT IN`` would plan as a nested-loop join).  ``event_days`` (first, last)
+    of the scanned ticks prunes a log partitioned by ``event_date``."""
     if log is None:
         return findings
+    if event_days is not None and "event_date" in log.columns:
+        log = log.where(F.col("event_date").between(*[F.lit(d) for d in event_days]))
     return findings.join(log.select(*ISSUE_KEY), ISSUE_KEY, "left_anti")
 
 
 def scan(trades: DataFrame, quotes: DataFrame, log: DataFrame | None = None, as_of=None,
-         tie: Sequence[str] = (), block_rows: int = 100_000) -> DataFrame:
-    """Q6: all checks as one frame in the log schema, minus what ``log`` holds."""
+         tie: Sequence[str] = (), block_rows: int = 100_000, event_days: tuple | None = None) -> DataFrame:
+    """Q6: all checks as one frame in the log schema, minus what ``log`` holds
+    (of the ``event_days``, where the ticks' days are known)."""
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     parts = [
         quote_row_checks(quotes, as_of),
@@ -160,7 +164,7 @@ def scan(trades: DataFrame, quotes: DataFrame, log: DataFrame | None = None, as_
     out = parts[0].select(*ISSUE_COLUMNS)
     for p in parts[1:]:
         out = out.unionByName(p.select(*ISSUE_COLUMNS))
-    return new_findings(out, log)
+    return new_findings(out, log, event_days)
 
 
 def summary(issues: DataFrame) -> DataFrame:

@@ -327,7 +327,7 @@ def q_rep_size_histogram(spark, sf):
 
 
 def q_rep_size_sample(spark, sf):
-    return reports.trade_size_sample(raw_trades(spark, sf), ONE, START, END, n=100_000, tie=TIE)
+    return reports.trade_sizes(raw_trades(spark, sf), ONE, START, END, tie=TIE)
 
 
 def q_rep_daily_stats(spark, sf):
@@ -459,26 +459,42 @@ def q_batch_run_daily_summary(spark, sf):
     return out["mart_daily_summary"].select(*daily(spark, sf).columns)
 
 
-def _event_stream(spark, sf):
+def _event_stream(spark, sf, end_dir=None):
     from tape.streaming import run as srun
-    return srun.tick_stream(spark, sf, "events.parquet")
+    return srun.tick_stream(spark, sf, "events.parquet", end_dir=end_dir)
+
+
+def _closed_stream(spark, sf):
+    """The event ticks as a stream, and the function that ends it: a last tick
+    two days after the others, inside session hours."""
+    from tape.streaming import run as srun
+    end_dir = srun.scratch(spark, "end")
+    stream = _event_stream(spark, sf, end_dir)
+
+    def end():
+        ev = _events(spark, sf)
+        last = ev.agg(F.max("ts")).first()[0]
+        at = dt.datetime.combine(last.date() + dt.timedelta(days=2), dt.time(15))
+        srun.write_end_tick(spark, ev.schema, end_dir, event_id=0, event_type="end", user_id=0, ts=at, value=1.0, props='{"k": 1}')
+    return stream, end
 
 
 def q_stream_vwap_bars(spark, sf):
-    """Minute bars from a stream; windows still inside the watermark at
-    the end of input are not emitted."""
+    """Minute bars from a stream, all of them: the end of input closes the
+    windows that the watermark had not passed."""
     from tape.streaming import run as srun, ticks as st
-    ev = _event_stream(spark, sf)
+    ev, end = _closed_stream(spark, sf)
     t = staging.stg_trades(st.event_time(fx.trades_from_events(ev)), keep=TIE)
-    out = srun.run_to_parquet(st.vwap_bars(t, tie=TIE), "vwap")
+    out = srun.run_to_parquet(st.vwap_bars(t, tie=TIE), "vwap", end)
     return out.withColumn("minute_bucket", F.col("minute_bucket").cast("timestamp_ntz"))
 
 
 def q_stream_volume_profile(spark, sf):
     """5-minute volume profile from a stream."""
     from tape.streaming import run as srun, ticks as st
-    t = staging.stg_trades(st.event_time(fx.trades_from_events(_event_stream(spark, sf))))
-    out = srun.run_to_parquet(st.volume_profile(t), "profile")
+    ev, end = _closed_stream(spark, sf)
+    t = staging.stg_trades(st.event_time(fx.trades_from_events(ev)))
+    out = srun.run_to_parquet(st.volume_profile(t), "profile", end)
     return out.withColumn("bucket_start", F.col("bucket_start").cast("timestamp_ntz"))
 
 
@@ -492,20 +508,22 @@ def q_stream_dedup(spark, sf):
 
 
 def q_stream_stale(spark, sf):
-    """Stale-quote gaps with per-symbol event-time state; ticks are
-    reported once the final watermark (last tick − 10 minutes) has passed them."""
+    """Stale-quote gaps with per-symbol event-time state, all of them: the
+    end of input finalises the pending ticks."""
     from tape.streaming import run as srun, ticks as st
-    q = st.event_time(fx.quotes_from_events(_event_stream(spark, sf)))
-    out = srun.run_to_parquet(st.stale_quotes(q, tie="tick_id"), "stale")
+    ev, end = _closed_stream(spark, sf)
+    q = st.event_time(fx.quotes_from_events(ev))
+    out = srun.run_to_parquet(st.stale_quotes(q, tie="tick_id"), "stale", end)
     return out.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
 def q_stream_checks_sink(spark, sf):
-    """T4: row-wise quote checks appended per micro-batch; replays add nothing."""
+    """T4: row-wise quote and trade checks appended per micro-batch; the quotes
+    are delivered twice in later batches, which adds nothing."""
     from tape.streaming import run as srun, ticks as st
-    q = fx.quotes_from_events(_event_stream(spark, sf))
     base = srun.scratch(spark, "log")
-    srun.run_foreach_batch(q, st.checks_to_log(f"{base}/log", AS_OF), "checks")
+    for k, (table, make) in enumerate((("quotes", fx.quotes_from_events), ("trades", fx.trades_from_events), ("quotes", fx.quotes_from_events))):
+        srun.run_foreach_batch(make(_event_stream(spark, sf)), st.checks_to_log(f"{base}/log", AS_OF, table), f"checks{k}")
     return spark.read.parquet(f"{base}/log").drop("detected_at", "event_date")
 
 

@@ -393,26 +393,21 @@ FROM (SELECT t.*, (q.bid_price + q.ask_price) / CAST(2 AS DOUBLE) AS q_mid
 # --- pipeline and streaming ------------------------------------------------------------
 SQL.update({
     "batch_run_daily_summary": SQL["mart_daily_summary"],
-    # windows whose end is at or before the final watermark (max event time − 10 min)
-    "stream_vwap_bars": with_(*TRADE_CTES, _VWAP_CTE) + """SELECT * FROM int_vwap
-WHERE minute_bucket + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+    "stream_vwap_bars": with_(*TRADE_CTES, _VWAP_CTE) + "SELECT * FROM int_vwap",
     "stream_dedup": with_(*RAW_CTES) + "SELECT * FROM trades",
-    "stream_stale": with_(*RAW_CTES) + f"""SELECT * FROM ({_stale()})
-WHERE epoch_us(event_time) <= ((SELECT max(epoch_us(ts)) FROM events
-                                WHERE hour(ts) >= 14 AND hour(ts) < 21) // 1000 - 600000) * 1000""",
-    "stream_checks_sink": with_(*RAW_CTES) + f"{_CROSSED}\nUNION ALL {_ZERO_Q}",
+    "stream_stale": with_(*RAW_CTES) + _stale(),
+    "stream_checks_sink": with_(*RAW_CTES) + f"{_CROSSED}\nUNION ALL {_ZERO_Q}\nUNION ALL {_ZERO_T}",
 })
 
 SQL.update({
-    "stream_volume_profile": with_(*TRADE_CTES, _PROFILE_CTE) + """SELECT * FROM int_volume_profile
-WHERE bucket_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+    "stream_volume_profile": with_(*TRADE_CTES, _PROFILE_CTE) + "SELECT * FROM int_volume_profile",
     "chk_dup_rows": with_(LI_TRADES, STG_LI_TRADES) + """SELECT symbol, "timestamp", trade_date, trade_price, trade_size,
   trade_notional, exchange, trade_condition, data_quality_flag, has_quality_issue, count(*) AS row_count
 FROM stg_trades GROUP BY ALL HAVING count(*) > 1""",
 })
 
 SQL["rep_size_sample"] = _REP + f"""SELECT "timestamp", tick_id, trade_size FROM trades
-WHERE {_tw('"timestamp"', _ONE)} AND data_quality_flag = 'OK' ORDER BY "timestamp", tick_id LIMIT 100000"""
+WHERE {_tw('"timestamp"', _ONE)} AND data_quality_flag = 'OK' ORDER BY "timestamp", tick_id"""
 
 SQL["daily_spread_quantiles"] = with_(*QUOTE_CTES) + f"""SELECT symbol, quote_date, {qx("xs", 0.5)} AS median_spread_bps,
   {qx("xs", 0.95)} AS p95_spread_bps

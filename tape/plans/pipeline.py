@@ -100,7 +100,8 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, a
     io.reset_issues(spark, log_path, src["quotes"].schema["timestamp"].dataType)
     findings = quality.scan(src["trades"], src["quotes"], as_of=as_of, tie=tie)
     io.append_issues(findings, log_path)
-    issues = spark.read.parquet(log_path)
+    issues = (spark.read.schema(io.issue_log_schema(src["quotes"].schema["timestamp"].dataType)).parquet(log_path)
+              .drop(*io.ISSUE_DAYS))
     staged = {**models, **written}
     written["data_quality_issues"] = issues
     written["issue_summary"] = quality.summary(issues)

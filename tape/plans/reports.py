@@ -15,8 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tape.functions.time import time_filter, time_of_day, truncate, ts_type
-from tape.schemas import SEVERITIES
+from tape.functions.time import _day, _utc, time_filter, time_of_day, truncate, ts_type
 
 
 def _symbols(symbols) -> Column:
@@ -28,16 +27,24 @@ def _symbols(symbols) -> Column:
 
 
 def _window(df: DataFrame, ts: str, start, end, symbols=None, date_col: str | None = None) -> DataFrame:
+    """Rows of a time range; on the raw tables and the issue log the day column
+    that they are partitioned by (``DAY_COLUMNS``) is used where it is there."""
+    if date_col is None and DAY_COLUMNS.get(ts) in df.columns:
+        date_col = DAY_COLUMNS[ts]
     return df.where(time_filter(ts, start, end, date_col) & _symbols(symbols))
 
 
+#: Day partition column by time column, as the writers name them.
+DAY_COLUMNS = {"timestamp": "date", "event_time": "event_date", "detected_at": "detected_date"}
+
+
 def _date_window(df: DataFrame, date_col: str, start, end, symbols=None) -> DataFrame:
-    c = _symbols(symbols)
-    if start is not None:
-        c = c & (F.col(date_col) >= F.to_date(F.lit(str(start))))
-    if end is not None:
-        c = c & (F.col(date_col) <= F.to_date(F.lit(str(end))))
-    return df.where(c)
+    return df.where(time_filter(date_col, _as_day(start), _as_day(end)) & _symbols(symbols))
+
+
+def _as_day(v):
+    """The UTC day of a bound."""
+    return None if v is None else _day(_utc(v))
 
 
 # --- market overview ---------------------------------------------------------------
@@ -120,15 +127,13 @@ def trade_size_histogram(trades: DataFrame, symbol: str, start=None, end=None, w
             .orderBy("bin_start"))
 
 
-def trade_size_sample(trades: DataFrame, symbol: str, start=None, end=None, n: int = 100_000,
-                      tie: Sequence[str] = ()) -> DataFrame:
-    """the raw panel form — at most ``n`` clean trade sizes, taken in time
-    order so the sample is the same on every run (top-n, no full sort)."""
+def trade_sizes(trades: DataFrame, symbol: str, start=None, end=None, tie: Sequence[str] = ()) -> DataFrame:
+    """the raw panel form — every clean trade size of the range in time
+    order (the source sent the first 100,000 to the client)."""
     return (_window(trades, "timestamp", start, end, symbol)
             .where(F.col("data_quality_flag") == "OK")
-            .orderBy("timestamp", *tie)
-            .limit(n)
-            .select("timestamp", *tie, "trade_size"))
+            .select("timestamp", *tie, "trade_size")
+            .orderBy("timestamp", *tie))
 
 
 def daily_stats(mart: DataFrame, symbol: str) -> DataFrame:
@@ -205,6 +210,3 @@ def recent_issues(issues: DataFrame, start=None, end=None, symbols=None, k: int
 def symbol_options(df: DataFrame) -> DataFrame:
     """The distinct sorted symbol list that feeds the symbol parameter."""
     return df.select("symbol").distinct().orderBy("symbol")
-
-
-SEVERITY_OPTIONS = SEVERITIES

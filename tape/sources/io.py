@@ -103,9 +103,21 @@ def write_table(df: DataFrame, path: str, date_col: str | None = None,
         df.write.mode(mode).parquet(path)
 
 
+#: Day columns that the issue log is partitioned by, and the time of each.
+ISSUE_DAYS = {"detected_date": "detected_at", "event_date": "event_time"}
+ISSUE_ORDER = ["source_table", "symbol", "detected_at"]
+
+
+def with_issue_days(issues: DataFrame) -> DataFrame:
+    return issues.withColumns({d: F.to_date(t) for d, t in ISSUE_DAYS.items()})
+
+
 def append_issues(issues: DataFrame, path: str) -> None:
-    """Append findings to the issue log."""
-    issues.write.mode("append").parquet(path)
+    """Append findings to the issue log, partitioned by day of detection
+    and of the event, sorted by source, symbol and time in each file."""
+    days = list(ISSUE_DAYS)
+    (with_issue_days(issues).repartitionByRange(*days, *ISSUE_ORDER).sortWithinPartitions(*days, *ISSUE_ORDER)
+     .write.mode("append").partitionBy(*days).parquet(path))
 
 
 def reset_issues(spark: SparkSession, path: str, ts_type: T.DataType = T.TimestampType()) -> None:
@@ -113,17 +125,27 @@ def reset_issues(spark: SparkSession, path: str, ts_type: T.DataType = T.Timesta
     from tape.schemas import ISSUES
     schema = T.StructType([T.StructField(f.name, ts_type if isinstance(f.dataType, T.TimestampType) else f.dataType,
                                          f.nullable) for f in ISSUES.fields])
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    empty = with_issue_days(spark.createDataFrame([], schema))
+    # a static overwrite: the dynamic one would leave the days that are there
+    empty.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*ISSUE_DAYS).parquet(path)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def issue_log_schema(ts_type: T.DataType = T.TimestampType()) -> T.StructType:
+    """Schema of the written log, for reading it while it may be empty."""
+    from tape.schemas import ISSUES
+    fields = [T.StructField(f.name, ts_type if isinstance(f.dataType, T.TimestampType) else f.dataType) for f in ISSUES.fields]
+    return T.StructType([*fields, *[T.StructField(d, T.DateType()) for d in ISSUE_DAYS]])
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark can list ``path``, in whatever store it is."""
     try:
-        r = spark.read
-        if schema is not None:
-            r = r.schema(schema)
-        return r.parquet(path)
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     except AnalysisException as e:
-        raise MissingInput(f"not found: {path}") from e
+        if "PATH_NOT_FOUND" in str(e):
+            return False
+        raise
+    return True
 
 
 def verify_counts(source: DataFrame, written: DataFrame, table: str) -> DataFrame:

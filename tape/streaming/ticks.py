@@ -16,6 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tape.functions import prices as P
 from tape.operators import quality
+from tape.sources import io
 
 
 def event_time(df: DataFrame, ts: str = "timestamp") -> DataFrame:
@@ -129,27 +130,26 @@ def stale_quotes(quotes: DataFrame, gap_seconds: float = 5.0, hours: tuple[int,
         "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def checks_to_log(log_path: str, as_of=None):
-    """T4: a ``foreachBatch`` function that runs the row-wise checks (crossed,
-    zero sizes) on each micro-batch of quotes and appends only findings not
-    yet in the log (anti-join on the issue key), so a replayed batch adds
-    nothing.  The log is partitioned by event day and each batch reads only
-    the days it touches (a handful of dates per micro-batch), so the cost of a
-    batch does not grow with the log's history."""
+def checks_to_log(log_path: str, as_of=None, table: str = "quotes"):
+    """T4: a ``foreachBatch`` function that runs the row-wise checks (crossed
+    and zero-size quotes, or zero-size trades) on each micro-batch and appends
+    only findings not yet in the log (anti-join on the issue key); a finding
+    that occurs twice in one batch is written once.  The log is partitioned by
+    event day and each batch reads only the days it touches (a handful of dates
+    per micro-batch), so the cost of a batch does not grow with the log."""
+    checks = {"quotes": quality.quote_row_checks, "trades": quality.zero_size_trades}[table]
+
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
         try:
-            found = (quality.quote_row_checks(batch, as_of)
+            found = (checks(batch, as_of).dropDuplicates(quality.ISSUE_KEY)
                      .withColumn("event_date", F.to_date("event_time")))
             days = [r[0] for r in found.select("event_date").distinct().collect()]
             if not days:
                 return
-            try:
-                log = spark.read.parquet(log_path).where(F.col("event_date").isin(days))
-            except Exception:  # noqa: BLE001 - first batch: no log yet
-                log = None
-            if log is not None:
+            if io.exists(spark, log_path):
+                log = spark.read.schema(found.schema).parquet(log_path).where(F.col("event_date").isin(days))
                 found = found.join(log.select("event_date", *quality.ISSUE_KEY),
                                    ["event_date", *quality.ISSUE_KEY], "left_anti")
             found.write.mode("append").partitionBy("event_date").parquet(log_path)
