@@ -213,19 +213,24 @@ def q_mart_data_quality_summary(spark, sf):
 
 # --- table checks -------------------------------------------------------------------
 def q_chk_not_null(spark, sf):
-    """Q7 over every model with declared columns (NULL spread_bps cannot occur
-    after staging; the marts' quote columns are NULL on days without quotes)."""
+    """Q7 over every model with declared columns; the raw tables have missing
+    values here, so that the check has something to find."""
+    def holes(df, c, k):
+        return df.withColumn(c, F.when(F.col("tick_id") % k != 5, F.col(c)))
+    t, q, b = raw_trades(spark, sf), raw_quotes(spark, sf), book(spark, sf)
     models = {
-        "trades": raw_trades(spark, sf), "quotes": raw_quotes(spark, sf),
-        "stg_trades": trades(spark, sf), "stg_quotes": quotes(spark, sf),
+        "trades": holes(t, "trade_price", 97), "quotes": holes(q, "bid_price", 89),
+        "order_book_snapshots": holes(b, "mid_price", 83),
+        "stg_trades": trades(spark, sf), "stg_quotes": quotes(spark, sf), "stg_order_book": staging.stg_order_book(b),
         "int_vwap": bars.vwap_bars(trades(spark, sf), tie=TIE),
         "int_spread_analytics": bars.spread_stats(quotes(spark, sf)),
+        "int_order_book_depth": book_ops.order_book_depth(b, tie=TIE),
         "mart_daily_summary": daily(spark, sf),
         "mart_data_quality_summary": marts.data_quality_summary(trades(spark, sf), quotes(spark, sf)),
     }
     out = None
-    for name, df in models.items():
-        r = checks.not_null(df, checks.NOT_NULL[name], name)
+    for name, columns in checks.NOT_NULL.items():
+        r = checks.not_null(models[name], columns, name)
         out = r if out is None else out.unionByName(r)
     return out
 
