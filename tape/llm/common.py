@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import uuid
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,3 +83,29 @@ def append_columns(df: DataFrame, text: str, fields: list[StructField], compute)
             yield pa.RecordBatch.from_arrays([*batch.columns, *compute(batch.column(at))], names=names)
 
     return df.mapInArrow(rows, schema)
+
+
+#: Bits of an id bitmap: 2 MB, whatever the number of ids.
+BITMAP_BITS = 24
+
+
+def id_bitmap(ids: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of the hashes of ``ids``: one bit each, of a fixed number.  It
+    is a filter before a join, not instead of one: no id is missed, and more
+    ids than bits only let more rows through."""
+    slot = F.xxhash64(column).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    words = (ids.select(slot.alias("slot")).groupBy(F.shiftright("slot", 5).alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 31 as int)))").alias("bits")).toArrow())
+    out = np.zeros(1 << (BITMAP_BITS - 5), np.uint32)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
+    return out
+
+
+def may_be_in(key: Column, bitmap: np.ndarray) -> Column:
+    """False only where ``key`` is surely not in the bitmap's ids."""
+    @F.pandas_udf("boolean")
+    def test(hashes: pd.Series) -> pd.Series:
+        slot = hashes.to_numpy() & ((1 << BITMAP_BITS) - 1)
+        return pd.Series((bitmap[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1 == 1)
+
+    return test(F.xxhash64(key))

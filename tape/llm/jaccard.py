@@ -2,9 +2,10 @@
 
 A document is its set of distinct word shingles.  Sets x and y with similarity
 t or more share a token in their prefixes - the first ``n - ceil(t n) + 1``
-tokens - under *every* total order of the tokens.  So a pair is a candidate
-only if its prefixes meet under each of several orders; what one order alone
-lets through, the others stop before the sets are compared.
+tokens - under *every* total order of the tokens.  In fact they
+share several (see ``least_common``).  So a pair is a candidate only if its
+prefixes meet in that many tokens under each of several orders; what one order
+alone lets through, the others stop before the sets are compared.
 
 All orders put frequent tokens last (by a fixed-size count sketch over all
 documents), so that a passage that many documents share is not in their
@@ -14,12 +15,12 @@ only shapes the orders: any sketch gives the same links.
 1. Documents with equal sets form a class, named by a 64-bit hash of the set;
    from here on one document stands for its class.
 2. Prefix tokens of the first order meet on the token.  Of a token's classes
-   only the pairs (class, smallest class) are formed, a star instead of all
-   pairs; each class keeps the centre with which it shares most tokens.
+   only the pairs (class, centre) are formed, a star instead of all pairs; each
+   class keeps the centre with which it shares most tokens.
 3. Pairs whose prefixes meet under the other orders too are verified on whole
    sets; connected components follow.
-4. Every pair of classes that share a prefix token and are still in different
-   components is filtered and verified in the same way.  A link inside a
+4. Every pair of classes that may still be linked and are in different
+   components (``crossing_pairs``) is filtered and verified in the same way.  A link inside a
    component cannot change it, so no link is lost; near copies by the thousand
    cost a star, not a square.
 
@@ -33,17 +34,20 @@ are all null links with no other class; ties do not matter.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, staged
+from .common import ascii_lower, fresh, id_bitmap, may_be_in, staged
 from .components import connected_components
 from .texts import SPACE, chunks, mix, runs, shingle_hashes, word_hashes
 
-#: Counters of the frequency sketch: 2 MB in all, whatever the corpus.
-SKETCH_BITS = 18
+#: Counters of the frequency sketch: 4 MB in all, whatever the corpus.
+SKETCH_BITS = 19
 #: Permutations of the token orders; the first one forms the candidates.
 ORDER_SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D)
 PACKED = 6  # bytes of a shingle hash inside a packed set
@@ -99,26 +103,27 @@ def order_levels(sketch: np.ndarray) -> np.ndarray:
     """A level for each counter: 0 up to the noise of the sketch, then by the
     power of two of what exceeds it.  Frequent tokens have high levels."""
     mean = sketch.mean() if len(sketch) else 0.0
-    over = np.maximum(0.0, sketch - (mean + 5 * np.sqrt(mean) + 5))
+    over = np.maximum(0.0, sketch - (mean + 3 * np.sqrt(mean) + 3))
     return np.ceil(np.log2(over + 1)).astype(np.uint64)
 
 
 def prefix(tokens: np.ndarray, levels: np.ndarray, seed: int, percent: int) -> np.ndarray:
-    """The prefix tokens of one set under the order of ``seed``."""
+    """The prefix tokens of one set under the order of ``seed``; ``levels`` are
+    those of the sketch's counters."""
     n = len(tokens)
     keep = n - (percent * n + 99) // 100 + 1
     if keep >= n:
         return tokens
-    order = (levels << np.uint64(58)) | (mix(tokens ^ np.uint64(seed)) >> np.uint64(6))
+    level = levels[(tokens & np.uint64(len(levels) - 1)).astype(np.int64)].astype(np.uint64)
+    order = (level << np.uint64(58)) | (mix(tokens ^ np.uint64(seed)) >> np.uint64(6))
     return tokens[np.argpartition(order, keep - 1)[:keep]]
 
 
 def document_classes(texts: DataFrame, size: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """(doc_id, n, class, first, others) of (doc_id, text): set size, class and
-    prefix tokens.  ``first`` and ``others`` are null where the task has met
-    the class already."""
-    levels, seeds = order_levels(sketch).astype(np.uint8), ORDER_SEEDS
-    mask = np.uint64(len(sketch) - 1)
+    """(doc_id, n, class, first) of (doc_id, text): set size, class and the
+    prefix tokens under the first order, null where the task has met the class
+    already."""
+    levels, seed = order_levels(sketch).astype(np.uint8), ORDER_SEEDS[0]
 
     def rows(batches):
         met = set()
@@ -126,35 +131,28 @@ def document_classes(texts: DataFrame, size: int, percent: int, sketch: np.ndarr
             ids = batch.column("doc_id")
             for i, j, data, offs in chunks(batch.column("text")):
                 every, bounds = shingles_of(data, offs, size)
-                n, cls, first, others = [], [], [], [[] for _ in seeds[1:]]
+                n, cls, first = [], [], []
                 for k in range(j - i):
                     tokens = np.unique(every[bounds[k]:bounds[k + 1]])
                     n.append(len(tokens))
                     name = set_class(tokens) if len(tokens) else None
                     cls.append(name)
-                    if name is None or name in met:
-                        first.append(None)
-                        for o in others:
-                            o.append(None)
-                        continue
-                    met.add(name)
-                    level = levels[(tokens & mask).astype(np.int64)].astype(np.uint64)
-                    first.append(prefix(tokens, level, seeds[0], percent).view(np.int64))
-                    for o, seed in zip(others, seeds[1:]):
-                        o.append(prefix(tokens, level, seed, percent).astype(np.uint32).view(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, j - i), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(first, pa.list_(pa.int64()))]
-                    + [pa.array(o, pa.list_(pa.int32())) for o in others],
-                    names=["doc_id", "n", "class", "first"] + [f"other{k}" for k in range(len(others))])
+                    known = name is None or name in met
+                    first.append(None if known else prefix(tokens, levels, seed, percent).view(np.int64))
+                    if not known:
+                        met.add(name)
+                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(first, pa.list_(pa.int64()))], names=["doc_id", "n", "class", "first"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    more = "".join(f", other{k} array<int>" for k in range(len(seeds) - 1))
-    return texts.mapInArrow(rows, f"doc_id {kind}, n long, class long, first array<long>{more}")
+    return texts.mapInArrow(rows, f"doc_id {kind}, n long, class long, first array<long>")
 
 
-def class_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(class, tokens): the packed set of each (doc_id, class) in ``wanted``."""
-    found = texts.join(wanted, "doc_id").select("class", "text")
+def class_sets(texts: DataFrame, wanted: DataFrame, size: int, percent: int, sketch: np.ndarray) -> DataFrame:
+    """(class, tokens, other0, ...): packed set, and prefixes under the further
+    orders, of each (doc_id, class) in ``wanted``.  A bitmap of the wanted ids,
+    of a fixed size, keeps most other texts out of the shuffle."""
+    levels, seeds = order_levels(sketch).astype(np.uint8), ORDER_SEEDS[1:]
+    found = texts.where(may_be_in(F.col("doc_id"), id_bitmap(wanted, "doc_id"))).join(wanted, "doc_id").select("class", "text")
 
     def rows(batches):
         for batch in batches:
@@ -164,9 +162,12 @@ def class_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 sets = [np.unique(every[bounds[k]:bounds[k + 1]]) for k in range(j - i)]
                 # an id may be that of several texts
                 good = [k for k, s in enumerate(sets) if len(s) and set_class(s) == names[i + k]]
-                yield pa.RecordBatch.from_arrays([pa.array([names[i + k] for k in good], pa.int64()), pa.array([pack(sets[k]) for k in good], pa.binary())], names=["class", "tokens"])
+                orders = [pa.array([prefix(sets[k], levels, seed, percent).view(np.int64) for k in good], pa.list_(pa.int64())) for seed in seeds]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([names[i + k] for k in good], pa.int64()), pa.array([pack(sets[k]) for k in good], pa.binary()), *orders],
+                    names=["class", "tokens"] + [f"other{k}" for k in range(len(seeds))])
 
-    return found.mapInArrow(rows, "class long, tokens binary")
+    return found.mapInArrow(rows, "class long, tokens binary" + "".join(f", other{k} array<long>" for k in range(len(seeds))))
 
 
 def similar(pairs: DataFrame, percent: int) -> DataFrame:
@@ -187,42 +188,74 @@ def similar(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(rows, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int, name: str) -> DataFrame:
-    """The links among candidate ``pairs`` (a, b) of classes: first the sizes
-    and the prefixes of the other orders must fit, then the sets."""
-    others = [c for c in classes.columns if c.startswith("other")]
-    facts = classes.select("class", "n", "doc_id", *others)
-    x, y = facts.select(*[F.col(c).alias(f"{c}_a") for c in facts.columns]), facts.select(*[F.col(c).alias(f"{c}_b") for c in facts.columns])
-    fits = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    for o in others:
-        fits = fits & F.arrays_overlap(f"{o}_a", f"{o}_b")
+def least_common(n_a, n_b, percent: int):
+    """Prefix tokens that two linked sets of these sizes share at least.
+
+    They share o = ceil(t / (1 + t) * (n_a + n_b)) tokens or more, so at most
+    n - o of a prefix are not in the other set.  Of the two prefixes, the one
+    that ends first in the order has all its common tokens in the other."""
+    both = F.ceil(percent * (n_a + n_b) / F.lit(100 + percent) - F.lit(1e-9))
+    bounds = [n - F.ceil(percent * n / F.lit(100) - F.lit(1e-9)) + 1 - (n - both) for n in (n_a, n_b)]
+    return F.greatest(F.lit(1), F.least(*bounds))
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, sets_of, percent: int, name: str) -> DataFrame:
+    """The links among candidate ``pairs`` (a, b) of classes: the sizes must
+    fit, then the prefixes under every further order, then the sets."""
+    x, y = (classes.select(*[F.col(c).alias(f"{c}_{end}") for c in ("class", "n", "doc_id")]) for end in "ab")
     joined = pairs.join(x, F.col("a") == F.col("class_a")).join(y, F.col("b") == F.col("class_b"))
-    kept = staged(joined.where(fits).select("a", "b", "doc_id_a", "doc_id_b"), f"{name}-candidates")
-    wanted = kept.select(F.explode(F.array(F.struct(F.col("doc_id_a").alias("doc_id"), F.col("a").alias("class")), F.struct(F.col("doc_id_b").alias("doc_id"), F.col("b").alias("class")))).alias("w")).select("w.*").distinct()
-    sets = staged(class_sets(texts, wanted, size), f"{name}-sets")
-    left, right = sets.select(F.col("class").alias("a"), F.col("tokens").alias("set_a")), sets.select(F.col("class").alias("b"), F.col("tokens").alias("set_b"))
-    # the centres of stars, few and often repeated, come last and are dealt by skew-aware joins
-    return staged(similar(kept.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b"), percent), f"{name}-links")
+    joined = joined.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).withColumn("least", least_common(F.col("n_a"), F.col("n_b"), percent))
+    kept = staged(joined.select("a", "b", "least", "doc_id_a", "doc_id_b"), f"{name}-candidates")
+    ends = [kept.select(F.col(f"doc_id_{e}").alias("doc_id"), F.col(e).alias("class")) for e in "ab"]
+    sets = staged(sets_of(ends[0].unionByName(ends[1]).distinct()), f"{name}-sets")
+    orders = [c for c in sets.columns if c.startswith("other")]
+    left, right = (sets.select(F.col("class").alias(e), F.col("tokens").alias(f"set_{e}"), *[F.col(o).alias(f"{o}_{e}") for o in orders]) for e in "ab")
+    meet = reduce(and_, [F.size(F.array_intersect(f"{o}_a", f"{o}_b")) >= F.col("least") for o in orders])
+    met = kept.select("a", "b", "least").join(left, "a").join(right, "b").where(meet)
+    return staged(similar(met.select("a", "b", "set_a", "set_b"), percent), f"{name}-links")
+
+
+def shared_tokens(found: DataFrame) -> DataFrame:
+    """(token, class, n, prefix, df, rank): the prefix tokens that two classes
+    or more have, in how many they are, and their place among the class's
+    prefix tokens from the most frequent one down (one global order)."""
+    tokens = found.where("first is not null").select("class", "n", F.size("first").alias("prefix"), F.explode("first").alias("token"))
+    by_token = Window.partitionBy("token")
+    shared = staged(
+        tokens.withColumn("least", F.min("class").over(by_token)).withColumn("most", F.max("class").over(by_token))
+        .where("least <> most").select("token", "class", "n", "prefix").distinct(), "jaccard-tokens")
+    spread = shared.groupBy("token").agg(F.count("*").alias("df"))
+    down = Window.partitionBy("class").orderBy(F.desc("df"), F.desc("token"))
+    return staged(shared.join(spread, "token").withColumn("rank", F.row_number().over(down)), "jaccard-shared")
 
 
 def star_pairs(shared: DataFrame) -> DataFrame:
-    """(a, b): each class with that centre (smallest class of a token) with
-    which it shares most prefix tokens."""
-    counted = shared.where("class <> centre").groupBy("class", "centre").agg(F.count("*").alias("common"))
+    """(a, b): each class with one centre.  The centre of a token is that of its
+    classes whose prefix is most common (the original of a family of edited
+    copies, as a rule); a class takes the centre with which it shares most
+    tokens."""
+    hubs = staged(shared.groupBy("class").agg((F.sum("df") / F.first("prefix")).alias("hub")), "jaccard-hubs")
+    centres = shared.join(hubs, "class").groupBy("token").agg(F.max(F.struct("hub", "class")).alias("best")).select("token", F.col("best.class").alias("centre"))
+    counted = shared.join(centres, "token").where("class <> centre").groupBy("class", "centre").agg(F.count("*").alias("common"))
     best = counted.groupBy("class").agg(F.max(F.struct("common", "centre")).alias("m"))
     return best.select(F.col("class").alias("a"), F.col("m.centre").alias("b"))
 
 
-def crossing_pairs(shared: DataFrame, components: DataFrame) -> DataFrame:
-    """(a, b) of different components that share a prefix token."""
-    rows = shared.select("token", "class").join(components, "class", "left").select("token", "class", F.coalesce("root", "class").alias("root"))
+def crossing_pairs(shared: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different components that may be linked.
+
+    Linked sets have ``least_common`` tokens or more in common in their
+    prefixes.  The rarest of those has, in both sets, at least that many prefix
+    tokens from it upwards in the order by frequency: so a pair meets on tokens
+    of that rank only, and a passage that many documents share, being frequent,
+    does not bring them together."""
+    rows = shared.select("token", "class", "n", "rank").join(components, "class", "left").withColumn("root", F.coalesce("root", "class"))
     ends = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
     mixed = staged(rows.join(ends, "token"), "jaccard-mixed")
-    roots = mixed.select("token", "root").distinct()
-    two = roots.select("token", F.col("root").alias("root_a")).join(roots.select("token", F.col("root").alias("root_b")), "token").where("root_a < root_b")
-    a = mixed.select("token", F.col("class").alias("a"), F.col("root").alias("root_a"))
-    b = mixed.select("token", F.col("class").alias("b"), F.col("root").alias("root_b"))
-    return two.join(a, ["token", "root_a"]).join(b, ["token", "root_b"]).select("a", "b").distinct()
+    x, y = (mixed.select("token", *[F.col(c).alias(f"{c}_{e}") for c in ("class", "n", "rank", "root")]) for e in "ab")
+    fits = (F.col("root_a") < F.col("root_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    fits = fits & (F.least("rank_a", "rank_b") >= least_common(F.col("n_a"), F.col("n_b"), percent))
+    return x.join(y, "token").where(fits).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -230,21 +263,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
     smallest id that links reach from it."""
     texts = docs.select(F.col(key).alias("doc_id"), ascii_lower(F.col(text)).alias("text"))
     sketch = frequency_sketch(texts.select("text"), size)
-    found = staged(document_classes(texts, size, percent, sketch), "jaccard-classes")
-    # one document for each class; the prefixes are the same in all of them
-    first = found.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    orders = found.where("first is not null").select("class", *[c for c in found.columns if c.startswith("other")])
-    classes = first.join(orders.dropDuplicates(["class"]), "class")
+    found = staged(document_classes(texts, size, percent, sketch), "jaccard-documents")
+    # one document stands for its class
+    classes = staged(found.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), "jaccard-classes")
 
-    tokens = found.where("first is not null").select("class", F.explode("first").alias("token"))
-    by_token = Window.partitionBy("token")
-    shared = staged(
-        tokens.select("token", "class", F.min("class").over(by_token).alias("centre"), F.max("class").over(by_token).alias("last"))
-        .where("centre <> last").select("token", "class", "centre").distinct(), "jaccard-shared")
-    links = confirmed(star_pairs(shared), classes, texts, size, percent, "jaccard-star")
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return class_sets(texts, wanted, size, percent, sketch)
+
+    shared = shared_tokens(found)
+    links = confirmed(star_pairs(shared), classes, sets_of, percent, "jaccard-star")
     components = connected_components(links)
-    more = confirmed(crossing_pairs(shared, components), classes, texts, size, percent, "jaccard-cross")
-    components = connected_components(links.unionByName(more))
+    more = confirmed(crossing_pairs(shared, components, percent), classes, sets_of, percent, "jaccard-cross")
+    # what the further links join are whole components
+    root = components.select(F.col("class").alias("member"), "root")
+    for end in "ab":
+        more = more.join(root, F.col(end) == F.col("member"), "left").withColumn(end, F.coalesce("root", end)).select("a", "b")
+    joined = connected_components(more).withColumnRenamed("root", "top")
+    components = components.unionByName(joined.select("class", F.col("top").alias("root")).join(components, "class", "left_anti"))
+    components = components.join(joined.select(F.col("class").alias("root"), "top"), "root", "left").select("class", F.coalesce("top", "root").alias("root"))
 
     rooted = found.select("doc_id", "n", "class").join(components, "class", "left").select("doc_id", "n", F.coalesce("root", "class").alias("root"))
     least = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -254,8 +290,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each group, that of the smallest id; of
-    repeated rows of that id one stays.  Rows without id all stay."""
-    groups = near_duplicates(docs, size, percent, key, text)
-    gone = groups.where(F.col(key) != F.col("component_id")).select(key).distinct()
-    named = docs.where(docs[key].isNotNull()).join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    return named.dropDuplicates([key]).unionByName(docs.where(docs[key].isNull()))
+    repeated rows of that id one stays.  Rows without id all stay.  Only texts
+    whose id may go or repeat are shuffled."""
+    groups = staged(near_duplicates(docs, size, percent, key, text), "jaccard-groups")
+    of, stays = fresh(docs, "of", "stays")
+    ids = groups.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"), F.max((F.col("component_id") == F.col(key)).cast("int")).alias("stays"))
+    odd = staged(ids.where("n > 1 or stays = 0").select(F.col(key).alias(of), F.col("stays").alias(stays)), "jaccard-odd")
+    bitmap = id_bitmap(odd, of)
+    plain = docs.where(~may_be_in(F.col(key), bitmap))
+    rest = docs.where(may_be_in(F.col(key), bitmap)).join(odd, docs[key] == F.col(of), "left")
+    alone = rest.where(F.col(of).isNull())
+    kept = rest.where(F.col(stays) == 1).dropDuplicates([key])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return plain.unionByName(alone.select(*columns)).unionByName(kept.select(*columns))
