@@ -17,10 +17,11 @@ only shapes the orders: any sketch gives the same links.
 2. Prefix tokens of the first order meet on the token.  Of a token's classes
    only the pairs (class, centre) are formed, a star instead of all pairs; each
    class keeps the centre with which it shares most tokens.
-3. Pairs whose prefixes meet under the other orders too are verified on whole
-   sets; connected components follow.
+3. These pairs are measured on whole sets; connected components of the links
+   follow.
 4. Every pair of classes that may still be linked and are in different
-   components (``crossing_pairs``) is filtered and verified in the same way.  A link inside a
+   components (``crossing_pairs``) must meet under the other orders too, and is
+   then verified on whole sets.  A link inside a
    component cannot change it, so no link is lost; near copies by the thousand
    cost a star, not a square.
 
@@ -170,22 +171,22 @@ def class_sets(texts: DataFrame, wanted: DataFrame, size: int, percent: int, ske
     return found.mapInArrow(rows, "class long, tokens binary" + "".join(f", other{k} array<long>" for k in range(len(seeds))))
 
 
-def similar(pairs: DataFrame, percent: int) -> DataFrame:
-    """Those (a, b) of (a, b, set_a, set_b) that reach the similarity."""
+def measured(pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b, distance, linked) of (a, b, set_a, set_b): the Jaccard distance,
+    and whether the similarity is reached (in whole numbers)."""
     def rows(batches):
         for batch in batches:
-            a, b = batch.column("a"), batch.column("b")
-            keep = []
-            for k, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"))):
+            distance, linked = [], []
+            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
                 left, right = unpack(x.as_buffer()), unpack(y.as_buffer())
                 at = np.minimum(np.searchsorted(left, right), len(left) - 1)
                 both = int((left[at] == right).sum())
-                if 100 * both >= percent * (len(left) + len(right) - both):
-                    keep.append(k)
-            keep = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([a.take(keep), b.take(keep)], names=["a", "b"])
+                union = len(left) + len(right) - both
+                distance.append(1 - both / union)
+                linked.append(100 * both >= percent * union)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(distance, pa.float64()), pa.array(linked, pa.bool_())], names=["a", "b", "distance", "linked"])
 
-    return pairs.mapInArrow(rows, "a long, b long")
+    return pairs.mapInArrow(rows, "a long, b long, distance double, linked boolean")
 
 
 def least_common(n_a, n_b, percent: int):
@@ -199,9 +200,10 @@ def least_common(n_a, n_b, percent: int):
     return F.greatest(F.lit(1), F.least(*bounds))
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, sets_of, percent: int, name: str) -> DataFrame:
-    """The links among candidate ``pairs`` (a, b) of classes: the sizes must
-    fit, then the prefixes under every further order, then the sets."""
+def confirmed(pairs: DataFrame, classes: DataFrame, sets_of, percent: int, name: str, all_orders: bool = True) -> DataFrame:
+    """Candidate ``pairs`` (a, b) of classes, measured: the sizes must fit, then
+    the prefixes under every further order (unless the distances of all pairs
+    are wanted), then the sets are compared."""
     x, y = (classes.select(*[F.col(c).alias(f"{c}_{end}") for c in ("class", "n", "doc_id")]) for end in "ab")
     joined = pairs.join(x, F.col("a") == F.col("class_a")).join(y, F.col("b") == F.col("class_b"))
     joined = joined.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).withColumn("least", least_common(F.col("n_a"), F.col("n_b"), percent))
@@ -211,8 +213,9 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets_of, percent: int, name:
     orders = [c for c in sets.columns if c.startswith("other")]
     left, right = (sets.select(F.col("class").alias(e), F.col("tokens").alias(f"set_{e}"), *[F.col(o).alias(f"{o}_{e}") for o in orders]) for e in "ab")
     meet = reduce(and_, [F.size(F.array_intersect(f"{o}_a", f"{o}_b")) >= F.col("least") for o in orders])
-    met = kept.select("a", "b", "least").join(left, "a").join(right, "b").where(meet)
-    return staged(similar(met.select("a", "b", "set_a", "set_b"), percent), f"{name}-links")
+    met = kept.select("a", "b", "least").join(left, "a").join(right, "b")
+    met = met.where(meet) if all_orders else met
+    return staged(measured(met.select("a", "b", "set_a", "set_b"), percent), f"{name}-links")
 
 
 def shared_tokens(found: DataFrame) -> DataFrame:
@@ -229,32 +232,42 @@ def shared_tokens(found: DataFrame) -> DataFrame:
     return staged(shared.join(spread, "token").withColumn("rank", F.row_number().over(down)), "jaccard-shared")
 
 
-def star_pairs(shared: DataFrame) -> DataFrame:
-    """(a, b): each class with one centre.  The centre of a token is that of its
-    classes whose prefix is most common (the original of a family of edited
-    copies, as a rule); a class takes the centre with which it shares most
-    tokens."""
+def may_link(percent: int):
+    """Whether rows (n, rank) of a token in two classes, ``_a`` and ``_b``, can
+    be the rarest common token of linked sets."""
+    fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return fits & (F.least("rank_a", "rank_b") >= least_common(F.col("n_a"), F.col("n_b"), percent))
+
+
+def star_pairs(shared: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each class with one centre that it may be linked with.  The
+    centre of a token is that of its classes whose prefix is most common (the
+    original of a family of edited copies, as a rule); a class takes the centre
+    that it meets on most tokens."""
     hubs = staged(shared.groupBy("class").agg((F.sum("df") / F.first("prefix")).alias("hub")), "jaccard-hubs")
-    centres = shared.join(hubs, "class").groupBy("token").agg(F.max(F.struct("hub", "class")).alias("best")).select("token", F.col("best.class").alias("centre"))
-    counted = shared.join(centres, "token").where("class <> centre").groupBy("class", "centre").agg(F.count("*").alias("common"))
-    best = counted.groupBy("class").agg(F.max(F.struct("common", "centre")).alias("m"))
-    return best.select(F.col("class").alias("a"), F.col("m.centre").alias("b"))
+    centres = shared.join(hubs, "class").groupBy("token").agg(F.max(F.struct("hub", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("rank").alias("rank_b"))).alias("best")).select("token", "best.*")
+    members = shared.select("token", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("rank").alias("rank_a"))
+    met = members.join(centres, "token").where((F.col("a") != F.col("b")) & may_link(percent))
+    best = met.groupBy("a", "b").agg(F.count("*").alias("common")).groupBy("a").agg(F.max(F.struct("common", "b")).alias("m"))
+    return best.select("a", F.col("m.b").alias("b"))
 
 
-def crossing_pairs(shared: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+def crossing_pairs(shared: DataFrame, components: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
     """(a, b) of different components that may be linked.
 
     Linked sets have ``least_common`` tokens or more in common in their
     prefixes.  The rarest of those has, in both sets, at least that many prefix
     tokens from it upwards in the order by frequency: so a pair meets on tokens
     of that rank only, and a passage that many documents share, being frequent,
-    does not bring them together."""
+    does not bring them together.  Jaccard distance is a metric: of two classes
+    with one centre (``centres``: class, centre, distance) whose distances from
+    it differ by more than a link's, none is linked to the other."""
     rows = shared.select("token", "class", "n", "rank").join(components, "class", "left").withColumn("root", F.coalesce("root", "class"))
     ends = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
-    mixed = staged(rows.join(ends, "token"), "jaccard-mixed")
-    x, y = (mixed.select("token", *[F.col(c).alias(f"{c}_{e}") for c in ("class", "n", "rank", "root")]) for e in "ab")
-    fits = (F.col("root_a") < F.col("root_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    fits = fits & (F.least("rank_a", "rank_b") >= least_common(F.col("n_a"), F.col("n_b"), percent))
+    mixed = staged(rows.join(ends, "token").join(centres, "class", "left"), "jaccard-mixed")
+    x, y = (mixed.select("token", *[F.col(c).alias(f"{c}_{e}") for c in ("class", "n", "rank", "root", "centre", "distance")]) for e in "ab")
+    apart = (F.col("centre_a") == F.col("centre_b")) & (F.abs(F.col("distance_a") - F.col("distance_b")) > F.lit(1 - percent / 100 + 1e-9))
+    fits = (F.col("root_a") < F.col("root_b")) & may_link(percent) & ~F.coalesce(apart, F.lit(False))
     return x.join(y, "token").where(fits).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
 
 
@@ -271,9 +284,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
         return class_sets(texts, wanted, size, percent, sketch)
 
     shared = shared_tokens(found)
-    links = confirmed(star_pairs(shared), classes, sets_of, percent, "jaccard-star")
-    components = connected_components(links)
-    more = confirmed(crossing_pairs(shared, components, percent), classes, sets_of, percent, "jaccard-cross")
+    stars = confirmed(star_pairs(shared, percent), classes, sets_of, percent, "jaccard-star", all_orders=False)
+    components = connected_components(stars.where("linked"))
+    centres = stars.select(F.col("a").alias("class"), F.col("b").alias("centre"), "distance")
+    more = confirmed(crossing_pairs(shared, components, centres, percent), classes, sets_of, percent, "jaccard-cross").where("linked").select("a", "b")
     # what the further links join are whole components
     root = components.select(F.col("class").alias("member"), "root")
     for end in "ab":
