@@ -13,9 +13,13 @@ Given (host, path) rules come first: a rule fits its host and all subdomains if
 the path starts with the rule's path, and the longest wins.  Mined rules decide
 the rest: block where one fits, else allow.
 
+The rules are mined from labelled pages that no given rule judges, so support and
+confidence are shares of the pages that the rules are for.
+
 Defined cases: null or scheme-less URLs have an empty host and path, no tokens
-and the verdict allow; equal URLs are judged once; without labels or without
-frequent tokens there are no mined rules.  All steps are DataFrame operations.
+and the verdict allow; equal URLs are judged once; without labels, on fewer
+labelled URLs than the least count, or without frequent tokens there are no
+mined rules.  All steps are DataFrame operations.
 """
 
 from __future__ import annotations
@@ -70,7 +74,10 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int =
     from (url, block)."""
     baskets = labelled.select(F.array_union(url_tokens(F.col("url")), F.when(F.col("block"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>"))).alias("items")).where(F.size("items") > 0)
     baskets = staged(baskets, "url-baskets")
-    least = max(min_support, min(1.0, min_count / max(1, baskets.count())))
+    n = baskets.count()
+    if n < min_count:  # no rule can have its count
+        baskets, n = baskets.limit(0), min_count
+    least = max(min_support, min_count / n)
     model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets)
     rules = staged(model.associationRules.where(F.array_contains("consequent", BLOCK)).select(F.array_sort("antecedent").alias("tokens"), "confidence"), "url-rules")
     # a rule whose tokens hold those of a shorter rule adds nothing
@@ -90,13 +97,12 @@ def blocked_urls(urls: DataFrame, index: DataFrame) -> DataFrame:
 
 def judge(pages: DataFrame, labels: DataFrame, key: str = "page_id", url: str = "url", rules=GIVEN, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """key, host, path, rule, verdict and mined rule of every page.  ``labels``
-    is (page, block): what is known of pages that no given rule judges; given
-    rules label the pages they fit."""
+    is (page, block): what is known of pages.  Only pages that no given rule
+    judges teach the mined rules."""
     named = pages.select(F.col(key).alias("key"), F.col(url).alias("url"))
     given = given_rule(host_of(F.col("url")), path_of(F.col("url")), rules)
     known = labels.where("page is not null").groupBy("page").agg(F.max("block").alias("bad"))
-    taught = (named.withColumn("given", given).join(known, F.col("key") == F.col("page"), "left")
-              .select("url", F.coalesce(F.col("given.verdict") == "block", F.col("bad")).alias("block")).where("block is not null and url is not null"))
+    taught = named.where(F.col("url").isNotNull() & given.isNull()).join(known, F.col("key") == F.col("page")).select("url", F.col("bad").alias("block")).where("block is not null")
     index = mine(taught, min_support, min_count, min_confidence)
     open_ = named.where(F.col("url").isNotNull() & given.isNull()).select("url").distinct()
     mined = blocked_urls(open_, index).withColumnRenamed("url", "mined_url")

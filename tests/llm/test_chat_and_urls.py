@@ -101,6 +101,13 @@ def test_mined_rules_equal_brute_force(spark):
     assert all(any(set(rule.split()) <= tokens[k] for rule in rules) == bad[k] for k in bad)
 
 
+def test_given_rules_do_not_teach_mined_ones(spark):
+    rows = [(k, f"http://h{k}.net/shop") for k in range(60)] + [(100 + k, "http://www.y.com/shop") for k in range(40)] + [(200 + k, "http://spam.z.com/buy") for k in range(40)]
+    labels = [(k, True) for k in range(60)] + [(100 + k, False) for k in range(3)] + [(200 + k, True) for k in range(40)]
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "page long, block boolean")).collect()
+    assert {(r.page_id // 100, r.verdict, r.rule) for r in got} == {(0, "block", "net/"), (1, "allow", None), (2, "block", None)}
+
+
 def test_urls_nulls_repeats_clashes_empty(spark):
     pages = spark.createDataFrame([(None, None, "x", 1), (1, "http://a.net/", None, 2), (1, "http://a.net/", None, 2), (2, "http://b.org/q", "y", 3)], "page_id long, url string, host string, token int")
     labels = spark.createDataFrame([(None, True), (2, None), (2, False), (2, True)], "page long, block boolean")
