@@ -32,9 +32,10 @@ from .common import ascii_lower, staged
 
 #: Given rules: (host, path, verdict).
 GIVEN = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-#: Pruning of mined rules: share and number of labelled URLs with all of a
-#: rule's tokens, and the share of those that are to be blocked.
-MIN_SUPPORT, MIN_COUNT, MIN_CONFIDENCE = 0.01, 30, 0.9
+#: Pruning of mined rules: number of labelled URLs to be blocked that have all
+#: of a rule's tokens, whatever the input's size, and their share of all
+#: labelled URLs that have them.
+MIN_COUNT, MIN_CONFIDENCE = 30, 0.9
 #: Token of a labelled URL that is to be blocked.
 BLOCK = "label=block"
 
@@ -69,17 +70,27 @@ def url_tokens(url: Column) -> Column:
     return F.coalesce(F.array_distinct(F.when(host != "", known)), F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def mine(labelled: DataFrame, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(rule, size, confidence, token): the inverted index of the mined rules,
-    from (url, block)."""
-    baskets = labelled.select(F.array_union(url_tokens(F.col("url")), F.when(F.col("block"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>"))).alias("items")).where(F.size("items") > 0)
-    baskets = staged(baskets, "url-baskets")
+    from (url, block).
+
+    Tokens that are rules by themselves, and those on fewer than ``min_count``
+    URLs to be blocked, are in no longer rule that stays; FP-growth gets the
+    others."""
+    numbered = labelled.select(F.monotonically_increasing_id().alias("basket"), "block", url_tokens(F.col("url")).alias("items"))
+    tokens = staged(numbered.select("basket", "block", F.explode("items").alias("token")), "url-tokens")
+    counts = tokens.groupBy("token").agg(F.count("*").alias("n"), F.count_if("block").alias("bad")).where(F.col("bad") >= min_count)
+    counts = staged(counts.select("token", (F.col("bad") / F.col("n")).alias("confidence")), "url-counts")
+    single = F.col("confidence") >= min_confidence
+    baskets = tokens.join(counts.where(~single).select("token"), "token").groupBy("basket", "block").agg(F.collect_list("token").alias("items"))
+    baskets = staged(baskets.select(F.when(F.col("block"), F.array_append("items", BLOCK)).otherwise(F.col("items")).alias("items")), "url-baskets")
     n = baskets.count()
     if n < min_count:  # no rule can have its count
         baskets, n = baskets.limit(0), min_count
-    least = max(min_support, min_count / n)
-    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets)
-    rules = staged(model.associationRules.where(F.array_contains("consequent", BLOCK)).select(F.array_sort("antecedent").alias("tokens"), "confidence"), "url-rules")
+    # half a URL less, so that rounding the share back gives the count
+    model = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / n, minConfidence=min_confidence).fit(baskets)
+    longer = model.associationRules.where(F.array_contains("consequent", BLOCK)).select(F.array_sort("antecedent").alias("tokens"), "confidence")
+    rules = staged(longer.unionByName(counts.where(single).select(F.array("token").alias("tokens"), "confidence")), "url-rules")
     # a rule whose tokens hold those of a shorter rule adds nothing
     listed = rules.select(F.array_join("tokens", " ").alias("rule"), F.size("tokens").alias("size"), "confidence", F.explode("tokens").alias("token"))
     shorter = listed.select(F.col("rule").alias("part"), F.col("size").alias("part_size"), "token")
@@ -95,7 +106,7 @@ def blocked_urls(urls: DataFrame, index: DataFrame) -> DataFrame:
     return full.groupBy("url").agg(F.max(F.struct("confidence", "rule")).alias("best")).select("url", F.col("best.rule").alias("mined"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, key: str = "page_id", url: str = "url", rules=GIVEN, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, key: str = "page_id", url: str = "url", rules=GIVEN, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """key, host, path, rule, verdict and mined rule of every page.  ``labels``
     is (page, block): what is known of pages.  Only pages that no given rule
     judges teach the mined rules."""
@@ -103,7 +114,7 @@ def judge(pages: DataFrame, labels: DataFrame, key: str = "page_id", url: str =
     given = given_rule(host_of(F.col("url")), path_of(F.col("url")), rules)
     known = labels.where("page is not null").groupBy("page").agg(F.max("block").alias("bad"))
     taught = named.where(F.col("url").isNotNull() & given.isNull()).join(known, F.col("key") == F.col("page")).select("url", F.col("bad").alias("block")).where("block is not null")
-    index = mine(taught, min_support, min_count, min_confidence)
+    index = mine(taught, min_count, min_confidence)
     open_ = named.where(F.col("url").isNotNull() & given.isNull()).select("url").distinct()
     mined = blocked_urls(open_, index).withColumnRenamed("url", "mined_url")
     judged = named.join(mined, F.col("url") == F.col("mined_url"), "left").withColumn("given", given)

@@ -108,6 +108,16 @@ def test_given_rules_do_not_teach_mined_ones(spark):
     assert {(r.page_id // 100, r.verdict, r.rule) for r in got} == {(0, "block", "net/"), (1, "allow", None), (2, "block", None)}
 
 
+def test_least_count_holds_on_any_number_of_labels(spark):
+    # 40, 35 and 29 of 6,000 labelled URLs: all below a hundredth of them
+    rows = [(k, "http://farm.a.com/x") for k in range(40)] + [(k, "http://blog.a.com/buy?aff=1") for k in range(40, 75)] + [(k, "http://few.a.com/x") for k in range(75, 104)]
+    rows += [(k, ("http://blog.a.com/read?aff=1", "http://www.a.com/buy", "http://blog.a.com/x")[k % 3]) for k in range(104, 6000)]
+    labels = spark.createDataFrame([(k, k < 104) for k, _ in rows], "page long, block boolean")
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), labels).collect()
+    assert {r.page_id for r in got if r.verdict == "block"} == set(range(75))
+    assert {r.mined_rule for r in got} == {None, "host=farm", "path=buy query=aff"}
+
+
 def test_urls_nulls_repeats_clashes_empty(spark):
     pages = spark.createDataFrame([(None, None, "x", 1), (1, "http://a.net/", None, 2), (1, "http://a.net/", None, 2), (2, "http://b.org/q", "y", 3)], "page_id long, url string, host string, token int")
     labels = spark.createDataFrame([(None, True), (2, None), (2, False), (2, True)], "page long, block boolean")
