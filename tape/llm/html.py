@@ -15,7 +15,8 @@ Composite importance is ``(1 - g^l) * presentation + g^l * mean(children)`` with
 l styles and g = 0.9.  A branch whose nodes are all below the threshold is
 removed from each page.  Elements whose tag, class or role states what they are
 have a prior: menus, headers, footers, sidebars, notices, adverts, forms, media
-and reader comments have importance 0, article and main importance 1.
+and reader comments have importance 0, article and main importance 1: whatever is inside
+them is never removed by entropy.
 
 From the pruned page the text inside article or main is taken (of the body if
 there is none); character references are decoded, white space inside a block
@@ -214,7 +215,8 @@ class Page:
 
     def main_text(self, noise: frozenset) -> str:
         for drop in (noise, frozenset()):
-            kept = [b for b in self.blocks if not drop.intersection(b[0])] if drop else self.blocks
+            # article and main have importance 1, whatever the entropy of what is in them
+            kept = [b for b in self.blocks if b[1] or not drop.intersection(b[0])] if drop else self.blocks
             if any(b[1] for b in kept):
                 kept = [b for b in kept if b[1]]
             if kept or not drop:

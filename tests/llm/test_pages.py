@@ -65,6 +65,16 @@ def test_sites_are_judged_apart_and_copies_keep_their_text(spark):
     assert all("reserved" not in got[k] for k in range(20)) and all(got[100 + k] == "All rights reserved" for k in range(20))
 
 
+def test_articles_keep_what_all_pages_of_a_host_share(spark):
+    """Near copies: the same h1 and passage in the articles, the same notice around them."""
+    marks = ("<article>", "</article>"), ("<main>", "</main>"), ("<div role=main>", "</div>"), ("<div role=article>", "</div>")
+    for start, end in marks:
+        for unique in (True, False):
+            rows = [(k, f"http://c.com/{k}", f"<div class=top>Home</div>{start}<h1>Same</h1><h2>Summary</h2><p>{k if unique else 'one'} story</p>{end}<div class=end>All rights reserved</div>") for k in range(8)]
+            got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+            assert got == {k: f"Same\nSummary\n{k if unique else 'one'} story" for k in range(8)}
+
+
 def test_style_tree_counts(spark):
     tree = {(r.m, r.styles, r.texts): r for r in style_tree(spark.createDataFrame(site(10), SCHEMA).selectExpr("'a.com' AS host", "html")).collect()}
     assert {m for m, _, _ in tree} == {10}
