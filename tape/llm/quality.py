@@ -159,12 +159,19 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 60) -> tupl
     return good, accuracy, share
 
 
-def _grams(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hashed trigram and shape 4-gram at each byte, over the row's end."""
-    pad = np.concatenate([data, np.full(3, 32, np.uint8)])
-    low, shape = LOWER[pad].astype(np.uint32), SHAPE[pad].astype(np.uint32)
-    raw = low[:-3] | low[1:-2] << np.uint32(8) | low[2:-1] << np.uint32(16)
-    four = shape[:-3] | shape[1:-2] << np.uint32(8) | shape[2:-1] << np.uint32(16) | shape[3:] << np.uint32(24)
+def _grams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashed trigram and shape 4-gram at each byte; spaces follow a row's
+    last byte, whatever row comes next."""
+    def ahead(values, k):
+        out = np.concatenate([values[k:], np.full(min(k, len(values)), 32, np.uint8)])
+        for j in range(1, k + 1):
+            at = offs[1:] - j
+            out[at[at >= offs[:-1]]] = 32
+        return out.astype(np.uint32) << np.uint32(8 * k)
+
+    low, shape = LOWER[data], SHAPE[data]
+    raw = ahead(low, 0) | ahead(low, 1) | ahead(low, 2)
+    four = ahead(shape, 0) | ahead(shape, 1) | ahead(shape, 2) | ahead(shape, 3)
     with np.errstate(over="ignore"):
         return (raw * np.uint32(2654435761)) >> np.uint32(32 - RAW_BITS), ((four * np.uint32(2246822519)) >> np.uint32(32 - SHAPE_BITS)) + np.uint32(1 << RAW_BITS)
 
@@ -182,7 +189,7 @@ def training_rows(sample: DataFrame) -> DataFrame:
     def rows(batches):
         for batch in batches:
             for i, j, data, offs in chunks(batch.column("text")):
-                raw, shape = _grams(data)
+                raw, shape = _grams(data, offs)
                 extra, _ = _extra(data, offs)
                 dims, values = [], []
                 for k in range(j - i):
@@ -223,16 +230,17 @@ def train(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) ->
     codes, counts = found.column("votes").to_numpy(), found.column("n").to_numpy()
     good, accuracy, share = estimate(decode(codes), counts)
     total = int(counts.sum())
-    # the texts with the smallest hashes: a binomial number about train_rows
-    limit = int(min(1.0, train_rows / max(total, 1)) * float(1 << 62))
-    key = F.shiftrightunsigned(F.xxhash64("text"), 2)
+    # the texts with the smallest hashes: a binomial number about train_rows;
     # copies of one text share a hash and count once, however many they are
-    picked = texts.select(key.alias("key"), "text").where((F.col("key") < limit) & F.col("text").isNotNull()).dropDuplicates(["key"])
+    keyed = texts.where(F.col("text").isNotNull()).select(F.shiftrightunsigned(F.xxhash64("text"), 2).alias("key"), "text")
+    distinct = keyed.agg(F.count_distinct("key")).first()[0]
+    limit = int(min(1.0, train_rows / max(distinct, 1)) * float(1 << 62))
+    picked = keyed.where(F.col("key") < limit).dropDuplicates(["key"])
     sample = vote_codes(picked, "text")
     rows = training_rows(sample).toArrow().sort_by([("key", "ascending")])
     labels = dict(zip(codes.tolist(), good.tolist()))
     w, bias = fit([x.values.to_numpy() for x in rows.column("dims")], [x.values.to_numpy() for x in rows.column("values")], np.array([labels[x] for x in rows.column("votes").to_pylist()]))
-    return w, bias, {"accuracy": dict(zip(LABELLERS, accuracy.tolist())), "good": share, "patterns": len(codes), "rows": total, "trained_on": rows.num_rows}
+    return w, bias, {"accuracy": dict(zip(LABELLERS, accuracy.tolist())), "good": share, "patterns": len(codes), "rows": total, "distinct": distinct, "trained_on": rows.num_rows}
 
 
 def with_scores(docs: DataFrame, w: np.ndarray, bias: float, name: str, text: str = "text") -> DataFrame:
@@ -242,7 +250,7 @@ def with_scores(docs: DataFrame, w: np.ndarray, bias: float, name: str, text: st
     def compute(column):
         out = [np.zeros(0)]
         for _, _, data, offs in chunks(column):
-            raw, shape = _grams(data)
+            raw, shape = _grams(data, offs)
             extra, n = _extra(data, offs)
             sums = segment_sum((w[raw] + w[shape]).astype(float), offs)
             logit = sums / (np.diff(offs) + SHRINK) + extra @ w[-EXTRA:] + bias

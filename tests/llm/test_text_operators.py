@@ -72,6 +72,20 @@ def test_quality_edges(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_scores_do_not_depend_on_the_next_row(spark):
+    texts = ["", "a", "ab", "abc", "Ünï 漢", "the cat sat", "## 12 %%", "z" * 50, "a b"]
+    w = np.random.default_rng(3).normal(0, 40, quality.DIMENSIONS)
+    score = lambda some: {r.text: r.score for r in quality.with_scores(spark.createDataFrame([(t,) for t in some], "text string").coalesce(1), w, 0.0, "score").collect()}
+    alone = {t: s for t in texts for s in score([t]).values()}
+    assert score(texts) == score(texts[::-1]) == alone
+
+
+def test_training_sample_is_set_by_distinct_texts(spark):
+    docs = spark.range(8000).selectExpr("concat('text number ', id % 200, ' of some words') AS text")
+    report = quality.train(docs, train_rows=100)[2]
+    assert report["rows"] == 8000 and 60 < report["trained_on"] < 140
+
+
 def test_quality_on_labels_it_never_saw(spark):
     d = "/root/testdata/sf0.01"
     got = QUERIES["op3_quality_weak_labels"](spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").collect()
