@@ -9,8 +9,11 @@ Counts for plain rules go with it: characters in words, symbols, repeated
 lines, and words in 5-word windows that occur twice or more.
 
 Defined cases: null text has no words and fails the base rules, as does any
-text of fewer than 10 words; texts shorter than the first length limit have no
-ratio limits; the last chunk is judged if it is at least a quarter of a chunk.
+text of fewer than 10 words; texts of up to 64 bytes have no ratio limits, those
+of up to 256 bytes no upper one (a frame's own bytes bring plain short text to
+the ratios of noise); texts of at least one chunk (2,048 bytes) have their
+chunks judged, and the last chunk is the text's last 2,048 bytes, which may
+overlap the one before; shorter texts are judged by their whole ratio alone.
 """
 
 from __future__ import annotations
@@ -74,9 +77,9 @@ def within_bands(raw: bytes, compress) -> tuple[bool, float, float]:
     ratio = len(compress(raw)) / len(raw)
     _, low, high = BANDS[bisect.bisect_left([b[0] for b in BANDS], len(raw))]
     outside = 0.0
-    if len(raw) >= 2 * CHUNK:
-        parts = [raw[k:k + CHUNK] for k in range(0, len(raw), CHUNK)]
-        parts = [p for p in parts if len(p) >= CHUNK // 4]
+    if len(raw) >= CHUNK:
+        # all of one size, to which the limits apply: the last one ends with the text
+        parts = [raw[k:k + CHUNK] for k in (*range(0, len(raw) - CHUNK, CHUNK), len(raw) - CHUNK)]
         ratios = [len(compress(p)) / len(p) for p in parts]
         outside = sum(not CHUNK_BAND[0] <= r <= CHUNK_BAND[1] for r in ratios) / len(ratios)
     return low <= ratio <= high and outside <= CHUNK_SHARE, ratio, outside

@@ -54,6 +54,25 @@ def test_bands_reject_repetition_and_noise():
     assert compression.within_bands(b"", compress) == (True, 0.0, 0.0)
 
 
+def test_chunks_of_short_texts_and_last_chunks_are_judged():
+    import random
+
+    import zstandard
+
+    r = random.Random(1)
+    compress = zstandard.ZstdCompressor(level=compression.LEVEL).compress
+    voc = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 9))) for _ in range(2000)]
+    prose = " ".join(r.choice(voc) for _ in range(3000)).encode()
+    for n in (2047, 2048, 2049, 3000, 4000, 4095, 4096, 4500, 6200):
+        verdict, _, outside = compression.within_bands(prose[:n], compress)
+        assert verdict and outside == 0.0
+    # 4,000 bytes, half of them repeated: the whole ratio is within its limits
+    verdict, ratio, outside = compression.within_bands(prose[:1952] + b"ab" * 1024, compress)
+    assert outside == 0.5 and not verdict and 0.23 < ratio < 0.76
+    # so is a last chunk of 300 bytes, with what is before it
+    assert compression.within_bands(prose[:2048] + b"ab" * 1174, compress)[2] == 2 / 3
+
+
 def test_clashing_names_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "plain words that say something useful to a reader of this page", 0.5, "x")], "doc_id long, text string, Score double, _score string")
     assert quality.good_documents(docs).columns == docs.columns
