@@ -29,8 +29,9 @@ Hashes: 64 bits for tokens and classes, 48 bits inside a pair of sets (a wrong
 match has odds of about n*n / 2**48 a pair).
 
 Defined cases: null or empty text has the empty set and no links; fewer words
-than a shingle make one shingle; equal rows are one class; a class whose ids
-are all null links with no other class; ties do not matter.
+than a shingle make one shingle; equal rows are one class; ids may repeat or be
+null: a text is found by a 64-bit hash of its id and text (``row_key``), and a
+class whose ids are all null links like any other; ties do not matter.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, fresh, id_bitmap, may_be_in, staged
@@ -78,6 +79,11 @@ def unpack(raw) -> np.ndarray:
     return full.view(np.uint64).ravel()
 
 
+def row_key(key: str, text: str) -> Column:
+    """A row by its id and text: ids may repeat or be null."""
+    return F.xxhash64(key, text)
+
+
 def frequency_sketch(texts: DataFrame, size: int) -> np.ndarray:
     """Token counts of all texts in 2**SKETCH_BITS counters.  Each task sends
     its counters once; Spark sums them, and the sums alone reach the driver."""
@@ -121,7 +127,7 @@ def prefix(tokens: np.ndarray, levels: np.ndarray, seed: int, percent: int) -> n
 
 
 def document_classes(texts: DataFrame, size: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """(doc_id, n, class, first) of (doc_id, text): set size, class and the
+    """(doc_id, row, n, class, first) of (doc_id, text, row): set size, class and the
     prefix tokens under the first order, null where the task has met the class
     already."""
     levels, seed = order_levels(sketch).astype(np.uint8), ORDER_SEEDS[0]
@@ -129,7 +135,7 @@ def document_classes(texts: DataFrame, size: int, percent: int, sketch: np.ndarr
     def rows(batches):
         met = set()
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, keys = batch.column("doc_id"), batch.column("row")
             for i, j, data, offs in chunks(batch.column("text")):
                 every, bounds = shingles_of(data, offs, size)
                 n, cls, first = [], [], []
@@ -142,27 +148,31 @@ def document_classes(texts: DataFrame, size: int, percent: int, sketch: np.ndarr
                     first.append(None if known else prefix(tokens, levels, seed, percent).view(np.int64))
                     if not known:
                         met.add(name)
-                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(first, pa.list_(pa.int64()))], names=["doc_id", "n", "class", "first"])
+                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), keys.slice(i, j - i), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(first, pa.list_(pa.int64()))], names=["doc_id", "row", "n", "class", "first"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(rows, f"doc_id {kind}, n long, class long, first array<long>")
+    return texts.mapInArrow(rows, f"doc_id {kind}, row long, n long, class long, first array<long>")
 
 
 def class_sets(texts: DataFrame, wanted: DataFrame, size: int, percent: int, sketch: np.ndarray) -> DataFrame:
     """(class, tokens, other0, ...): packed set, and prefixes under the further
-    orders, of each (doc_id, class) in ``wanted``.  A bitmap of the wanted ids,
+    orders, of each (row, class) in ``wanted``.  A bitmap of the wanted rows,
     of a fixed size, keeps most other texts out of the shuffle."""
     levels, seeds = order_levels(sketch).astype(np.uint8), ORDER_SEEDS[1:]
-    found = texts.where(may_be_in(F.col("doc_id"), id_bitmap(wanted, "doc_id"))).join(wanted, "doc_id").select("class", "text")
+    found = texts.where(may_be_in(F.col("row"), id_bitmap(wanted, "row"))).join(wanted, "row").select("class", "text")
 
     def rows(batches):
+        met = set()
         for batch in batches:
             names = batch.column("class").to_pylist()
             for i, j, data, offs in chunks(batch.column("text")):
                 every, bounds = shingles_of(data, offs, size)
                 sets = [np.unique(every[bounds[k]:bounds[k + 1]]) for k in range(j - i)]
-                # an id may be that of several texts
-                good = [k for k, s in enumerate(sets) if len(s) and set_class(s) == names[i + k]]
+                good = []
+                for k, s in enumerate(sets):  # equal rows come once from a task
+                    if names[i + k] not in met and len(s) and set_class(s) == names[i + k]:
+                        met.add(names[i + k])
+                        good.append(k)
                 orders = [pa.array([prefix(sets[k], levels, seed, percent).view(np.int64) for k in good], pa.list_(pa.int64())) for seed in seeds]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([names[i + k] for k in good], pa.int64()), pa.array([pack(sets[k]) for k in good], pa.binary()), *orders],
@@ -204,11 +214,11 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets_of, percent: int, name:
     """Candidate ``pairs`` (a, b) of classes, measured: the sizes must fit, then
     the prefixes under every further order (unless the distances of all pairs
     are wanted), then the sets are compared."""
-    x, y = (classes.select(*[F.col(c).alias(f"{c}_{end}") for c in ("class", "n", "doc_id")]) for end in "ab")
+    x, y = (classes.select(*[F.col(c).alias(f"{c}_{end}") for c in ("class", "n", "row")]) for end in "ab")
     joined = pairs.join(x, F.col("a") == F.col("class_a")).join(y, F.col("b") == F.col("class_b"))
     joined = joined.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).withColumn("least", least_common(F.col("n_a"), F.col("n_b"), percent))
-    kept = staged(joined.select("a", "b", "least", "doc_id_a", "doc_id_b"), f"{name}-candidates")
-    ends = [kept.select(F.col(f"doc_id_{e}").alias("doc_id"), F.col(e).alias("class")) for e in "ab"]
+    kept = staged(joined.select("a", "b", "least", "row_a", "row_b"), f"{name}-candidates")
+    ends = [kept.select(F.col(f"row_{e}").alias("row"), F.col(e).alias("class")) for e in "ab"]
     sets = staged(sets_of(ends[0].unionByName(ends[1]).distinct()), f"{name}-sets")
     orders = [c for c in sets.columns if c.startswith("other")]
     left, right = (sets.select(F.col("class").alias(e), F.col("tokens").alias(f"set_{e}"), *[F.col(o).alias(f"{o}_{e}") for o in orders]) for e in "ab")
@@ -271,14 +281,14 @@ def crossing_pairs(shared: DataFrame, components: DataFrame, centres: DataFrame,
     return x.join(y, "token").where(fits).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each document: key, ``n_shingles`` and ``component_id``, the
-    smallest id that links reach from it."""
-    texts = docs.select(F.col(key).alias("doc_id"), ascii_lower(F.col(text)).alias("text"))
+def grouped(docs: DataFrame, size: int, percent: int, key: str, text: str) -> DataFrame:
+    """(doc_id, row, n, root) of every document: those that links reach from
+    each other have one root, null for the empty set."""
+    texts = docs.select(F.col(key).alias("doc_id"), ascii_lower(F.col(text)).alias("text"), row_key(key, text).alias("row"))
     sketch = frequency_sketch(texts.select("text"), size)
     found = staged(document_classes(texts, size, percent, sketch), "jaccard-documents")
     # one document stands for its class
-    classes = staged(found.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), "jaccard-classes")
+    classes = staged(found.where("class is not null").groupBy("class").agg(F.min("row").alias("row"), F.first("n").alias("n")), "jaccard-classes")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         return class_sets(texts, wanted, size, percent, sketch)
@@ -296,24 +306,35 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
     components = components.unionByName(joined.select("class", F.col("top").alias("root")).join(components, "class", "left_anti"))
     components = components.join(joined.select(F.col("class").alias("root"), "top"), "root", "left").select("class", F.coalesce("top", "root").alias("root"))
 
-    rooted = found.select("doc_id", "n", "class").join(components, "class", "left").select("doc_id", "n", F.coalesce("root", "class").alias("root"))
+    return found.select("doc_id", "row", "n", "class").join(components, "class", "left").select("doc_id", "row", "n", F.coalesce("root", "class").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each document: key, ``n_shingles`` and ``component_id``, the
+    smallest id that links reach from it."""
+    rooted = grouped(docs, size, percent, key, text).drop("row")
     least = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rooted.join(least, "root", "left").select(
         F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each group, that of the smallest id; of
-    repeated rows of that id one stays.  Rows without id all stay.  Only texts
-    whose id may go or repeat are shuffled."""
-    groups = staged(near_duplicates(docs, size, percent, key, text), "jaccard-groups")
-    of, stays = fresh(docs, "of", "stays")
-    ids = groups.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"), F.max((F.col("component_id") == F.col(key)).cast("int")).alias("stays"))
-    odd = staged(ids.where("n > 1 or stays = 0").select(F.col(key).alias(of), F.col("stays").alias(stays)), "jaccard-odd")
+    """``docs`` with one document of each group, that of the smallest id (of
+    several texts of that id one); of equal rows (id and text) one stays.  Other
+    texts of an id are documents of their own.  Rows without id all stay.  Only
+    texts that may go or repeat are shuffled."""
+    rooted = staged(grouped(docs, size, percent, key, text).where("doc_id is not null"), "jaccard-groups")
+    row, of, stays = fresh(docs, "row", "of", "stays")
+    first = rooted.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("first")).select("root", F.col("first.row").alias("first"))
+    judged = rooted.join(first, "root", "left").select("row", (F.col("root").isNull() | (F.col("row") == F.col("first"))).cast("int").alias("stays"))
+    rows = judged.groupBy("row").agg(F.count("*").alias("n"), F.max("stays").alias("stays"))
+    odd = staged(rows.where("n > 1 or stays = 0").select(F.col("row").alias(of), F.col("stays").alias(stays)), "jaccard-odd")
     bitmap = id_bitmap(odd, of)
-    plain = docs.where(~may_be_in(F.col(key), bitmap))
-    rest = docs.where(may_be_in(F.col(key), bitmap)).join(odd, docs[key] == F.col(of), "left")
-    alone = rest.where(F.col(of).isNull())
-    kept = rest.where(F.col(stays) == 1).dropDuplicates([key])
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return plain.unionByName(alone.select(*columns)).unionByName(kept.select(*columns))
+    keyed = docs.withColumn(row, row_key(key, text))
+    may_go = F.col(key).isNotNull() & may_be_in(F.col(row), bitmap)
+    plain = keyed.where(~may_go)
+    rest = keyed.where(may_go).join(odd, F.col(row) == F.col(of), "left")
+    alone = rest.where(F.col(of).isNull())
+    kept = rest.where(F.col(stays) == 1).dropDuplicates([row])
+    return plain.select(*columns).unionByName(alone.select(*columns)).unionByName(kept.select(*columns))

@@ -64,6 +64,22 @@ def test_one_of_each_keeps_all_columns(spark):
     assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[0], rows[3], rows[4], rows[6]], key=str)
 
 
+def test_repeated_ids_keep_their_other_texts(spark):
+    words = [f"w{k}" for k in range(60)]
+    first, copy = " ".join(words), " ".join(words[:-1] + ["end"])
+    rows = [(1, first), (7, copy), (7, "a clean text of the same id"), (7, "one more clean text of it"), (7, "one more clean text of it")]
+    got = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted([rows[0], rows[2], rows[3]])
+
+
+def test_links_through_texts_without_id(spark):
+    words = [f"w{k}" for k in range(100)]
+    text = lambda k: " ".join(words[k:k + 80])
+    rows = [(9, text(0)), (None, text(8)), (None, text(8)), (5, text(16))]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(9, 5), (None, 5), (5, 5)}
+
+
 def test_prefixes_meet_under_every_order():
     """The prefix property on random pairs at or over the threshold."""
     r = np.random.default_rng(3)
