@@ -121,10 +121,61 @@ SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r)::BIGI
 FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
 """
 
+NEGATIVES = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda v: floor(256 * v::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v::DOUBLE))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+        FROM documents)),
+places AS (SELECT lang, w, unnest(range(len(w))) AS i FROM pieces),
+f AS (
+  SELECT lang, array_to_string(w[i + 1:i + k], ' ') AS phrase, k, count(*)::BIGINT AS f
+  FROM places, (SELECT unnest([1, 2, 3]) AS k) WHERE i + k <= len(w) GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, phrase, k AS size, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND f >= 10),
+cuts AS (
+  SELECT lang, phrase, size, a, k, array_to_string(w[1:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM cand)),
+found AS (
+  SELECT c.lang, c.phrase, c.size, c.a, c.k, x.f AS l, y.f AS r,
+         ((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.lp JOIN f y ON y.lang = c.lang AND y.phrase = c.rp),
+best AS (SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, part, max(a) AS b
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM cand WHERE size = 3) GROUP BY ALL),
+kept AS (
+  SELECT best.* FROM best LEFT JOIN longer ON longer.lang = best.lang AND longer.part = best.phrase AND best.size = 2
+  WHERE b IS NULL OR 100 * b < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a, l, r, n, score
+FROM kept JOIN total USING (lang)
+QUALIFY rank <= 2000
+"""
+
 SQL = {
     "op4_decontaminate": DECONTAMINATE,
     "op5_chat_round_trip": CHAT,
     "op6_mix_sources": MIX,
     "op8_rendezvous_shards": SHARDS,
     "op9_ngram_jaccard": JACCARD,
+    "op12_hard_negatives": NEGATIVES,
+    "op13_collocations": PHRASES,
 }

@@ -14,8 +14,11 @@ from .html import extract
 from .jaccard import near_duplicates
 from .language import identify
 from .mixing import mix_sizes
+from .negatives import hard_negatives
+from .phrases import collocations
 from .quality import classify
 from .sharding import shard_documents
+from .tokens import token_counts
 from .urls import judge
 
 
@@ -78,6 +81,25 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), labels)
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    import public_tokenizers
+
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector; every seventh has its label moved."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.select("vec_id", label.alias("label"), "embedding"), every=50, positives=5, negatives=3, low=50, high=95)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best phrases of two and three words."""
+    return collocations(table(spark, sf_dir, "documents"), least=10, top=2000)
+
+
 QUERIES = {
     "op1_html_style_tree": op1_html_style_tree,
     "op2_language_mixture": op2_language_mixture,
@@ -89,4 +111,7 @@ QUERIES = {
     "op8_rendezvous_shards": op8_rendezvous_shards,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_url_rules": op10_url_rules,
+    "op11_token_counts": op11_token_counts,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_collocations": op13_collocations,
 }
