@@ -37,19 +37,24 @@ the phrase's bytes.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import arrow_rows, staged
 
 #: Longest phrase.
 DEPTH = 3
 #: Words of a shard; ids need ID_BITS bits, so that three fit a signed 64-bit key.
 SHARD_WORDS = 1 << 20
 ID_BITS = 21
+#: Texts that are sent to Python at once.
+ROWS_AT_ONCE = 1000
 #: Bytes of text that are split at once.
 SLICE_BYTES = 1 << 20
 #: Bits of the bitmap of frequent pairs: 16 MB, whatever their number.
@@ -126,8 +131,16 @@ class Index:
         if self.most >= 1 << ID_BITS:
             raise ValueError("too many words for one shard")
         self.below = np.concatenate([[0], np.cumsum(np.bincount(ids, minlength=self.most))])
-        self.backward = self.transform(-1)  # what stands before: left extensions
-        self.forward = self.transform(1)  # what stands after: right extensions
+
+    @cached_property
+    def backward(self):
+        """What stands before: left extensions."""
+        return self.transform(-1)
+
+    @cached_property
+    def forward(self):
+        """What stands after: right extensions."""
+        return self.transform(1)
 
     def transform(self, step: int) -> tuple[np.ndarray, np.ndarray]:
         """(symbol beside each row, row it leads to), of rows sorted by the
@@ -135,11 +148,12 @@ class Index:
         key = np.zeros(len(self.ids), np.int64)
         for k in range(DEPTH):
             key = (key << ID_BITS) | np.roll(self.ids, k * step)
-        rows = np.argsort(key, kind="stable")
+        rows = np.argsort(key)
         symbols = self.ids[(rows + step) % len(self.ids)]
-        leads = np.empty(len(rows), np.int64)
-        leads[np.argsort(symbols, kind="stable")] = np.arange(len(rows))
-        return symbols, leads
+        # rows of one symbol keep their order: the place breaks the ties
+        leads = np.empty(len(rows), np.int32)
+        leads[np.argsort(symbols * np.int64(len(rows)) + np.arange(len(rows)))] = np.arange(len(rows), dtype=np.int32)
+        return symbols.astype(np.int32), leads
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(id, start in the left index, start in the right one, count) of all."""
@@ -156,15 +170,16 @@ class Index:
         owner = np.repeat(np.arange(len(counts)), counts)
         at = np.arange(int(counts.sum())) - first[owner] + here[owner]
         found = symbols[at]
-        order = np.argsort(owner * np.int64(self.most) + found, kind="stable")
+        order = np.argsort(owner * np.int64(self.most) + found)
         own, sym = owner[order], found[order]
         new = np.ones(len(own), bool)
         new[1:] = (own[1:] != own[:-1]) | (sym[1:] != sym[:-1])
         start = np.flatnonzero(new)
         size = np.diff(np.append(start, len(own)))
-        own, sym = own[start], sym[start]
+        lead = np.minimum.reduceat(leads[at[order]], start) if len(start) else leads[:0]
+        own, sym = own[start], sym[start].astype(np.int64)
         words = sym != 0
-        return tuple(v[words] for v in (own, sym, leads[at[order[start]]], there[own] + start - first[own], size))
+        return tuple(v[words] for v in (own, sym, lead.astype(np.int64), there[own] + start - first[own], size))
 
     def pairs(self):
         """(left id, right id, start in the left index, start in the right one,
@@ -187,7 +202,7 @@ class Index:
 
 def counted(docs: DataFrame, emit, shard_words: int = SHARD_WORDS, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """(lang, phrase, words, f) rows that ``emit(lang, words, index, carried)``
-    yields of every shard, as (phrases, words of one, counts)."""
+    yields of every shard, as (a column for each word, counts)."""
     def rows(batches):
         open_shards: dict[str, Shard] = {}
 
@@ -199,11 +214,12 @@ def counted(docs: DataFrame, emit, shard_words: int = SHARD_WORDS, slice_bytes:
                 open_shards[lang] = Shard(held)
             ids = shard.sequence()
             if len(ids) > 2:
-                for phrases, k, f in emit(lang, words, Index(ids), shard.carried):
+                for columns, f in emit(lang, pa.array(words, pa.binary()), Index(ids), shard.carried):
                     for i in range(0, len(f), 1 << 16):
-                        part = f[i:i + (1 << 16)]
+                        parts, n = [c.slice(i, 1 << 16) for c in columns], min(1 << 16, len(f) - i)
+                        phrases = joined(parts).cast(pa.string()) if parts else pa.repeat(pa.scalar(""), n)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(part), pa.string()), pa.array(phrases[i:i + (1 << 16)], pa.binary()).cast(pa.string()), pa.array([k] * len(part), pa.int32()), pa.array(part, pa.int64())],
+                            [pa.repeat(pa.scalar(lang), n), phrases, pa.array(np.full(n, len(parts), np.int32)), pa.array(f[i:i + n], pa.int64())],
                             names=["lang", "phrase", "words", "f"])
 
         size = 0
@@ -225,17 +241,23 @@ def counted(docs: DataFrame, emit, shard_words: int = SHARD_WORDS, slice_bytes:
     return plain.mapInArrow(rows, "lang string, phrase string, words int, f long").groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
 
 
+def joined(columns):
+    """Words side by side, a blank between them."""
+    return pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary())) if len(columns) > 1 else columns[0]
+
+
 def short_phrases(lang, words, index, carried):
     """Words, pairs and (as the empty phrase) the number of words of a shard;
     what the shard before has counted already is taken off."""
     ids, _, _, f = index.words()
-    yield [words[i] for i in ids], 1, f
-    yield [b""], 0, np.array([f.sum() - len(carried)])
+    yield [words.take(pa.array(ids))], f
+    yield [], np.array([f.sum() - len(carried)])
     if carried:
-        yield carried, 1, np.full(len(carried), -1)
-        yield [b" ".join(carried[i:i + 2]) for i in range(len(carried) - 1)], 2, np.full(len(carried) - 1, -1)
+        again = pa.array(carried, pa.binary())
+        yield [again], np.full(len(again), -1)
+        yield [again[:-1], again[1:]], np.full(len(again) - 1, -1)
     x, y, _, _, f = index.pairs()
-    yield [words[a] + b" " + words[b] for a, b in zip(x.tolist(), y.tolist())], 2, f
+    yield [words.take(pa.array(x)), words.take(pa.array(y))], f
 
 
 def bitmap_of(pairs: DataFrame) -> bytes:
@@ -257,12 +279,13 @@ def triple_counts(docs: DataFrame, frequent_pairs: DataFrame) -> DataFrame:
 
     def emit(lang, words, index, carried):
         pairs = index.pairs()
-        head = lang.encode() + b"\n"
-        slots = np.fromiter((xxhash.xxh64_intdigest(head + words[a] + b" " + words[b], SPARK_SEED) & ((1 << BITS) - 1)
-                             for a, b in zip(pairs[0].tolist(), pairs[1].tolist())), np.int64, len(pairs[0]))
+        key, head = xxhash.xxh64_intdigest, f"{lang}\n".encode()
+        phrases = joined([words.take(pa.array(v)) for v in pairs[:2]])
+        slots = np.fromiter((key(head + p, SPARK_SEED) for p in phrases.to_pylist()), np.uint64, len(phrases))
+        slots = (slots & np.uint64((1 << BITS) - 1)).astype(np.int64)
         kept = (bitmap.value[slots >> 5] >> (slots & 31).astype(np.uint32)) & 1 == 1
-        a, b, c, f = index.triples(pairs, kept)
-        yield [words[i] + b" " + words[j] + b" " + words[k] for i, j, k in zip(a.tolist(), b.tolist(), c.tolist())], 3, f
+        *ids, f = index.triples(pairs, kept)
+        yield [words.take(pa.array(i)) for i in ids], f
 
     return counted(docs, emit)
 
@@ -275,9 +298,10 @@ SALTS = 8
 def phrase_counts(docs: DataFrame, least: int) -> DataFrame:
     """(lang, phrase, words, f): phrases of one to three words with ``least``
     occurrences or more, and each language's number of words as the empty one."""
-    short = staged(counted(docs, short_phrases).where((F.col("f") >= least) | (F.col("words") == 0)), "phrases-short")
-    triples = triple_counts(docs, short.where("words = 2")).where(F.col("f") >= least)
-    return staged(short.unionByName(triples), "phrases")
+    with arrow_rows(docs.sparkSession, ROWS_AT_ONCE):
+        short = staged(counted(docs, short_phrases).where((F.col("f") >= least) | (F.col("words") == 0)), "phrases-short")
+        triples = triple_counts(docs, short.where("words = 2")).where(F.col("f") >= least)
+        return staged(short.unionByName(triples), "phrases")
 
 
 def scored(counts: DataFrame) -> DataFrame:
