@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,27 +84,41 @@ def append_columns(df: DataFrame, text: str, fields: list[StructField], compute)
     return df.mapInArrow(rows, schema)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int):
+    """Jobs that run inside send at most ``most`` rows to Python at once: rows of
+    whole texts or sets are large, and a batch is held several times over."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 #: Bits of an id bitmap: 2 MB, whatever the number of ids.
 BITMAP_BITS = 24
 
 
-def id_bitmap(ids: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of the hashes of ``ids``: one bit each, of a fixed number.  It
-    is a filter before a join, not instead of one: no id is missed, and more
-    ids than bits only let more rows through."""
-    slot = F.xxhash64(column).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
-    words = (ids.select(slot.alias("slot")).groupBy(F.shiftright("slot", 5).alias("word"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 31 as int)))").alias("bits")).toArrow())
-    out = np.zeros(1 << (BITMAP_BITS - 5), np.uint32)
-    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
-    return out
+def _slot(key: Column) -> Column:
+    return F.xxhash64(key).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+
 
+def id_bitmap(ids: DataFrame, column: str) -> DataFrame:
+    """(word, bits): a bitmap of the hashes of ``ids``, a bit each, in words of
+    63 bits: at most 2**BITMAP_BITS / 63 rows.  It is a filter before a join, not
+    instead of one: no id is missed, and more ids than bits only let more rows
+    through."""
+    return (ids.select(_slot(F.col(column)).alias("slot")).groupBy(F.expr("slot div 63").alias("word"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(slot % 63 as int)))").alias("bits")))
 
-def may_be_in(key: Column, bitmap: np.ndarray) -> Column:
-    """False only where ``key`` is surely not in the bitmap's ids."""
-    @F.pandas_udf("boolean")
-    def test(hashes: pd.Series) -> pd.Series:
-        slot = hashes.to_numpy() & ((1 << BITMAP_BITS) - 1)
-        return pd.Series((bitmap[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1 == 1)
 
-    return test(F.xxhash64(key))
+def flagged(df: DataFrame, key: Column, bitmap: DataFrame, name: str) -> DataFrame:
+    """``df`` with a column ``name``, false only where ``key`` is surely not in
+    the bitmap's ids.  The bitmap has a fixed greatest size and is broadcast."""
+    slot, word, bits = fresh(df, "slot", "word", "bits")
+    words = F.broadcast(bitmap.select(F.col("word").alias(word), F.col("bits").alias(bits)))
+    joined = df.withColumn(slot, _slot(key)).join(words, F.expr(f"{slot} div 63") == F.col(word), "left")
+    hit = F.expr(f"coalesce({bits} & shiftleft(1L, cast({slot} % 63 as int)), 0L) <> 0")
+    return joined.withColumn(name, hit).drop(slot, word, bits)

@@ -14,9 +14,11 @@ only shapes the orders: any sketch gives the same links.
 
 1. Documents with equal sets form a class, named by a 64-bit hash of the set;
    from here on one document stands for its class.
-2. Prefix tokens of the first order meet on the token.  Of a token's classes
-   only the pairs (class, centre) are formed, a star instead of all pairs; each
-   class keeps the centre with which it shares most tokens.
+2. Prefix tokens of the first order meet on the token.  Those that two classes
+   share are found from the bare tokens, packed by hash bucket; a bitmap of them,
+   of a fixed size, keeps most others from the shuffles that follow.  Of a token's
+   classes only the pairs (class, centre) are formed, a star instead of all pairs;
+   each class keeps the centre with which it shares most tokens.
 3. These pairs are measured on whole sets; connected components of the links
    follow.
 4. Every pair of classes that may still be linked and are in different
@@ -44,12 +46,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, fresh, id_bitmap, may_be_in, staged
+from .common import arrow_rows, ascii_lower, flagged, fresh, id_bitmap, staged
 from .components import connected_components
 from .texts import SPACE, chunks, mix, runs, shingle_hashes, word_hashes
 
-#: Counters of the frequency sketch: 4 MB in all, whatever the corpus.
-SKETCH_BITS = 19
+#: Counters of the frequency sketch: 8 MB in all, whatever the corpus; a task
+#: sends them in blocks of SKETCH_BLOCK.
+SKETCH_BITS = 20
+SKETCH_BLOCK = 1 << 13
+#: Bits of the bitmap of shared tokens: 8 MB, whatever their number.
+SHARED_BITS = 26
+#: Prefix tokens that are counted together.
+BUCKET_TOKENS = 1 << 20
+#: Rows of texts or sets that are sent to Python at once.
+ROWS_AT_ONCE = 1000
 #: Permutations of the token orders; the first one forms the candidates.
 ORDER_SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D)
 PACKED = 6  # bytes of a shingle hash inside a packed set
@@ -86,8 +96,9 @@ def row_key(key: str, text: str) -> Column:
 
 def frequency_sketch(texts: DataFrame, size: int) -> np.ndarray:
     """Token counts of all texts in 2**SKETCH_BITS counters.  Each task sends
-    its counters once; Spark sums them, and the sums alone reach the driver."""
-    bits = SKETCH_BITS
+    its counters once, packed; Spark sums them, and the sums alone reach the
+    driver."""
+    bits, width = SKETCH_BITS, SKETCH_BLOCK
 
     def count(batches):
         total = np.zeros(1 << bits, np.int64)
@@ -95,15 +106,21 @@ def frequency_sketch(texts: DataFrame, size: int) -> np.ndarray:
             for _, _, data, offs in chunks(batch.column("text")):
                 tokens, _ = shingles_of(data, offs, size)
                 total += np.bincount((tokens & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
-        used = np.flatnonzero(total)
-        for k in range(0, len(used), 1 << 16):
-            part = used[k:k + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[part], pa.int64())], names=["counter", "n"])
+        blocks = total.reshape(-1, width)
+        for k in np.flatnonzero(blocks.any(1)).tolist():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([blocks[k].tobytes()], pa.binary())], names=["block", "counts"])
 
-    found = texts.mapInArrow(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
-    sketch = np.zeros(1 << bits, np.int64)
-    sketch[found.column("counter").to_numpy()] = found.column("n").to_numpy()
-    return sketch
+    def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        total = np.zeros(width, np.int64)
+        for raw in table.column("counts"):
+            total += np.frombuffer(raw.as_buffer(), np.int64)
+        return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["block", "counts"])
+
+    found = texts.mapInArrow(count, "block int, counts binary").groupBy("block").applyInArrow(add, "block int, counts binary").toArrow()
+    sketch = np.zeros((1 << bits) // width * width, np.int64).reshape(-1, width)
+    for block, raw in zip(found.column("block").to_pylist(), found.column("counts").to_pylist()):
+        sketch[block] = np.frombuffer(raw, np.int64)
+    return sketch.ravel()
 
 
 def order_levels(sketch: np.ndarray) -> np.ndarray:
@@ -159,7 +176,8 @@ def class_sets(texts: DataFrame, wanted: DataFrame, size: int, percent: int, ske
     orders, of each (row, class) in ``wanted``.  A bitmap of the wanted rows,
     of a fixed size, keeps most other texts out of the shuffle."""
     levels, seeds = order_levels(sketch).astype(np.uint8), ORDER_SEEDS[1:]
-    found = texts.where(may_be_in(F.col("row"), id_bitmap(wanted, "row"))).join(wanted, "row").select("class", "text")
+    near = flagged(texts.select("row", "text"), F.col("row"), id_bitmap(wanted, "row"), "near").where("near")
+    found = near.join(wanted, "row").select("class", "text")
 
     def rows(batches):
         met = set()
@@ -228,18 +246,84 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets_of, percent: int, name:
     return staged(measured(met.select("a", "b", "set_a", "set_b"), percent), f"{name}-links")
 
 
-def shared_tokens(found: DataFrame) -> DataFrame:
-    """(token, class, n, prefix, df, rank): the prefix tokens that two classes
-    or more have, in how many they are, and their place among the class's
-    prefix tokens from the most frequent one down (one global order)."""
-    tokens = found.where("first is not null").select("class", "n", F.size("first").alias("prefix"), F.explode("first").alias("token"))
-    by_token = Window.partitionBy("token")
-    shared = staged(
-        tokens.withColumn("least", F.min("class").over(by_token)).withColumn("most", F.max("class").over(by_token))
-        .where("least <> most").select("token", "class", "n", "prefix").distinct(), "jaccard-tokens")
-    spread = shared.groupBy("token").agg(F.count("*").alias("df"))
-    down = Window.partitionBy("class").orderBy(F.desc("df"), F.desc("token"))
-    return staged(shared.join(spread, "token").withColumn("rank", F.row_number().over(down)), "jaccard-shared")
+def one_of_class(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """(class, n, first) of each class once.  Only classes that several tasks
+    have met are shuffled with their tokens."""
+    again = id_bitmap(classes.where("carriers > 1"), "class")
+    rows = flagged(found.where("first is not null").select("class", "n", "first"), F.col("class"), again, "again")
+    alone = rows.where("not again").drop("again")
+    return alone.unionByName(rows.where("again").groupBy("class").agg(F.first("n").alias("n"), F.first("first").alias("first")))
+
+
+def common_tokens(firsts: DataFrame) -> DataFrame:
+    """(token, df): the prefix tokens of two classes or more, and of how many.
+    The tokens are dealt by hash to buckets of about ``BUCKET_TOKENS`` and go
+    there packed, each once from a batch with its count."""
+    total = firsts.agg(F.sum(F.size("first").cast("long"))).first()[0] or 0
+    buckets = 1 + total // BUCKET_TOKENS
+
+    def deal(batches):
+        for batch in batches:
+            tokens, counts = np.unique(batch.column(0).flatten().to_numpy().view(np.uint64), return_counts=True)
+            bucket = ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            tokens, counts, bucket = tokens[order], counts[order].astype(np.uint32), bucket[order]
+            start = np.flatnonzero(np.diff(bucket, prepend=-1))
+            ends = np.append(start[1:], len(bucket))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[start], pa.int64()), pa.array([tokens[i:j].tobytes() for i, j in zip(start, ends)], pa.binary()), pa.array([counts[i:j].tobytes() for i, j in zip(start, ends)], pa.binary())],
+                names=["bucket", "tokens", "counts"])
+
+    def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        tokens = np.concatenate([np.frombuffer(t.as_buffer(), np.uint64) for t in table.column("tokens")])
+        counts = np.concatenate([np.frombuffer(c.as_buffer(), np.uint32) for c in table.column("counts")])
+        order = np.argsort(tokens, kind="stable")
+        tokens, counts = tokens[order], counts[order].astype(np.int64)
+        start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
+        df = np.add.reduceat(counts, start) if len(start) else counts
+        many = df > 1
+        return pa.Table.from_arrays([pa.array(tokens[start][many].view(np.int64), pa.int64()), pa.array(df[many], pa.int64())], names=["token", "df"])
+
+    dealt = firsts.select("first").mapInArrow(deal, "bucket long, tokens binary, counts binary")
+    return dealt.groupBy("bucket").applyInArrow(count, "token long, df long")
+
+
+def token_bitmap(common: DataFrame) -> np.ndarray:
+    """A bit for the low bits of each token: a filter of a fixed size."""
+    slot = F.col("token").bitwiseAND(F.lit((1 << SHARED_BITS) - 1))
+    words = common.groupBy(F.shiftright(slot, 5).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(token & 31 as int)))").alias("bits")).toArrow()
+    out = np.zeros(1 << (SHARED_BITS - 5), np.uint32)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
+    return out
+
+
+def shared_tokens(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """(token, class, n, prefix, df, rank, hub): the prefix tokens that two
+    classes or more have, in how many they are, their place among the class's
+    prefix tokens from the most frequent one down (one global order), and how
+    common the class's prefix is."""
+    firsts = one_of_class(found, classes)
+    common = staged(common_tokens(firsts), "jaccard-common")
+    bitmap = found.sparkSession.sparkContext.broadcast(token_bitmap(common))
+
+    def keep(batches):
+        for batch in batches:
+            lists = batch.column("first")
+            tokens = lists.flatten().to_numpy().view(np.uint64)
+            slot = tokens & np.uint64((1 << SHARED_BITS) - 1)
+            good = (bitmap.value[(slot >> np.uint64(5)).astype(np.int64)] >> (slot & np.uint64(31)).astype(np.uint32)) & 1 == 1
+            size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(size)), size)[good]
+            columns = [batch.column(c).take(pa.array(row)) for c in ("class", "n")]
+            for i in range(0, len(row), 1 << 16):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tokens[good][i:i + (1 << 16)].view(np.int64)), *(c.slice(i, 1 << 16) for c in columns), pa.array(size[row[i:i + (1 << 16)]], pa.int64())],
+                    names=["token", "class", "n", "prefix"])
+
+    rows = firsts.select("class", "n", "first").mapInArrow(keep, "token long, class long, n long, prefix long").join(common, "token")
+    of = Window.partitionBy("class")
+    down = of.orderBy(F.desc("df"), F.desc("token"))
+    return staged(rows.withColumn("rank", F.row_number().over(down)).withColumn("hub", F.sum("df").over(of) / F.col("prefix")), "jaccard-shared")
 
 
 def may_link(percent: int):
@@ -254,8 +338,7 @@ def star_pairs(shared: DataFrame, percent: int) -> DataFrame:
     centre of a token is that of its classes whose prefix is most common (the
     original of a family of edited copies, as a rule); a class takes the centre
     that it meets on most tokens."""
-    hubs = staged(shared.groupBy("class").agg((F.sum("df") / F.first("prefix")).alias("hub")), "jaccard-hubs")
-    centres = shared.join(hubs, "class").groupBy("token").agg(F.max(F.struct("hub", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("rank").alias("rank_b"))).alias("best")).select("token", "best.*")
+    centres = shared.groupBy("token").agg(F.max(F.struct("hub", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("rank").alias("rank_b"))).alias("best")).select("token", "best.*")
     members = shared.select("token", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("rank").alias("rank_a"))
     met = members.join(centres, "token").where((F.col("a") != F.col("b")) & may_link(percent))
     best = met.groupBy("a", "b").agg(F.count("*").alias("common")).groupBy("a").agg(F.max(F.struct("common", "b")).alias("m"))
@@ -284,16 +367,21 @@ def crossing_pairs(shared: DataFrame, components: DataFrame, centres: DataFrame,
 def grouped(docs: DataFrame, size: int, percent: int, key: str, text: str) -> DataFrame:
     """(doc_id, row, n, root) of every document: those that links reach from
     each other have one root, null for the empty set."""
+    with arrow_rows(docs.sparkSession, ROWS_AT_ONCE):
+        return _grouped(docs, size, percent, key, text)
+
+
+def _grouped(docs: DataFrame, size: int, percent: int, key: str, text: str) -> DataFrame:
     texts = docs.select(F.col(key).alias("doc_id"), ascii_lower(F.col(text)).alias("text"), row_key(key, text).alias("row"))
     sketch = frequency_sketch(texts.select("text"), size)
     found = staged(document_classes(texts, size, percent, sketch), "jaccard-documents")
     # one document stands for its class
-    classes = staged(found.where("class is not null").groupBy("class").agg(F.min("row").alias("row"), F.first("n").alias("n")), "jaccard-classes")
+    classes = staged(found.where("class is not null").groupBy("class").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.count("first").alias("carriers")), "jaccard-classes")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         return class_sets(texts, wanted, size, percent, sketch)
 
-    shared = shared_tokens(found)
+    shared = shared_tokens(found, classes)
     stars = confirmed(star_pairs(shared, percent), classes, sets_of, percent, "jaccard-star", all_orders=False)
     components = connected_components(stars.where("linked"))
     centres = stars.select(F.col("a").alias("class"), F.col("b").alias("centre"), "distance")
@@ -329,12 +417,13 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "d
     judged = rooted.join(first, "root", "left").select("row", (F.col("root").isNull() | (F.col("row") == F.col("first"))).cast("int").alias("stays"))
     rows = judged.groupBy("row").agg(F.count("*").alias("n"), F.max("stays").alias("stays"))
     odd = staged(rows.where("n > 1 or stays = 0").select(F.col("row").alias(of), F.col("stays").alias(stays)), "jaccard-odd")
-    bitmap = id_bitmap(odd, of)
     columns = [F.col(f"`{c}`") for c in docs.columns]
     keyed = docs.withColumn(row, row_key(key, text))
-    may_go = F.col(key).isNotNull() & may_be_in(F.col(row), bitmap)
-    plain = keyed.where(~may_go)
-    rest = keyed.where(may_go).join(odd, F.col(row) == F.col(of), "left")
+    may_go, = fresh(keyed, "may_go")
+    keyed = flagged(keyed, F.col(row), id_bitmap(odd, of), may_go)
+    goes = F.col(key).isNotNull() & F.col(may_go)
+    plain = keyed.where(~goes)
+    rest = keyed.where(goes).join(odd, F.col(row) == F.col(of), "left")
     alone = rest.where(F.col(of).isNull())
     kept = rest.where(F.col(stays) == 1).dropDuplicates([row])
     return plain.select(*columns).unionByName(alone.select(*columns)).unionByName(kept.select(*columns))
