@@ -18,15 +18,18 @@ have a prior: menus, headers, footers, sidebars, notices, adverts, forms, media
 and reader comments have importance 0, article and main importance 1: whatever is inside
 them is never removed by entropy.
 
-From the pruned page the text inside article or main is taken (of the body if
-there is none); character references are decoded, white space inside a block
-becomes one space, and blocks are joined by line feeds.
-
-Defined cases: null and empty html give the empty text; pages without host are
-not merged with others; nodes on fewer than ``MIN_PAGES`` pages are never
-removed by entropy; a page that pruning by entropy would leave empty keeps its
-text; unclosed tags, stray end tags and cut-off pages are read as they come;
-repeated rows stay rows.
+What pruning leaves is the text: blocks outside article and main stay where the
+tree finds them important.  A page that no tree can judge (without host, or of a
+host that has no node on ``MIN_PAGES`` pages) gives the text inside article or
+main, of the body if there is none.  Character references are decoded, white
+space inside a block becomes one space, and blocks are joined by line feeds.
+
+Defined cases: null and empty html give the empty text; nodes on fewer than
+``MIN_PAGES`` pages are never removed by entropy; a page that pruning by entropy
+would leave empty keeps its text; unclosed tags, stray end tags and cut-off pages
+are read as they come; a very long page is read whole, as one row; repeated rows
+stay rows, and count as pages of the tree; ties do not occur; an empty table
+gives an empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -213,15 +216,16 @@ class Page:
                 self.text.append("<")
                 at = lt + 1
 
-    def main_text(self, noise: frozenset) -> str:
-        for drop in (noise, frozenset()):
+    def main_text(self, noise: frozenset | None) -> str:
+        """What is left without the nodes in ``noise``; None where no tree has
+        judged the page: then, if there is an article or main, what is in it."""
+        kept = self.blocks
+        if noise is None:
+            kept = [b for b in kept if b[1]] or kept
+        else:
             # article and main have importance 1, whatever the entropy of what is in them
-            kept = [b for b in self.blocks if b[1] or not drop.intersection(b[0])] if drop else self.blocks
-            if any(b[1] for b in kept):
-                kept = [b for b in kept if b[1]]
-            if kept or not drop:
-                return "\n".join(b[2] for b in kept)
-        return ""
+            kept = [b for b in kept if b[1] or not noise.intersection(b[0])] or kept
+        return "\n".join(b[2] for b in kept)
 
 
 def _digest(text: str) -> int:
@@ -264,9 +268,9 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
 
 def noise_nodes(tree: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, noise): the nodes whose whole branch is of low importance.  A
-    task gets the nodes of one host that are on ``min_pages`` pages or more;
-    rarer ones count as important children only."""
+    """(host, noise): the nodes whose whole branch is of low importance, an empty
+    list where there is none.  A task gets the nodes of one host that are on
+    ``min_pages`` pages or more; rarer ones count as important children only."""
     seldom = tree.where(F.col("m") < min_pages).groupBy(F.col("host").alias("h"), F.col("parent").alias("p")).agg(F.count("*").alias("seldom"))
     known = tree.where(F.col("m") >= min_pages).join(seldom, (F.col("host") == F.col("h")) & (F.col("node") == F.col("p")), "left").drop("h", "p").fillna(0, ["seldom"])
 
@@ -294,7 +298,7 @@ def noise_nodes(tree: DataFrame, threshold: float = THRESHOLD, min_pages: int =
                 composite[node] = r.content if r.texts else r.presentation
             highest[node] = max([composite[node], *[highest[c] for c in inner], *([1.0] * (r.seldom > 0))])
         noise = sorted(n for n, v in highest.items() if v < threshold)
-        return pd.DataFrame({"host": [nodes.host.iloc[0]], "noise": [noise]}) if noise else pd.DataFrame({"host": [], "noise": []})
+        return pd.DataFrame({"host": [nodes.host.iloc[0]], "noise": [noise]})
 
     return known.select("host", "node", "parent", "styles", "texts", "presentation", "content", "seldom").groupBy("host").applyInPandas(judge, "host string, noise array<long>")
 
@@ -312,7 +316,8 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
         for batch in batches:
             out = []
             for page, noise in zip(batch.column("html"), batch.column("noise")):
-                out.append(Page(page.as_py(), names).main_text(frozenset(noise.as_py() or ())) if page.is_valid else "")
+                judged = frozenset(noise.as_py()) if noise.is_valid else None
+                out.append(Page(page.as_py(), names).main_text(judged) if page.is_valid else "")
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("url"), pa.array(out, pa.string())], names=["key", "url", "text"])
 
     return joined.mapInArrow(rows, schema).select(F.col("key").alias(key), F.col("url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))

@@ -1,4 +1,6 @@
 import html
+import math
+import random
 import re
 
 import pytest
@@ -10,7 +12,7 @@ SCHEMA = "page_id long, url string, html string"
 
 
 def text(page):
-    return Page(page, {}).main_text(frozenset())
+    return Page(page, {}).main_text(None)
 
 
 @pytest.mark.parametrize("page, want", [
@@ -75,6 +77,64 @@ def test_articles_keep_what_all_pages_of_a_host_share(spark):
             assert got == {k: f"Same\nSummary\n{k if unique else 'one'} story" for k in range(8)}
 
 
+@pytest.mark.parametrize("n, make, want", [
+    (8, lambda k: f"<div class=x>Text {k}</div>", lambda k: f"Text {k}"), (10, lambda k: f"<p>Only {k}</p>", lambda k: f"Only {k}"),
+    (9, lambda k: f"<article><p>Story {k}</p></article>", lambda k: f"Story {k}")])
+def test_hosts_without_a_noise_node(spark, n, make, want):
+    rows = [(k, f"http://d.com/{k}", make(k)) for k in range(n)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {k: want(k) for k in range(n)}
+
+
+def test_the_tree_judges_what_is_beside_the_article(spark):
+    page = "<div class=top>Home</div><div class=lead>Lead of {k}: {k}{k}</div><article><p>Story {k}</p></article><div class=end>All rights reserved</div>"
+    for n, lead in ((20, True), (3, False)):
+        rows = [(k, f"http://e.com/{k}", page.format(k=k)) for k in range(n)]
+        got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+        assert got == {k: (f"Lead of {k}: {k}{k}\n" if lead else "") + f"Story {k}" for k in range(n)}
+
+
+def tree_by_hand(pages):
+    """(chain of labels -> m, styles, texts, presentation, content) of plain
+    pages in the form [(label, text or [children])]."""
+    seen = {}
+
+    def walk(node, chain, page):
+        label, inner = node
+        chain = (*chain, label)
+        kids = inner if isinstance(inner, list) else []
+        seen.setdefault(chain, {}).setdefault(page, []).append((" ".join(c[0] for c in kids), None if isinstance(inner, list) else inner))
+        for c in kids:
+            walk(c, chain, page)
+
+    for p, roots in enumerate(pages):
+        for r in roots:
+            walk(r, (), p)
+    out = {}
+    for chain, by in seen.items():
+        m = len(by)
+        styles, texts = {}, {}
+        for shown in by.values():
+            style = " ".join(s for s, _ in shown if s)
+            styles[style] = styles.get(style, 0) + 1
+            for t in {t for _, t in shown if t}:
+                texts[t] = texts.get(t, 0) + 1
+        log = (lambda x: math.log(x) / math.log(m)) if m > 1 else (lambda x: 0.0)
+        presentation = -sum(k / m * log(k / m) for k in styles.values()) if m > 1 else 1.0
+        content = 1 - sum(log(k) for k in texts.values()) / len(texts) if m > 1 and texts else 1.0
+        out[chain] = (m, len(styles), len(texts), round(presentation, 9), round(content, 9))
+    return sorted(out.values())
+
+
+def test_entropies_equal_a_count_by_hand(spark):
+    r = random.Random(2)
+    pages = [[("div", [("p", r.choice(["same", "same", f"own {k}"]))] * 1 + [("h2", f"t{k % 3}")] * r.randint(0, 1) + [("section", [("p", f"x{k // 2}")] * 1)] * r.randint(0, 1))] for k in range(24)]
+    mark = lambda n: f"<{n[0]}>" + ("".join(map(mark, n[1])) if isinstance(n[1], list) else n[1]) + f"</{n[0]}>"
+    html_rows = [("h.com", "".join(map(mark, p))) for p in pages]
+    got = style_tree(spark.createDataFrame(html_rows, "host string, html string")).collect()
+    assert sorted((x.m, x.styles, x.texts, round(x.presentation, 9), round(x.content, 9)) for x in got) == tree_by_hand(pages)
+
+
 def test_style_tree_counts(spark):
     tree = {(r.m, r.styles, r.texts): r for r in style_tree(spark.createDataFrame(site(10), SCHEMA).selectExpr("'a.com' AS host", "html")).collect()}
     assert {m for m, _, _ in tree} == {10}
