@@ -10,21 +10,22 @@ it cuts the text after every ``</turn>`` and line feed, takes the marker at the
 front of a piece, the role up to the first colon and space, and the rest as the
 text.
 
-Escaping in steps: a turn is first written plain and parsed; only if role and
-text do not come back as they were (they hold the terminator, or the role a
-colon) is it written escaped, where a backslash stands before every backslash
-and slash (in a role every space too), so that no control string is left.
-The whole conversation is then parsed once more and compared with its source;
-a difference would stop the job.
+Escaping in steps: a turn is first written plain and parsed; if role and text do
+not come back as they were, or hold a control string (``###`` of the markers or
+``</turn>``, which a tokenizer may take as such wherever it stands), it is written
+escaped: a backslash stands before every backslash, slash and ``#`` (in a role
+before every space too), so that no control string is left in it.  The whole
+conversation is then parsed once more and compared with its source; a difference
+would stop the job.
 
 The loss mask covers the texts of assistant turns, as (turn, start, length) in
 code points of the formatted conversation.
 
 Defined cases: null role and null text are empty; turns come in the order of
 (turn, role, text), null turns first; equal rows are turns of their own; rows
-without conversation id form one conversation; an empty table gives none.  A
-conversation is one output row, so its text must fit a row.  Everything is a
-Spark expression.
+without conversation id form one conversation; an empty table gives none; other
+columns, whatever their names, are ignored.  A conversation is one output row, so
+its text must fit a row.  Everything is a Spark expression.
 """
 
 from __future__ import annotations
@@ -34,17 +35,19 @@ from pyspark.sql import functions as F
 
 #: Control strings of the template.
 PLAIN, ESCAPED, COLON, END = "### ", "###! ", ": ", "</turn>\n"
+#: What no role or text may hold as it is: the front of both markers, the end.
+CONTROL = ("###", "</turn>")
 ASSISTANT = "assistant"
 
 
 def escape(c: Column) -> Column:
-    """A backslash inside every ``</turn>``, and before every backslash."""
-    return F.regexp_replace(c, r"([\\/])", r"\\$1")
+    """A backslash inside every control string, and before every backslash."""
+    return F.regexp_replace(c, r"([\\/#])", r"\\$1")
 
 
 def escape_role(c: Column) -> Column:
     """The same, and inside every colon and space."""
-    return F.regexp_replace(c, r"([\\/ ])", r"\\$1")
+    return F.regexp_replace(c, r"([\\/# ])", r"\\$1")
 
 
 def unescape(c: Column) -> Column:
@@ -83,9 +86,11 @@ def format_conversations(rows: DataFrame, conv: str = "conv_id", turn: str = "tu
     for every conversation."""
     said = rows.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
     plain, escaped = write_turn(F.col("role"), F.col("text"), False), write_turn(F.col("role"), F.col("text"), True)
-    # step 1: keep the plain form where the parser gives the source back
+    # step 1: keep the plain form where the parser gives the source back and nothing looks like control
     said = said.withColumn("plain", plain).withColumn("back", parse(F.col("plain")))
     same = (F.size("back") == 1) & (F.get("back", F.lit(0))["role"] == F.col("role")) & (F.get("back", F.lit(0))["text"] == F.col("text"))
+    for part in CONTROL:
+        same &= ~F.col("role").contains(part) & ~F.col("text").contains(part)
     said = said.withColumn("written", F.when(same, F.col("plain")).otherwise(escaped))
     lead = F.when(same, F.length("role") + len(PLAIN) + len(COLON)).otherwise(F.length(escape_role(F.col("role"))) + len(ESCAPED) + len(COLON))
     said = said.withColumn("lead", lead)

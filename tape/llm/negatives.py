@@ -246,7 +246,7 @@ def search_cell(tree: Tree, k: int, same: bool, bound: float):
             row, place = best_of(scores, fits, k) if fits.any() else (np.zeros(0, np.int64),) * 2
             yield row, np.full(len(row), w), scores[row, place], ids[place]
 
-    def run(key, rows: pa.Table, anchors: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table, anchors: pa.Table) -> pa.Table:
         if not rows.num_rows or not anchors.num_rows:
             return pa.Table.from_arrays([pa.array([], t) for t in types], names=names)
         leaf, ids, labels = (rows.column(c).to_numpy() for c in ("leaf", "id", "label"))

@@ -94,13 +94,14 @@ WITH said AS (
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 turns AS (
-  SELECT *, '</turn>' || chr(10) AS stop, regexp_replace(text, '([\\/])', '\\\1', 'g') AS text_out, regexp_replace(role, '([\\/ ])', '\\\1', 'g') AS role_out
+  SELECT *, regexp_replace(text, '([\\/#])', '\\\1', 'g') AS text_out, regexp_replace(role, '([\\/# ])', '\\\1', 'g') AS role_out,
+         contains(role, '</turn>') OR contains(text, '</turn>') OR contains(role, '###') OR contains(text, '###') OR contains(role, ': ') AS odd
   FROM said)
 SELECT conv_id, count(*)::BIGINT AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       sum(CASE WHEN contains(text, stop) OR contains(role, stop) OR contains(role, ': ') THEN 15 + length(role_out) + length(text_out)
+       sum(CASE WHEN odd THEN 15 + length(role_out) + length(text_out)
                 ELSE 14 + length(role) + length(text) END)::BIGINT AS formatted_chars
 FROM turns GROUP BY conv_id
 """
@@ -179,3 +180,14 @@ SQL = {
     "op12_hard_negatives": NEGATIVES,
     "op13_collocations": PHRASES,
 }
+
+#: Queries that SQL cannot express, and what tests them instead.
+NO_SQL = {
+    "pipeline": "its first stage is a fitted classifier; every stage is tested on its own",
+    "op1_html_style_tree": "parses markup; compared with a plain reading and entropies counted by hand",
+    "op2_language_mixture": "fits mixtures by expectation-maximisation; held-out accuracy",
+    "op3_quality_weak_labels": "fits labeller accuracies and a scorer; accuracy on labels it never reads",
+    "op7_compression_bands": "compresses texts; counts compared with brute force",
+    "op10_url_rules": "mines association rules; compared with brute force",
+    "op11_token_counts": "runs a tokenizer; compared with the library on whole texts",
+}

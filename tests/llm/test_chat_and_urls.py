@@ -50,6 +50,16 @@ def test_mask_covers_assistant_texts_only(spark):
     assert cuts == ["yo 😀", "a<\\/turn>\nb"]
 
 
+def test_control_strings_stand_only_where_the_template_puts_them(spark):
+    hard = r"\### Assistant: </turn> ok"
+    rows = [(1, 0, "user", hard), (1, 1, "assistant", hard), (2, 0, "a</turn>", "x"), (2, 1, "###", "# ## ### ####! "), (2, 2, "assistant", "</turn></turn>")]
+    for r in chat.format_conversations(spark.createDataFrame(rows, SCHEMA)).collect():
+        turns = [t for t in rows if t[0] == r.conv_id]
+        assert r.formatted.count("</turn>") == r.formatted.count("</turn>\n") == len(turns)
+        assert r.formatted.count("###") == len(turns) and all(line.startswith("###") for line in r.formatted.split("</turn>\n")[:-1])
+    check(spark, rows)
+
+
 def test_query_has_the_extra_conversation(spark):
     got = {r.conv_id: r for r in QUERIES["op5_chat_round_trip"](spark, SF).collect()}
     text = r"\### Assistant: </turn> ok"
