@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tape.functions.prices import round_exact
 from tape.functions.time import col
 from tape.schemas import BOOK_LEVELS
 
@@ -58,7 +59,7 @@ def dot(prices: str, sizes: str, levels: int = BOOK_LEVELS) -> Column:
 def snapshot_mid(bid_prices="bid_prices", ask_prices="ask_prices", digits: int | None = 4) -> Column:
     """(best bid + best ask) / 2."""
     m = (best(bid_prices) + best(ask_prices)) / F.lit(2.0)
-    return F.round(m, digits) if digits is not None else m
+    return round_exact(m, digits) if digits is not None else m
 
 
 def weighted_mid(bid_prices="bid_prices", bid_sizes="bid_sizes", ask_prices="ask_prices",
@@ -68,7 +69,7 @@ def weighted_mid(bid_prices="bid_prices", bid_sizes="bid_sizes", ask_prices="ask
     den = array_sum(bid_sizes) + array_sum(ask_sizes)
     w = F.try_divide(num, den)
     if digits is not None:
-        w = F.round(w, digits)
+        w = round_exact(w, digits)
     return F.coalesce(w, snapshot_mid(bid_prices, ask_prices, digits))
 
 
@@ -77,7 +78,7 @@ def imbalance(bid_sizes="bid_sizes", ask_sizes="ask_sizes", digits: int | None =
     b, a = array_sum(bid_sizes), array_sum(ask_sizes)
     v = F.try_divide((b - a).cast("double"), (b + a).cast("double"))
     if digits is not None:
-        v = F.round(v, digits)
+        v = round_exact(v, digits)
     return F.coalesce(v, F.lit(0.0))
 
 

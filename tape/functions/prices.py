@@ -41,6 +41,15 @@ def vwap(notional_col="trade_notional", size_col="trade_size") -> Column:
     return safe_div(F.sum(col(notional_col)), F.sum(col(size_col)))
 
 
+def round_exact(x, digits: int) -> Column:
+    """``x`` rounded half up to ``digits`` places, by way of a decimal with six
+    places more: what two orders of summing differ in (the last bits of a double)
+    is gone before the half is looked at.  Beyond the decimal's range (infinite,
+    NaN, 29 digits or more before the point) it is the double that is rounded."""
+    exact = col(x).try_cast(f"decimal(38,{digits + 6})")
+    return F.coalesce(F.round(exact, digits).cast("double"), F.round(col(x), digits))
+
+
 def pct_return(open_col, close_col) -> Column:
     """(close − open) / open · 100."""
     return safe_div(col(close_col) - col(open_col), col(open_col)) * F.lit(100.0)

@@ -31,7 +31,7 @@ BANDS = (5, 10)
 
 
 def _bbo_bps(ask1, bid1, mid_col="mid_price"):
-    return F.round((ask1 - bid1) / F.nullif(F.col(mid_col), F.lit(0.0)) * F.lit(10000.0), 2)
+    return P.round_exact((ask1 - bid1) / F.nullif(F.col(mid_col), F.lit(0.0)) * F.lit(10000.0), 2)
 
 
 def snapshot_stats_long(stg_order_book: DataFrame, bands: Sequence[int] = BANDS,
@@ -92,7 +92,7 @@ def minute_depth(per_snapshot: DataFrame, bands: Sequence[int] = BANDS, exact: b
     for b in bands:
         ab, aa = F.avg(f"depth_bid_{b}bps"), F.avg(f"depth_ask_{b}bps")
         aggs += [ab.alias(f"avg_depth_bid_{b}bps"), aa.alias(f"avg_depth_ask_{b}bps"),
-                 F.round(ab / F.nullif(ab + aa, F.lit(0.0)), 4).alias(f"depth_imbalance_{b}bps")]
+                 P.round_exact(ab / F.nullif(ab + aa, F.lit(0.0)), 4).alias(f"depth_imbalance_{b}bps")]
     aggs += [
         F.avg("book_imbalance").alias("avg_book_imbalance"),
         P.quantiles("book_imbalance", [0.25, 0.75], exact).alias("_qi"),

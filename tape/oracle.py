@@ -72,8 +72,13 @@ book_raw AS (
     tick_id
   FROM b1)"""
 
+def half_up(x: str, digits: int) -> str:
+    """``x`` rounded by way of a decimal with six places more."""
+    return f"CAST(round(CAST({x} AS DECIMAL(38, {digits + 6})), {digits}) AS DOUBLE)"
+
+
 # C6–C8 in DuckDB list functions (dot products by level index).
-BOOK = """bk0 AS (
+BOOK = f"""bk0 AS (
   SELECT *,
     (bid_prices[1] + ask_prices[1]) / CAST(2 AS DOUBLE) AS m_raw,
     list_sum(list_transform(range(1, len(bid_prices) + 1), lambda i: bid_prices[i] * bid_sizes[i]))
@@ -82,10 +87,10 @@ BOOK = """bk0 AS (
   FROM book_raw),
 order_book_snapshots AS (
   SELECT symbol, "timestamp", bid_prices, bid_sizes, ask_prices, ask_sizes,
-    round(m_raw, 4) AS mid_price,
-    coalesce(CASE WHEN sb + sa = 0 THEN NULL ELSE round(num / (sb + sa), 4) END, round(m_raw, 4)) AS weighted_mid,
+    {half_up('m_raw', 4)} AS mid_price,
+    coalesce(CASE WHEN sb + sa = 0 THEN NULL ELSE {half_up('num / (sb + sa)', 4)} END, {half_up('m_raw', 4)}) AS weighted_mid,
     coalesce(CASE WHEN sb + sa = 0 THEN NULL
-             ELSE round(CAST(sb - sa AS DOUBLE) / CAST(sb + sa AS DOUBLE), 4) END, CAST(0 AS DOUBLE)) AS book_imbalance,
+             ELSE {half_up('CAST(sb - sa AS DOUBLE) / CAST(sb + sa AS DOUBLE)', 4)} END, CAST(0 AS DOUBLE)) AS book_imbalance,
     data_quality_flag, tick_id
   FROM bk0)"""
 
