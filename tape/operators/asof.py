@@ -3,7 +3,7 @@ symbol — the one join the source system names as missing.
 
 One plan for every size, without a per-symbol partition or pairwise candidates:
 
-1. Tag and union both sides; bucket by a few seconds.
+1. Tag and union both sides; bucket by the minute.
 2. Inside (symbol, bucket), ``last(quote, ignorenulls)`` over the running
    frame gives the prevailing quote when one exists earlier in the bucket.
 3. For rows whose bucket has no earlier quote, carry the last quote of the

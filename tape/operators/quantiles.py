@@ -3,61 +3,75 @@
 ``percentile`` keeps a value→count map per group and merges it in one task,
 so a group holding a third of the rows is one large in-memory map.  This plan
 gives the same numbers (Spark's interpolation: position q·(n−1), values at the
-floor and ceiling ranks) while every step stays bounded:
+floor and ceiling ranks), is lazy, and every step stays bounded:
 
-1. distinct-value counts per group (partial aggregation; the shuffle key
-   includes the value, so a hot group spreads over many tasks)
-2. range partitioning on (group, value): a hot group's values are split into
-   contiguous chunks over many partitions; written once, so that the partition
-   numbers are data and every later step sees the same chunks
-3. running counts inside each (group, partition) chunk, plus per-chunk offsets
-   (a table of groups × partitions) → the rank interval of every distinct value
-4. keep the values whose interval holds a target rank (≤ 2 per quantile per
-   group) and interpolate
+1. every value falls into a *bucket* that only grows with the value (a fixed
+   function of it: steps of about 1/4096 of its size)
+2. counts per (group, bucket, value): partial aggregation, and a hot group
+   spreads over many tasks
+3. counts per (group, bucket), and running sums over a group's buckets: where
+   each bucket's ranks begin, and the group's size
+4. only the buckets that hold a target rank (≤ 2 per quantile and group) meet
+   their values again; running counts inside these buckets give the ranks
+5. pick the values at the target ranks and interpolate
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tape.operators.windows import null_safe_join, numbered_ranges
+from tape.operators.windows import null_safe_join
+
+#: Buckets of a doubling of the value, about.
+STEPS = 4096
+
+
+def value_bucket(value: Column) -> Column:
+    """A whole number that never falls as ``value`` grows; NaN comes last, as in
+    Spark's order."""
+    x = value.cast("double")
+    size = F.floor(F.log1p(F.abs(x)) * F.lit(float(STEPS)))
+    return F.when(F.isnan(x), F.lit(2**63 - 1)).when(x < 0, -1 - size).otherwise(size)
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float],
                     names: Sequence[str] | None = None, partitions: int | None = None) -> DataFrame:
     """One row per group: ``keys`` + one double column per quantile in ``qs``
-    (named by ``names``, default ``q<i>``).  NULL values are ignored."""
+    (named by ``names``, default ``q<i>``).  NULL values are ignored.
+    ``partitions`` is the number of tasks that the value counts are dealt to
+    (else Spark's)."""
     keys = list(keys)
     names = list(names or [f"q{i}" for i in range(len(qs))])
-    vc = (df.where(F.col(value).isNotNull())
-          .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
-    r = numbered_ranges(vc, [*keys, value], partitions).drop("_mid")
-    # chunk sizes from the partitioned counts (partial aggregation, small shuffle)
-    chunks = r.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_cc"))
-    n = chunks.groupBy(*keys).agg(F.sum("_cc").alias("_n"))
-    chunk_rows = Window.partitionBy(*keys, "_pid").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    r = r.withColumn("_cum", F.sum("_c").over(chunk_rows))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = chunks.select(*keys, "_pid", F.coalesce(F.sum("_cc").over(before), F.lit(0)).alias("_off"))
-    r = (null_safe_join(null_safe_join(r, offs, [*keys, "_pid"]), n, keys)
-         .withColumn("_end", F.col("_off") + F.col("_cum") - 1)
-         .withColumn("_start", F.col("_end") - F.col("_c") + 1))
+    counts = (df.where(F.col(value).isNotNull()).select(*keys, value, value_bucket(F.col(value)).alias("_b"))
+              .groupBy(*keys, "_b", value).agg(F.count(F.lit(1)).alias("_c")))
+    if partitions:
+        counts = counts.repartition(partitions, *keys, "_b", value)
+    group = Window.partitionBy(*keys)
+    buckets = (counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
+               .withColumn("_upto", F.sum("_bc").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
+               .withColumn("_n", F.sum("_bc").over(group)))
     pos = {i: F.lit(float(q)) * (F.col("_n") - 1).cast("double") for i, q in enumerate(qs)}
 
-    def covers(rank):
-        return (F.col("_start") <= rank) & (rank <= F.col("_end"))
+    def covers(rank, start, end):
+        return (F.col(start) <= rank) & (rank < F.col(end))
 
-    hit = F.lit(False)
+    ranks = [r(pos[i]) for i in range(len(qs)) for r in (F.floor, F.ceil)]
+    buckets = buckets.withColumn("_from", F.col("_upto") - F.col("_bc"))
+    wanted = buckets.where(reduce(or_, [covers(r, "_from", "_upto") for r in ranks])).select(*keys, "_b", "_n", "_from")
+    inside = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (null_safe_join(counts, wanted, [*keys, "_b"])
+              .withColumn("_end", F.col("_from") + F.sum("_c").over(inside))
+              .withColumn("_start", F.col("_end") - F.col("_c")))
     aggs = []
     for i in range(len(qs)):
-        lo, hi = F.floor(pos[i]), F.ceil(pos[i])
-        hit = hit | covers(lo) | covers(hi)
-        aggs += [F.max(F.when(covers(lo), F.col(value))).alias(f"_lo{i}"),
-                 F.max(F.when(covers(hi), F.col(value))).alias(f"_hi{i}")]
-    picked = r.where(hit).groupBy(*keys, "_n").agg(*aggs)
+        for name, rank in (("lo", F.floor(pos[i])), ("hi", F.ceil(pos[i]))):
+            aggs.append(F.max(F.when(covers(rank, "_start", "_end"), F.col(value))).alias(f"_{name}{i}"))
+    picked = ranked.groupBy(*keys, "_n").agg(*aggs)
     outs = []
     for i, name in enumerate(names):
         p = pos[i]

@@ -4,7 +4,7 @@
 with a few dozen symbols that is a few dozen tasks however large the data.  The
 plan here, the same for every input size, keeps window partitions bounded:
 
-1. rank rows inside (symbol, bucket of a few seconds)
+1. rank rows inside (symbol, bucket of a minute)
 2. rows per bucket → offsets: running counts inside each (symbol, day), plus the
    running counts of the symbol's days
 3. row number per symbol = offset + local rank
@@ -37,8 +37,9 @@ from pyspark.sql import types as T
 from tape.functions.time import bucket, to_date
 from tape.session import materialise
 
-#: Width of the buckets that rows are ranked in.
-COARSE_SECONDS = 10
+#: Width of the buckets that rows are ranked in: at the 10,000 ticks a second of
+#: the busiest symbols a bucket is 600,000 rows, some tens of MB.
+COARSE_SECONDS = 60
 
 
 def total_order(df: DataFrame, part: Sequence[str], order: Sequence[str]) -> list[str]:
@@ -154,14 +155,16 @@ def rolling_mean_std(df: DataFrame, value: str, part: Sequence[str], order: Sequ
     part = list(part)
     halo = rows - 1
     x = with_halo(_ranked(df, part, order, coarse_seconds, ts, rank), part, halo, max(block_rows, halo))
-    x = x.withColumn("_seg", F.floor((F.col("_rn") - 1) / F.lit(rows)).cast("long"))
+    # one exchange serves all windows: those inside segments are inside blocks too
+    x = x.repartition(*part, "_blk").withColumn("_seg", F.floor((F.col("_rn") - 1) / F.lit(rows)).cast("long"))
     segment = Window.partitionBy(*part, "_blk", "_seg")
     head = _partials(value, segment.orderBy("_rn").rowsBetween(Window.unboundedPreceding, 0))
     tail = _partials(value, segment.orderBy(F.desc("_rn")).rowsBetween(Window.unboundedPreceding, 0))
     x = x.withColumn("_tail", tail).withColumn("_head", head)
     # the frame starts ``rows - 1`` rows back, in the segment before unless the
     # row ends its own
-    start = F.lag("_tail", halo).over(Window.partitionBy(*part, "_blk").orderBy("_rn")) if halo else F.lit(None)
+    # (ordered like the head's windows, whose sort it shares)
+    start = F.lag("_tail", halo).over(Window.partitionBy(*part, "_blk").orderBy("_seg", "_rn")) if halo else F.lit(None)
     whole = F.pmod(F.col("_rn"), F.lit(rows)) == 0
     none = F.struct(*[F.lit(0.0).alias(c) for c in ("n", "mean", "m2")])
     x = x.withColumn("_before", F.when(whole | start.isNull(), none).otherwise(start) if halo else none)
