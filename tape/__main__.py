@@ -4,7 +4,8 @@
     python -m tape run    --raw DIR --out DIR       # models, issue log, table checks
     python -m tape report NAME --out DIR [--start T] [--end T] [--symbol S ...] [--save DIR]
 
-``DIR`` of ``load`` holds ``trades.csv``, ``quotes.csv`` and (optional)
+``load`` keeps rows that break a table's contract apart from the others (see
+``tape.sources.contract``).  ``DIR`` of ``load`` holds ``trades.csv``, ``quotes.csv`` and (optional)
 ``order_book_snapshots.csv`` (files or folders).  Only small aggregated results
 (check results, issue summary, report heads) are printed; everything else is
 written as Parquet.  Runs on whatever master ``spark-submit`` provides.
@@ -51,26 +52,28 @@ def _path(spark, d, name):
 
 
 def cmd_load(spark, a):
-    from tape.sources import io
+    from tape.sources import contract, io
     for name in RAW_TABLES:
         p = _path(spark, a.csv, name)
         if p is None:
             if name == "order_book_snapshots":
                 continue
             raise io.MissingInput(f"{name}: no {name}.csv under {a.csv}")
-        df = io.read_csv(spark, name, p)
-        io.write_table(df, f"{a.out}/{name}", date_col="date")
+        df = contract.read_checked(spark, name, p)
+        counts = contract.write_checked(df, name, f"{a.out}/{name}", load=a.load)
+        print(name, *[f"{k}={v}" for k, v in counts.items()])
         io.verify_counts(df, spark.read.parquet(f"{a.out}/{name}"), name).show(truncate=False)
+        contract.load_report(spark, name, f"{a.out}/{name}").orderBy("verdict", "fault").show(100, truncate=False)
 
 
 def cmd_run(spark, a):
     from tape.plans.pipeline import run_pipeline
-    from tape.sources import io
+    from tape.sources import contract, io
     raw = {}
     for name in RAW_TABLES:
         p = f"{a.raw}/{name}"
         if io.exists(spark, p):
-            raw[name] = spark.read.parquet(p).drop("date")
+            raw[name] = contract.good(spark, p).drop("date")
         elif name == "order_book_snapshots":
             print(f"{name}: not under {a.raw}; the book models are left out")
         else:
@@ -112,6 +115,7 @@ def main(argv=None):
     p = sub.add_parser("load")
     p.add_argument("--csv", required=True)
     p.add_argument("--out", required=True)
+    p.add_argument("--load", default="csv", help="name of the input: loading it again replaces its quarantined rows")
     p = sub.add_parser("run")
     p.add_argument("--raw", required=True)
     p.add_argument("--out", required=True)

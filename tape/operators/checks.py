@@ -1,13 +1,15 @@
 """Table checks (Q7–Q11).  Each returns its failing rows; empty = pass.
 
-``not_null`` evaluates every declared column in one aggregate pass.
+``not_null`` evaluates every declared column in one aggregate pass.  ``Watch``
+counts the failing rows of a table while some other job reads or writes it, so that
+the checks cost no pass of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tape.functions import prices as P
@@ -69,3 +71,45 @@ def vwap_out_of_range(mart: DataFrame, pct: float = 5.0) -> DataFrame:
     dev = P.pct_deviation("day_vwap", "close_price")
     return (mart.select("symbol", "trade_date", "day_vwap", "close_price", dev.alias("deviation_pct"))
             .where(F.abs(F.col("day_vwap") - F.col("close_price")) / F.col("close_price") > F.lit(pct / 100.0)))
+
+
+class Watch:
+    """Q7, Q8, Q10, Q11 during the pass that reads or writes a table.
+
+    ``add`` hangs the counts on a DataFrame (``DataFrame.observe``); once an action
+    has run over it, ``failing`` gives them.  A DataFrame must be run once: what
+    sits below a range exchange would be counted by its sampling too, so writers
+    call ``add`` behind their exchange.  Where Spark runs a task again after a lost
+    executor, a count may come out too high, never too low.
+    """
+
+    def __init__(self, as_of=None):
+        self.as_of = as_of
+        self.seen: list[tuple[Observation, list[tuple[str, str]]]] = []
+
+    def add(self, name: str, df: DataFrame, domains: dict[str, Sequence[str]] | None = None, future: bool = False,
+            vwap_pct: float | None = None) -> DataFrame:
+        """``df``, observed: the declared not-null columns of model ``name``, the
+        ``domains`` (column → values), rows in the ``future``, days whose VWAP is
+        more than ``vwap_pct`` % off the close."""
+        tests: list[tuple[str, str, Column]] = [
+            (f"not_null:{name}", c, F.col(c).isNull()) for c in NOT_NULL.get(name, [])]
+        tests += [(f"accepted_values:{name}.{c}", "", ~F.col(c).isin(list(v))) for c, v in (domains or {}).items()]
+        if future:
+            dtype = df.schema["timestamp"].dataType
+            limit = F.current_timestamp().cast(dtype) if self.as_of is None else ts_literal(self.as_of, dtype.simpleString())
+            tests.append((f"no_future:{name}", "", F.col("timestamp") > limit))
+        if vwap_pct is not None:
+            tests.append(("vwap_within_range", "", F.abs(F.col("day_vwap") - F.col("close_price")) / F.col("close_price") > F.lit(vwap_pct / 100.0)))
+        if not tests:
+            return df
+        counts = Observation()
+        self.seen.append((counts, [(test, detail) for test, detail, _ in tests]))
+        return df.observe(counts, *[F.count_if(broken).alias(f"c{i}") for i, (_, _, broken) in enumerate(tests)])
+
+    def failing(self) -> list[tuple[str, str, int]]:
+        """(test, detail, failing rows) of all tests, of the passes that ran."""
+        return [(test, detail, counts.get[f"c{i}"]) for counts, tests in self.seen for i, (test, detail) in enumerate(tests)]
+
+    def result(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.failing(), "test string, detail string, failing_rows long")

@@ -22,12 +22,15 @@ def quote_flag(wide_bps: float | None = None) -> Column:
     return c.otherwise("OK")
 
 
-def trade_flag(reference_price: str | None = None, outlier_pct: float = 5.0) -> Column:
+def trade_flag(reference_price: str | None = None, outlier_pct: float = 5.0, size_outlier: str | None = None) -> Column:
     """MISSING_FIELD (size 0) → PRICE_OUTLIER (more than ``outlier_pct`` % from
-    ``reference_price``, e.g. the prevailing mid from ``asof.prevailing``) → OK."""
+    ``reference_price``, e.g. the prevailing mid from ``asof.prevailing``) →
+    SIZE_OUTLIER (where column ``size_outlier`` holds, see ``sizes``) → OK."""
     c = F.when((F.col("trade_size") == 0) | F.col("trade_size").isNull(), "MISSING_FIELD")
     if reference_price is not None:
         c = c.when(P.pct_deviation("trade_price", reference_price) > F.lit(outlier_pct), "PRICE_OUTLIER")
+    if size_outlier is not None:
+        c = c.when(F.col(size_outlier), "SIZE_OUTLIER")
     return c.otherwise("OK")
 
 
@@ -43,8 +46,9 @@ def flag_quotes(quotes: DataFrame, wide_bps: float | None = None) -> DataFrame:
     return quotes.withColumn("data_quality_flag", quote_flag(wide_bps))
 
 
-def flag_trades(trades: DataFrame, reference_price: str | None = None, outlier_pct: float = 5.0) -> DataFrame:
-    return trades.withColumn("data_quality_flag", trade_flag(reference_price, outlier_pct))
+def flag_trades(trades: DataFrame, reference_price: str | None = None, outlier_pct: float = 5.0,
+                size_outlier: str | None = None) -> DataFrame:
+    return trades.withColumn("data_quality_flag", trade_flag(reference_price, outlier_pct, size_outlier))
 
 
 def flag_book(snapshots: DataFrame) -> DataFrame:

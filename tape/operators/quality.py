@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tape.functions.prices import round_exact
 from tape.functions.time import hour_in, micros_between, to_date, ts_literal
 from tape.operators import windows
 from tape.schemas import ISSUE_COLUMNS
@@ -60,45 +61,56 @@ def _gap_text(us) -> Column:
                     F.lpad((cs % 100).cast("string"), 2, "0"))
 
 
+def _with_seen(rows: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """``rows`` and those that an earlier scan has judged, told apart by ``_seen``."""
+    rows = rows.withColumn("_seen", F.lit(False))
+    return rows if seen is None else rows.unionByName(seen.select(*[c for c in rows.columns if c != "_seen"]).withColumn("_seen", F.lit(True)))
+
+
 def stale_quotes(quotes: DataFrame, gap_seconds: float = 5.0, hours: tuple[int, int] = (14, 21),
                  tie: Sequence[str] = (), reset_daily: bool = False,
-                 block_rows: int = 100_000, as_of=None, rank: str = "time") -> DataFrame:
+                 block_rows: int = 100_000, as_of=None, rank: str = "time",
+                 seen: DataFrame | None = None) -> DataFrame:
     """Q2: gap to the previous quote of the symbol > ``gap_seconds`` → WARNING.
 
     The hour filter runs before the lag (as in the source system).  The first
     quote of a symbol has no predecessor and is never reported (S1); with
     ``reset_daily`` the first quote of each day is not compared with the day
-    before (S2).
+    before (S2).  ``seen`` (symbol, timestamp, tie) are quotes of earlier scans:
+    predecessors that are not reported again.
     """
-    q = quotes.where(hour_in("timestamp", *hours)).select("symbol", "timestamp", *tie)
+    q = _with_seen(quotes.where(hour_in("timestamp", *hours)).select("symbol", "timestamp", *tie), seen)
     part = ["symbol"]
     if reset_daily:
         q = q.withColumn("_day", to_date("timestamp"))
         part.append("_day")
     q = windows.previous(q, "timestamp", part, ["timestamp", *tie], "_prev", block_rows=block_rows, rank=rank)
     q = q.withColumn("_gap_us", micros_between("_prev", "timestamp"))
-    hit = q.where(F.col("_gap_us") > F.lit(int(round(gap_seconds * 1_000_000))))
+    hit = q.where(~F.col("_seen") & (F.col("_gap_us") > F.lit(int(round(gap_seconds * 1_000_000)))))
     return _issues(hit, "quotes", "STALE_QUOTE", "WARNING", _gap_text(F.col("_gap_us")), as_of,
                    extra=["_gap_us"]).withColumnRenamed("_gap_us", "gap_us")
 
 
 def price_outliers(trades: DataFrame, rows: int = 1000, z_limit: float = 3.0, tie: Sequence[str] = (),
-                   block_rows: int = 100_000, as_of=None, rank: str = "time") -> DataFrame:
+                   block_rows: int = 100_000, as_of=None, rank: str = "time",
+                   seen: DataFrame | None = None) -> DataFrame:
     """Q3: |price − rolling mean| / rolling σ > ``z_limit`` over the last
     ``rows`` trades of the symbol (current one included) → CRITICAL.
 
     σ is the population deviation with the current trade inside the frame,
     so z ≤ √(n−1): nothing fires before the 11th trade of a symbol (S7).
+    ``seen`` (symbol, timestamp, trade_price, tie) are trades of earlier scans:
+    they are in the frames but are not reported again.
     """
-    t = trades.select("symbol", "timestamp", "trade_price", *tie)
+    t = _with_seen(trades.select("symbol", "timestamp", "trade_price", *tie), seen)
     t = windows.rolling_mean_std(t, "trade_price", ["symbol"], ["timestamp", *tie], rows,
                                  block_rows=block_rows, rank=rank)
     m, s = F.col("rolling_mean"), F.col("rolling_std")
     t = t.withColumn("z_score", F.when(s > 0, F.abs(F.col("trade_price") - m) / s).otherwise(F.lit(0.0)))
-    hit = t.where((F.col("z_score") > z_limit) & (s > 0))
+    hit = t.where(~F.col("_seen") & (F.col("z_score") > z_limit) & (s > 0))
     d = F.format_string("price=%.2f rolling_mean=%.2f rolling_std=%.4f z_score=%.2f",
-                        F.round("trade_price", 2), F.round("rolling_mean", 2),
-                        F.round("rolling_std", 4), F.round("z_score", 2))
+                        round_exact("trade_price", 2), round_exact("rolling_mean", 2),
+                        round_exact("rolling_std", 4), round_exact("z_score", 2))
     return _issues(hit, "trades", "PRICE_OUTLIER", "CRITICAL", d, as_of,
                    extra=["trade_price", "rolling_mean", "rolling_std", "z_score"])
 
@@ -151,14 +163,16 @@ def new_findings(findings: DataFrame, log: DataFrame | None, event_days: tuple |
 
 
 def scan(trades: DataFrame, quotes: DataFrame, log: DataFrame | None = None, as_of=None,
-         tie: Sequence[str] = (), block_rows: int = 100_000, event_days: tuple | None = None) -> DataFrame:
+         tie: Sequence[str] = (), block_rows: int = 100_000, event_days: tuple | None = None,
+         seen_trades: DataFrame | None = None, seen_quotes: DataFrame | None = None) -> DataFrame:
     """Q6: all checks as one frame in the log schema, minus what ``log`` holds
-    (of the ``event_days``, where the ticks' days are known)."""
+    (of the ``event_days``, where the ticks' days are known).  ``seen_trades`` and
+    ``seen_quotes`` are what the windows need of earlier scans (``resume``)."""
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     parts = [
         quote_row_checks(quotes, as_of),
-        stale_quotes(quotes, tie=tie, block_rows=block_rows, as_of=as_of),
-        price_outliers(trades, tie=tie, block_rows=block_rows, as_of=as_of),
+        stale_quotes(quotes, tie=tie, block_rows=block_rows, as_of=as_of, seen=seen_quotes),
+        price_outliers(trades, tie=tie, block_rows=block_rows, as_of=as_of, seen=seen_trades),
         zero_size_trades(trades, as_of),
     ]
     out = parts[0].select(*ISSUE_COLUMNS)

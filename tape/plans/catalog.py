@@ -8,16 +8,17 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tape.operators import asof, bars, checks, flags, marts, quality, staging
+from tape.operators import asof, bars, checks, flags, marts, quality, resume, sizes, sketches, staging
 from tape.operators import book as book_ops
 from tape.plans import reports
-from tape.schemas import QUOTE_FLAGS, SIDES, TRADE_FLAGS
+from tape.schemas import CSV_TIMESTAMP_FORMAT, ISSUE_COLUMNS, QUOTE_FLAGS, SIDES, TRADE_FLAGS
+from tape.sources import contract, io, tables
 from tape.sources import fixtures as fx
-from tape.sources import io
 
 Query = Callable[[SparkSession, str], DataFrame]
 TIE = fx.EVENTS_TIE
@@ -173,6 +174,24 @@ def q_dq_scan(spark, sf):
     return issue_log(spark, sf).drop("detected_at")
 
 
+#: Slices that the registered scan by slices takes its ticks in.
+SLICES = 5
+
+
+def q_dq_scan_slices(spark, sf):
+    """Q6 resumed: the ticks in slices of days, each run reading its own days and
+    the small state of the run before."""
+    t, q = raw_trades(spark, sf), raw_quotes(spark, sf)
+    first, last = q.unionByName(t, allowMissingColumns=True).agg(F.min("timestamp"), F.max("timestamp")).first()
+    days = (last.date() - first.date()).days + 1
+    base = _scratch(spark, "scan-slices")
+    ends = [first.date() + dt.timedelta(days=days * k // SLICES) for k in range(SLICES + 1)]
+    for run, (a, b) in enumerate(zip(ends, ends[1:]), 1):
+        mine = F.to_date("timestamp").between(F.lit(a), F.lit(b - dt.timedelta(days=1)))
+        resume.scan_slice(spark, t.where(mine), q.where(mine), base, run, as_of=AS_OF, tie=TIE, event_days=(a, b))
+    return resume.findings(spark, base, q.schema["timestamp"].dataType).select(*[c for c in ISSUE_COLUMNS if c != "detected_at"])
+
+
 def q_dq_incremental(spark, sf):
     """A second run against a log that already holds the row-wise findings:
     only the window findings are new."""
@@ -207,6 +226,36 @@ def q_daily_spread_quantiles(spark, sf):
                            ["median_spread_bps", "p95_spread_bps"])
 
 
+def q_spread_sketches(spark, sf):
+    """D9/D10 by stored sketches: minutes written as a table, merged to symbols;
+    whether the ranks of the answers are within the sketch's error."""
+    path = _scratch(spark, "sketches")
+    q = quotes(spark, sf)
+    io.write_table(sketches.minute_sketches(q), path, date_col="quote_date", sort_cols=["symbol", "minute_bucket"])
+    names, qs = ["median_spread_bps", "p95_spread_bps"], [0.5, 0.95]
+    answers = sketches.roll_up(spark.read.parquet(path), ["symbol"], qs, names)
+    errors = sketches.rank_errors(q, ["symbol"], "spread_bps", answers, qs, names)
+    return errors.select("symbol", "n", *[(F.col(f"error_{x}") <= sketches.RANK_ERROR).alias(f"{x}_within") for x in names])
+
+
+def q_daily_summary_declared(spark, sf):
+    """The daily mart over declared tables: bucketed by symbol and day, so that
+    neither side of the daily join is exchanged."""
+    names = {}
+    for name, df in (("stg_trades", trades(spark, sf)), ("stg_quotes", quotes(spark, sf))):
+        names[name] = tables.unique(name)
+        tables.declare(spark, name, names[name], _scratch(spark, name), extra="tick_id BIGINT")
+        tables.fill(df, name, names[name])
+    return marts.daily_summary(spark.table(names["stg_trades"]), spark.table(names["stg_quotes"]), tie=TIE)
+
+
+def q_symbols_by_view(spark, sf):
+    """A10: SQL over a model's view."""
+    name = tables.unique("stg_trades")
+    io.as_view(trades(spark, sf), name)
+    return spark.sql(f"SELECT symbol, count(*) AS trade_count, sum(trade_size) AS total_volume FROM {name} WHERE NOT has_quality_issue GROUP BY symbol")
+
+
 def q_mart_data_quality_summary(spark, sf):
     return marts.data_quality_summary(trades(spark, sf), quotes(spark, sf))
 
@@ -214,25 +263,27 @@ def q_mart_data_quality_summary(spark, sf):
 # --- table checks -------------------------------------------------------------------
 def q_chk_not_null(spark, sf):
     """Q7 over every model with declared columns; the raw tables have missing
-    values here, so that the check has something to find."""
-    def holes(df, c, k):
-        return df.withColumn(c, F.when(F.col("tick_id") % k != 5, F.col(c)))
-    t, q, b = raw_trades(spark, sf), raw_quotes(spark, sf), book(spark, sf)
+    values here, so that the check has something to find.  Each tick table is read
+    once: the counts come with the pass that stages it and with one pass over the
+    models of the staged tables."""
+    from tape.session import materialise
+    watch = checks.Watch()
+
+    def holed(df, name, c, k):
+        whole = df.withColumn("_whole", F.col(c)).withColumn(c, F.when(F.col("tick_id") % k != 5, F.col(c)))
+        return watch.add(name, whole).withColumn(c, F.col("_whole")).drop("_whole")
+    t = materialise(watch.add("stg_trades", staging.stg_trades(holed(raw_trades(spark, sf), "trades", "trade_price", 97), keep=TIE)), "checked-trades")
+    q = materialise(watch.add("stg_quotes", staging.stg_quotes(holed(raw_quotes(spark, sf), "quotes", "bid_price", 89), keep=TIE)), "checked-quotes")
+    b = materialise(holed(book(spark, sf), "order_book_snapshots", "mid_price", 83), "checked-book")
     models = {
-        "trades": holes(t, "trade_price", 97), "quotes": holes(q, "bid_price", 89),
-        "order_book_snapshots": holes(b, "mid_price", 83),
-        "stg_trades": trades(spark, sf), "stg_quotes": quotes(spark, sf), "stg_order_book": staging.stg_order_book(b),
-        "int_vwap": bars.vwap_bars(trades(spark, sf), tie=TIE),
-        "int_spread_analytics": bars.spread_stats(quotes(spark, sf)),
-        "int_order_book_depth": book_ops.order_book_depth(b, tie=TIE),
-        "mart_daily_summary": daily(spark, sf),
-        "mart_data_quality_summary": marts.data_quality_summary(trades(spark, sf), quotes(spark, sf)),
+        "stg_order_book": staging.stg_order_book(b), "int_vwap": bars.vwap_bars(t, tie=TIE), "int_spread_analytics": bars.spread_stats(q),
+        "int_order_book_depth": book_ops.order_book_depth(b, tie=TIE), "mart_daily_summary": marts.daily_summary(t, q, tie=TIE),
+        "mart_data_quality_summary": marts.data_quality_summary(t, q),
     }
-    out = None
-    for name, columns in checks.NOT_NULL.items():
-        r = checks.not_null(models[name], columns, name)
-        out = r if out is None else out.unionByName(r)
-    return out
+    passes = [watch.add(name, df).select(F.lit(name).alias("model")) for name, df in models.items()]
+    reduce(DataFrame.unionByName, passes).write.format("noop").mode("overwrite").save()
+    found = [(test.partition(":")[2], column, n) for test, column, n in watch.failing() if n]
+    return spark.createDataFrame(found, "model string, column_name string, null_rows long")
 
 
 def q_chk_accepted(spark, sf):
@@ -397,6 +448,24 @@ def q_book_csv_roundtrip(spark, sf):
 )
 
 
+def q_load_quarantine(spark, sf):
+    """Trades as CSV text with planted faults, loaded twice by the
+    contract; what is written as good and as bad."""
+    t, k = raw_trades(spark, sf), F.col("tick_id") % 101
+    text = t.select(
+        F.when(k != 19, F.col("symbol")).alias("symbol"),
+        F.when(k == 7, "yesterday").otherwise(F.date_format("timestamp", CSV_TIMESTAMP_FORMAT)).alias("timestamp"),
+        F.when(k == 3, "n/a").when(k != 5, F.col("trade_price").cast("string")).alias("trade_price"),
+        F.when(k.isin(17, 23), "-1").otherwise(F.col("trade_size").cast("string")).alias("trade_size"),
+        "exchange", "trade_condition",
+        F.when(k.isin(11, 23), "BOGUS").when(k != 13, F.col("data_quality_flag")).alias("data_quality_flag"))
+    csv, out = _scratch(spark, "faults-csv"), _scratch(spark, "faults")
+    text.write.option("header", True).csv(csv)
+    for _ in range(2):
+        contract.write_checked(contract.read_checked(spark, "trades", csv), "trades", out, load="planted")
+    return contract.load_report(spark, "trades", out)
+
+
 def q_partitioned_load(spark, sf):
     """Day-partitioned sorted write, loaded twice (idempotent),
     then the post-load count check."""
@@ -426,6 +495,17 @@ def q_flag_rules(spark, sf):
             .unionByName(tag(q_flag_rules_book(spark, sf), "order_book_snapshots")))
 
 
+def _sized_trades(spark, sf):
+    """Every 53rd trade a block trade, so that there is something to find."""
+    t = raw_trades(spark, sf).select("symbol", "timestamp", "tick_id", "trade_size")
+    return t.withColumn("trade_size", F.when(F.col("tick_id") % 53 == 7, F.col("trade_size") * 1000).otherwise(F.col("trade_size")))
+
+
+def q_size_outliers(spark, sf):
+    """Q12 SIZE_OUTLIER: rolling median and deviation, blocks of 1000 + 999 rows."""
+    return sizes.size_outliers(_sized_trades(spark, sf), tie=TIE, block_rows=1000).where("is_size_outlier").drop("is_size_outlier")
+
+
 def q_trading_days(spark, sf):
     return staging.trading_days(raw_trades(spark, sf))
 
@@ -557,9 +637,13 @@ QUERIES: dict[str, Query] = {
     "dq_zero_quotes": q_dq_zero_quotes,
     "dq_scan": q_dq_scan,
     "dq_incremental": q_dq_incremental,
+    "dq_scan_slices": q_dq_scan_slices,
     "dq_summary": q_dq_summary,
     "dq_rate": q_dq_rate,
     "mart_daily_summary": q_mart_daily_summary,
+    "spread_sketches": q_spread_sketches,
+    "daily_summary_declared": q_daily_summary_declared,
+    "symbols_by_view": q_symbols_by_view,
     "mart_data_quality_summary": q_mart_data_quality_summary,
     "daily_spread_quantiles": q_daily_spread_quantiles,
     "chk_not_null": q_chk_not_null,
@@ -591,11 +675,13 @@ QUERIES: dict[str, Query] = {
     "rep_symbols": q_rep_symbols,
     "csv_roundtrip": q_csv_roundtrip,
     "book_csv_roundtrip": q_book_csv_roundtrip,
+    "load_quarantine": q_load_quarantine,
     "partitioned_load": q_partitioned_load,
     "flag_rules": q_flag_rules,
     "flag_rules_quotes": q_flag_rules_quotes,
     "flag_rules_book": q_flag_rules_book,
     "flag_rules_trades": q_flag_rules_trades,
+    "size_outliers": q_size_outliers,
     "trading_days": q_trading_days,
     "asof_trade_quote": q_asof_trade_quote,
     "asof_trade_quote_bucketed": q_asof_trade_quote_bucketed,

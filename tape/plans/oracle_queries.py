@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tape.oracle import (BOOK_CTES, EV, LI_TRADES, QUOTE_CTES, STG_LI_TRADES, TRADE_CTES, with_)
+from tape.oracle import (BOOK_CTES, EV, LI_TRADES, QUOTE_CTES, STG_LI_TRADES, TRADE_CTES, half_up, with_)
 
 _VWAP_SELECT = """SELECT symbol, date_trunc('minute', "timestamp") AS minute_bucket, trade_date,
   CASE WHEN sum(trade_size) = 0 THEN NULL ELSE sum(trade_notional) / sum(trade_size) END AS vwap,
@@ -73,15 +73,15 @@ DEPTH = f"""SELECT symbol, minute_bucket, snap_date,
   quantile_cont(bps, 0.5) AS median_bbo_spread_bps, quantile_cont(bps, 0.95) AS p95_bbo_spread_bps,
   avg(best_bid) AS avg_tob_bid_size, avg(best_ask) AS avg_tob_ask_size,
   avg(near_bid) AS avg_depth_bid_5bps, avg(near_ask) AS avg_depth_ask_5bps,
-  round(avg(near_bid) / nullif(avg(near_bid) + avg(near_ask), 0), 4) AS depth_imbalance_5bps,
+  {half_up('avg(near_bid) / nullif(avg(near_bid) + avg(near_ask), 0)', 4)} AS depth_imbalance_5bps,
   avg(wide_bid) AS avg_depth_bid_10bps, avg(wide_ask) AS avg_depth_ask_10bps,
-  round(avg(wide_bid) / nullif(avg(wide_bid) + avg(wide_ask), 0), 4) AS depth_imbalance_10bps,
+  {half_up('avg(wide_bid) / nullif(avg(wide_bid) + avg(wide_ask), 0)', 4)} AS depth_imbalance_10bps,
   avg(book_imbalance) AS avg_book_imbalance, quantile_cont(book_imbalance, 0.25) AS p25_book_imbalance,
   quantile_cont(book_imbalance, 0.75) AS p75_book_imbalance, count(*) AS snapshot_count
 FROM (
   SELECT symbol, date_trunc('minute', "timestamp") AS minute_bucket, CAST("timestamp" AS DATE) AS snap_date,
     mid_price, weighted_mid, book_imbalance, bid_sizes[1] AS best_bid, ask_sizes[1] AS best_ask,
-    CASE WHEN mid_price <> 0 THEN round((ask_prices[1] - bid_prices[1]) / mid_price * 10000::DOUBLE, 2) END AS bps,
+    CASE WHEN mid_price <> 0 THEN {half_up('(ask_prices[1] - bid_prices[1]) / mid_price * 10000::DOUBLE', 2)} END AS bps,
     {_band("bid", 5)} AS near_bid, {_band("ask", 5)} AS near_ask,
     {_band("bid", 10)} AS wide_bid, {_band("ask", 10)} AS wide_ask
   FROM order_book_snapshots)
@@ -115,8 +115,8 @@ WHERE gap_us > 5000000"""
 def _outlier(src="trades", tie="tick_id"):
     return f"""SELECT 'trades' AS source_table, symbol, "timestamp" AS event_time, 'PRICE_OUTLIER' AS issue_type,
   'CRITICAL' AS severity,
-  printf('price=%.2f rolling_mean=%.2f rolling_std=%.4f z_score=%.2f', round(trade_price, 2), round(rm, 2),
-         round(rs, 4), round(z, 2)) AS details, trade_price
+  printf('price=%.2f rolling_mean=%.2f rolling_std=%.4f z_score=%.2f', {half_up('trade_price', 2)}, {half_up('rm', 2)},
+         {half_up('rs', 4)}, {half_up('z', 2)}) AS details, trade_price
 FROM (SELECT *, CASE WHEN rs > 0 THEN abs(trade_price - rm) / rs ELSE 0 END AS z
       FROM (SELECT symbol, "timestamp", trade_price, avg(trade_price) OVER w AS rm, stddev_pop(trade_price) OVER w AS rs
             FROM {src} WINDOW w AS (PARTITION BY symbol ORDER BY "timestamp", {tie}
@@ -298,12 +298,33 @@ ORDER BY event_time DESC, detected_at, source_table, symbol, issue_type, severit
     "rep_symbols": _REP + "SELECT DISTINCT symbol FROM trades",
 })
 
+SQL["dq_scan_slices"] = SQL["dq_scan"]
+SQL["size_outliers"] = with_(*RAW_CTES) + """, sized AS (
+  SELECT symbol, "timestamp", tick_id, CASE WHEN tick_id % 53 = 7 THEN trade_size * 1000 ELSE trade_size END AS trade_size FROM trades),
+framed AS (
+  SELECT *, CAST(median(trade_size) OVER w AS DOUBLE) AS rolling_median, CAST(mad(CAST(trade_size AS DOUBLE)) OVER w AS DOUBLE) AS rolling_mad
+  FROM sized WINDOW w AS (PARTITION BY symbol ORDER BY "timestamp", tick_id ROWS BETWEEN 999 PRECEDING AND CURRENT ROW))
+SELECT * FROM framed WHERE rolling_mad > 0 AND abs(trade_size - rolling_median) > CAST(6.0 * 1.4826 AS DOUBLE) * rolling_mad"""
+SQL["daily_summary_declared"] = SQL["mart_daily_summary"]
+SQL["spread_sketches"] = with_(*QUOTE_CTES) + """SELECT symbol, count(spread_bps) AS n, true AS median_spread_bps_within,
+  true AS p95_spread_bps_within FROM stg_quotes WHERE spread_bps IS NOT NULL GROUP BY symbol"""
+SQL["symbols_by_view"] = with_(*TRADE_CTES) + """SELECT symbol, count(*) AS trade_count, CAST(sum(trade_size) AS BIGINT) AS total_volume
+FROM stg_trades WHERE NOT has_quality_issue GROUP BY symbol"""
+
 # --- sources, flags, calendar, as-of ------------------------------------------------------
 SQL.update({
     "csv_roundtrip": with_(*RAW_CTES) + """SELECT symbol, "timestamp", trade_price, trade_size, exchange, trade_condition,
   data_quality_flag FROM trades""",
     "book_csv_roundtrip": with_(*BOOK_CTES) + """SELECT symbol, "timestamp", bid_prices, bid_sizes, ask_prices, ask_sizes,
   mid_price, weighted_mid, book_imbalance, data_quality_flag FROM order_book_snapshots""",
+    "load_quarantine": with_(*RAW_CTES) + """, k AS (
+  SELECT *, unnest(CASE WHEN bad THEN list_concat(['any'], list_filter(faults, lambda f: f IS NOT NULL)) ELSE [''] END) AS fault
+  FROM (SELECT tick_id % 101 AS k, tick_id % 101 IN (3, 5, 7, 11, 17, 19, 23) AS bad,
+          [CASE WHEN tick_id % 101 IN (3, 7) THEN 'malformed' END, CASE WHEN tick_id % 101 = 5 THEN 'null trade_price' END,
+           CASE WHEN tick_id % 101 = 19 THEN 'null symbol' END, CASE WHEN tick_id % 101 IN (17, 23) THEN 'domain trade_size' END,
+           CASE WHEN tick_id % 101 IN (11, 23) THEN 'domain data_quality_flag' END] AS faults
+        FROM trades))
+SELECT 'trades' AS "table", CASE WHEN bad THEN 'bad' ELSE 'good' END AS verdict, fault, count(*) AS n_rows FROM k GROUP BY ALL""",
     "partitioned_load": with_(*TRADE_CTES) + """SELECT 'stg_trades' AS "table", count(*) AS source_rows,
   count(*) AS written_rows, true AS match FROM stg_trades""",
     "flag_rules_quotes": with_(*RAW_CTES) + """SELECT symbol, "timestamp", tick_id,

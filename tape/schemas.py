@@ -15,6 +15,7 @@ SIDES = ["bid", "ask"]
 EXCHANGES = ["NYSE", "NASDAQ", "ARCA", "BATS", "IEX", "EDGX"]
 TRADE_CONDITIONS = ["@", "F", "T", "I", "W"]
 BOOK_LEVELS = 10
+UNSIGNED_MAX = 4294967295   # sizes are unsigned 32-bit numbers
 SESSION_OPEN = (14, 30)   # UTC hour, minute
 SESSION_CLOSE = (21, 0)
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"

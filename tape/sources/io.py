@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -79,7 +79,8 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, date_col: str | None = None,
                 sort_cols: Sequence[str] = ("symbol", "timestamp"), mode: str = "overwrite",
-                partitions: int | None = None) -> None:
+                partitions: int | None = None, watch: Callable[[DataFrame], DataFrame] | None = None,
+                bloom: Sequence[str] = ("symbol",)) -> None:
     """Day-partitioned, sorted, idempotent per day (dynamic overwrite).
 
     ``date_col`` is derived from ``timestamp`` when missing.  A range
@@ -87,7 +88,10 @@ def write_table(df: DataFrame, path: str, date_col: str | None = None,
     dominates (a hot symbol is cut by time), and keeps each file to a narrow
     symbol/time range for row-group skipping.  ``partitions`` is the number of
     ranges; without it Spark takes ``spark.sql.shuffle.partitions`` and
-    coalesces small ones by its advisory partition size.
+    coalesces small ones by its advisory partition size.  ``watch`` sees the rows
+    behind the exchange, as they are written.  The columns in ``bloom`` get Parquet
+    bloom filters: a reader of one symbol skips row groups whose range holds it
+    but which do not.
     """
     sort_cols = [c for c in sort_cols if c in df.columns]
     if date_col:
@@ -95,12 +99,22 @@ def write_table(df: DataFrame, path: str, date_col: str | None = None,
             df = df.withColumn(date_col, F.to_date("timestamp"))
         keys = [date_col, *sort_cols]
         df = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-        (df.sortWithinPartitions(*keys).write.mode(mode)
-         .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
+        df = (watch(df) if watch else df).sortWithinPartitions(*keys)
+        (with_blooms(df, bloom).mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
     else:
+        df = watch(df) if watch else df
         if sort_cols:
             df = df.sortWithinPartitions(*sort_cols)
-        df.write.mode(mode).parquet(path)
+        with_blooms(df, bloom).mode(mode).parquet(path)
+
+
+def with_blooms(df: DataFrame, columns: Sequence[str]):
+    """A writer of ``df`` that adds Parquet bloom filters of ``columns``."""
+    writer = df.write
+    for c in columns:
+        if c in df.columns:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    return writer
 
 
 #: Day columns that the issue log is partitioned by, and the time of each.
@@ -158,6 +172,6 @@ def verify_counts(source: DataFrame, written: DataFrame, table: str) -> DataFram
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
-    """A10: materialise as a (lazy) view."""
+    """A10: a (lazy) view, for SQL over the model."""
     df.createOrReplaceTempView(name)
-    return df
+    return df.sparkSession.table(name)
