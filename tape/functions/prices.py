@@ -67,11 +67,6 @@ def in_bps_band(price, mid_col, bps: float, side: str) -> Column:
     return col(price) <= col(mid_col) * F.lit(1.0 + bps / 10000.0)
 
 
-def fmt(x, decimals: int) -> Column:
-    """Fixed-decimal text for issue details (plain casts print 1.0E7)."""
-    return F.format_string(f"%.{decimals}f", col(x))
-
-
 def order_key(order: list, dtypes: dict | None = None) -> Column:
     """A single ordering key for (timestamp[, tie]).
 

@@ -404,3 +404,36 @@ SELECT symbol, "timestamp", tick_id,
        WHEN list_bool_or(list_transform(bid_prices, lambda p: p <= 0))
          OR list_bool_or(list_transform(ask_prices, lambda p: p <= 0)) THEN 'MISSING_LEVELS'
        ELSE 'OK' END, 'order_book_snapshots' FROM book_raw"""
+
+# --- what one run of the batch pipeline writes -------------------------------------------
+SQL["batch_run_depth"] = SQL["int_order_book_depth"]
+SQL["batch_run_issues"] = SQL["dq_scan"]
+SQL["batch_run_summary"] = SQL["dq_summary"]
+
+
+def _watched(name: str) -> list[str]:
+    """Rows of the checks that are counted while model ``name`` passes."""
+    out = [f"SELECT 'not_null:{name}', '{c}', count(*) FILTER ({c} IS NULL) FROM {name}" for c in NOT_NULL[name]]
+    if name in ("stg_trades", "stg_quotes"):
+        flags = ", ".join(f"'{v}'" for v in (TRADE_FLAGS if name == "stg_trades" else QUOTE_FLAGS))
+        out += [f"SELECT 'accepted_values:{name}.data_quality_flag', '', count(*) FILTER (data_quality_flag NOT IN ({flags})) FROM {name}",
+                f"SELECT 'no_future:{name}', '', count(*) FILTER (\"timestamp\" > TIMESTAMP '2025-01-01') FROM {name}",
+                f"SELECT 'no_duplicates:{name}', '', count(*) FROM (SELECT 1 FROM {name} GROUP BY symbol, \"timestamp\" HAVING count(*) > 1)"]
+    return out
+
+
+_CHECKED = ["stg_trades", "stg_quotes", "int_vwap", "int_spread_analytics", "int_order_book_depth", "mart_daily_summary", "mart_data_quality_summary"]
+SQL["batch_run_checks"] = (
+    with_(*STAGED, *[c for c in BOOK_CTES if c not in STAGED], DAILY_CTE, DQ_MART_CTE, _VWAP_CTE, _SPREAD_CTE, _DEPTH_CTE)
+    + "SELECT test, detail, CAST(n AS BIGINT) AS failing_rows FROM (\n"
+    + "\nUNION ALL ".join([
+        *[q for name in _CHECKED for q in _watched(name)],
+        "SELECT 'vwap_within_range', '', count(*) FROM mart_daily_summary WHERE abs(day_vwap - close_price) / close_price > CAST(0.05 AS DOUBLE)",
+        *[f"SELECT 'load:{t}', 'good', count(*) FROM {t}" for t in ("trades", "quotes", "order_book_snapshots")]])
+    + ") AS c(test, detail, n)")
+
+SQL["chk_future_quotes"] = with_(*QUOTE_CTES) + """SELECT symbol, "timestamp", bid_price, ask_price FROM stg_quotes
+WHERE "timestamp" > TIMESTAMP '2024-01-30 12:00:00'"""
+SQL["tick_time_forms"] = with_(*RAW_CTES) + """SELECT tick_id, epoch_us("timestamp") AS epoch_us,
+  strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f') AS time_text, "timestamp" AS back,
+  date_diff('millisecond', date_trunc('day', "timestamp") + INTERVAL 12 HOUR, "timestamp") AS noon_ms FROM trades"""

@@ -135,8 +135,9 @@ def checks_to_log(log_path: str, as_of=None, table: str = "quotes"):
     and zero-size quotes, or zero-size trades) on each micro-batch and appends
     only findings not yet in the log (anti-join on the issue key); a finding
     that occurs twice in one batch is written once.  The log is partitioned by
-    event day and each batch reads only the days it touches (a handful of dates
-    per micro-batch), so the cost of a batch does not grow with the log."""
+    event day and is joined with the days of the batch first: Spark prunes the
+    partitions by them as it runs (the days alone are broadcast), so the cost of a
+    batch does not grow with the log, and nothing of it reaches the driver."""
     checks = {"quotes": quality.quote_row_checks, "trades": quality.zero_size_trades}[table]
 
     def run(batch: DataFrame, epoch_id: int) -> None:
@@ -145,11 +146,11 @@ def checks_to_log(log_path: str, as_of=None, table: str = "quotes"):
         try:
             found = (checks(batch, as_of).dropDuplicates(quality.ISSUE_KEY)
                      .withColumn("event_date", F.to_date("event_time")))
-            days = [r[0] for r in found.select("event_date").distinct().collect()]
-            if not days:
+            if found.isEmpty():
                 return
             if io.exists(spark, log_path):
-                log = spark.read.schema(found.schema).parquet(log_path).where(F.col("event_date").isin(days))
+                days = found.select("event_date").distinct()
+                log = spark.read.schema(found.schema).parquet(log_path).join(F.broadcast(days), "event_date", "left_semi")
                 found = found.join(log.select("event_date", *quality.ISSUE_KEY),
                                    ["event_date", *quality.ISSUE_KEY], "left_anti")
             found.write.mode("append").partitionBy("event_date").parquet(log_path)
