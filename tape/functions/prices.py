@@ -42,12 +42,12 @@ def vwap(notional_col="trade_notional", size_col="trade_size") -> Column:
 
 
 def round_exact(x, digits: int) -> Column:
-    """``x`` rounded half up to ``digits`` places, by way of a decimal with six
-    places more: what two orders of summing differ in (the last bits of a double)
-    is gone before the half is looked at.  Beyond the decimal's range (infinite,
-    NaN, 29 digits or more before the point) it is the double that is rounded."""
-    exact = col(x).try_cast(f"decimal(38,{digits + 6})")
-    return F.coalesce(F.round(exact, digits).cast("double"), F.round(col(x), digits))
+    """``x`` rounded half up to ``digits`` places, after six places more: what two
+    orders of summing differ in (the last bits of a double) is gone before the half
+    is looked at.  Spark rounds a double by its shortest decimal text, so the second
+    rounding sees an exact half as one.  ``x`` appears once: book measures are long
+    expressions that the optimizer copies."""
+    return F.round(F.round(col(x), digits + 6), digits)
 
 
 def pct_return(open_col, close_col) -> Column:
