@@ -9,8 +9,8 @@ transforms, of the ids read forwards and backwards, whose rows are sorted by
 A phrase is a pair of intervals, one in each direction.  Extending it by a word
 on the right reads the backward transform inside its interval: each distinct
 symbol is a right extension, the number of its rows is the longer phrase's
-count, and C[symbol] plus its rank gives the new interval there; the symbols
-below it give the new interval in the other direction.  The left is the mirror
+count, and C[symbol] plus its rank gives the new interval there (where it is
+needed); the symbols below it give the new interval in the other direction.  The left is the mirror
 image.  All intervals of a level are extended at once (numpy).
 
 Two passes over the texts, each summed over the shards by Spark:
@@ -133,27 +133,30 @@ class Index:
         self.below = np.concatenate([[0], np.cumsum(np.bincount(ids, minlength=self.most))])
 
     @cached_property
-    def backward(self):
-        """What stands before: left extensions."""
+    def backward(self) -> np.ndarray:
+        """Transform of what stands before: left extensions."""
         return self.transform(-1)
 
     @cached_property
-    def forward(self):
-        """What stands after: right extensions."""
+    def forward(self) -> np.ndarray:
+        """Transform of what stands after: right extensions."""
         return self.transform(1)
 
-    def transform(self, step: int) -> tuple[np.ndarray, np.ndarray]:
-        """(symbol beside each row, row it leads to), of rows sorted by the
-        DEPTH ids that follow in the direction away from ``step``."""
+    def transform(self, step: int) -> np.ndarray:
+        """Symbol beside each row, of rows sorted by the DEPTH ids that follow
+        in the direction away from ``step``."""
         key = np.zeros(len(self.ids), np.int64)
         for k in range(DEPTH):
             key = (key << ID_BITS) | np.roll(self.ids, k * step)
-        rows = np.argsort(key)
-        symbols = self.ids[(rows + step) % len(self.ids)]
-        # rows of one symbol keep their order: the place breaks the ties
-        leads = np.empty(len(rows), np.int32)
-        leads[np.argsort(symbols * np.int64(len(rows)) + np.arange(len(rows)))] = np.arange(len(rows), dtype=np.int32)
-        return symbols.astype(np.int32), leads
+        return self.ids[(np.argsort(key) + step) % len(self.ids)].astype(np.int32)
+
+    @staticmethod
+    def leads(symbols: np.ndarray) -> np.ndarray:
+        """The row that each row leads to: C[symbol] plus the symbol's rank.  Rows
+        of one symbol keep their order."""
+        out = np.empty(len(symbols), np.int32)
+        out[np.argsort(symbols * np.int64(len(symbols)) + np.arange(len(symbols)))] = np.arange(len(symbols), dtype=np.int32)
+        return out
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(id, start in the left index, start in the right one, count) of all."""
@@ -161,31 +164,32 @@ class Index:
         ids = ids[ids != 0]
         return ids, self.below[ids], self.below[ids], self.below[ids + 1] - self.below[ids]
 
-    def extend(self, transform, here: np.ndarray, there: np.ndarray, counts: np.ndarray):
+    def extend(self, symbols: np.ndarray, here: np.ndarray, there: np.ndarray, counts: np.ndarray, onward: bool = False):
         """(owner, symbol, start here, start there, count) of every extension of
-        the intervals that start at ``here`` in the direction of ``transform``
-        and at ``there`` in the other one."""
-        symbols, leads = transform
+        the intervals that start at ``here`` in the index of ``symbols`` and at
+        ``there`` in the other one.  The start here, which only a further
+        extension to the same side needs, is 0 unless ``onward``."""
         first = np.cumsum(counts) - counts
         owner = np.repeat(np.arange(len(counts)), counts)
         at = np.arange(int(counts.sum())) - first[owner] + here[owner]
-        found = symbols[at]
-        order = np.argsort(owner * np.int64(self.most) + found)
-        own, sym = owner[order], found[order]
-        new = np.ones(len(own), bool)
-        new[1:] = (own[1:] != own[:-1]) | (sym[1:] != sym[:-1])
-        start = np.flatnonzero(new)
-        size = np.diff(np.append(start, len(own)))
-        lead = np.minimum.reduceat(leads[at[order]], start) if len(start) else leads[:0]
-        own, sym = own[start], sym[start].astype(np.int64)
+        key = owner * np.int64(self.most) + symbols[at]
+        if onward:
+            order = np.argsort(key)
+            at, key = at[order], key[order]
+        else:
+            key.sort()
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        size = np.diff(np.append(start, len(key)))
+        lead = np.minimum.reduceat(self.leads(symbols)[at], start) if onward and len(start) else np.zeros(len(start), np.int64)
+        own, sym = np.divmod(key[start], np.int64(self.most))
         words = sym != 0
         return tuple(v[words] for v in (own, sym, lead.astype(np.int64), there[own] + start - first[own], size))
 
-    def pairs(self):
+    def pairs(self, onward: bool = False):
         """(left id, right id, start in the left index, start in the right one,
         count) of all word pairs: right extensions of the words."""
         ids, left, right, counts = self.words()
-        own, sym, right, left, size = self.extend(self.forward, right, left, counts)
+        own, sym, right, left, size = self.extend(self.forward, right, left, counts, onward)
         return ids[own], sym, left, right, size
 
     def triples(self, pairs, kept: np.ndarray):
@@ -271,7 +275,18 @@ def bitmap_of(pairs: DataFrame) -> bytes:
 
 
 def pair_slot() -> Column:
-    return F.xxhash64(F.concat_ws("\n", "lang", "phrase")).bitwiseAND(F.lit((1 << BITS) - 1))
+    """A bit's place from the hashes of the two words: ``slots_of`` on columns."""
+    word = F.split("phrase", " ")
+    one, two = (F.xxhash64(F.concat_ws("\n", "lang", word[k])) for k in (0, 1))
+    return one.bitwiseXOR(F.shiftrightunsigned(two, 23)).bitwiseXOR(F.shiftleft(two, 5)).bitwiseAND(F.lit((1 << BITS) - 1))
+
+
+def slots_of(lang: str, words: list[bytes], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bitmap places of word pairs; each word is hashed once."""
+    head = f"{lang}\n".encode()
+    hashes = np.fromiter((xxhash.xxh64_intdigest(head + w, SPARK_SEED) for w in words), np.uint64, len(words))
+    one, two = hashes[x], hashes[y]
+    return ((one ^ (two >> np.uint64(23)) ^ (two << np.uint64(5))) & np.uint64((1 << BITS) - 1)).astype(np.int64)
 
 
 def triple_counts(docs: DataFrame, frequent_pairs: DataFrame) -> DataFrame:
@@ -279,10 +294,7 @@ def triple_counts(docs: DataFrame, frequent_pairs: DataFrame) -> DataFrame:
 
     def emit(lang, words, index, carried):
         pairs = index.pairs()
-        key, head = xxhash.xxh64_intdigest, f"{lang}\n".encode()
-        phrases = joined([words.take(pa.array(v)) for v in pairs[:2]])
-        slots = np.fromiter((key(head + p, SPARK_SEED) for p in phrases.to_pylist()), np.uint64, len(phrases))
-        slots = (slots & np.uint64((1 << BITS) - 1)).astype(np.int64)
+        slots = slots_of(lang, words.to_pylist(), *pairs[:2])
         kept = (bitmap.value[slots >> 5] >> (slots & 31).astype(np.uint32)) & 1 == 1
         *ids, f = index.triples(pairs, kept)
         yield [words.take(pa.array(i)) for i in ids], f

@@ -160,7 +160,7 @@ def test_intervals_extend_in_both_directions():
     index = phrases.Index(ids)
     grams = [Counter(tuple(ids[i:i + k]) for i in range(len(ids) - k + 1)) for k in (1, 2, 3)]
     grams = [{g: n for g, n in c.items() if 0 not in g} for c in grams]
-    x, y, left, right, n = index.pairs()
+    x, y, left, right, n = index.pairs(onward=True)
     assert dict(zip(zip(x.tolist(), y.tolist()), n.tolist())) == grams[1]
     every = np.ones(len(x), bool)
     a, b, c, f = index.triples((x, y, left, right, n), every)
@@ -170,10 +170,18 @@ def test_intervals_extend_in_both_directions():
     assert dict(zip(zip(x[own].tolist(), y[own].tolist(), sym.tolist()), f.tolist())) == grams[2]
     # pairs by the left give the same intervals
     w, wl, wr, wn = index.words()
-    own, sym, left2, right2, f = index.extend(index.backward, wl, wr, wn)
+    own, sym, left2, right2, f = index.extend(index.backward, wl, wr, wn, onward=True)
     assert {(s, w[o]): (p, q, k) for o, s, p, q, k in zip(own, sym, left2, right2, f)} == {(i, j): (p, q, k) for i, j, p, q, k in zip(x, y, left, right, n)}
 
 
+def test_pair_places_are_the_same_in_both_engines(spark):
+    words = [b"a", "é".encode(), b"long-word-of-many-letters", b"#"]
+    rows = [("en", f"{a.decode()} {b.decode()}", i, j) for i, a in enumerate(words) for j, b in enumerate(words)]
+    got = spark.createDataFrame(rows, "lang string, phrase string, i int, j int").select("i", "j", phrases.pair_slot().alias("slot")).collect()
+    want = phrases.slots_of("en", words, np.array([r.i for r in got]), np.array([r.j for r in got]))
+    assert [r.slot for r in got] == want.tolist() and len(set(want.tolist())) == 16
+
+
 def test_phrases_of_an_empty_table_and_of_a_very_long_text(spark):
     empty = spark.createDataFrame([], "doc_id long, lang string, text string")
     assert phrases.collocations(empty).count() == 0
