@@ -84,6 +84,20 @@ def append_columns(df: DataFrame, text: str, fields: list[StructField], compute)
     return df.mapInArrow(rows, schema)
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str):
+    """Jobs that run inside have these settings (dots written as two underscores)."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, most: int):
     """Jobs that run inside send at most ``most`` rows to Python at once: rows of

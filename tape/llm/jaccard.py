@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, ascii_lower, flagged, fresh, id_bitmap, staged
+from .common import arrow_rows, ascii_lower, flagged, fresh, id_bitmap, settings, staged
 from .components import connected_components
 from .texts import SPACE, chunks, mix, runs, shingle_hashes, word_hashes
 
@@ -108,12 +108,14 @@ def frequency_sketch(texts: DataFrame, size: int) -> np.ndarray:
                 total += np.bincount((tokens & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
         blocks = total.reshape(-1, width)
         for k in np.flatnonzero(blocks.any(1)).tolist():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([blocks[k].tobytes()], pa.binary())], names=["block", "counts"])
+            small = blocks[k].astype(np.min_scalar_type(int(blocks[k].max())))  # as many bytes as the counts need
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([small.tobytes()], pa.binary())], names=["block", "counts"])
 
     def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         total = np.zeros(width, np.int64)
         for raw in table.column("counts"):
-            total += np.frombuffer(raw.as_buffer(), np.int64)
+            data = raw.as_buffer()
+            total += np.frombuffer(data, f"u{data.size // width}").astype(np.int64)
         return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["block", "counts"])
 
     found = texts.mapInArrow(count, "block int, counts binary").groupBy("block").applyInArrow(add, "block int, counts binary").toArrow()
@@ -367,7 +369,10 @@ def crossing_pairs(shared: DataFrame, components: DataFrame, centres: DataFrame,
 def grouped(docs: DataFrame, size: int, percent: int, key: str, text: str) -> DataFrame:
     """(doc_id, row, n, root) of every document: those that links reach from
     each other have one root, null for the empty set."""
-    with arrow_rows(docs.sparkSession, ROWS_AT_ONCE):
+    # nothing here has a proven size but the bitmaps, which are broadcast by name:
+    # no other side is, so that the plan is the same at every size
+    never = settings(docs.sparkSession, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    with never, arrow_rows(docs.sparkSession, ROWS_AT_ONCE):
         return _grouped(docs, size, percent, key, text)
 
 
