@@ -17,19 +17,31 @@ from tape.llm.quality import good_documents
 from tape.llm.sharding import shard_documents
 
 
+#: Rows of whole texts that a stage sends to Python at once: the default of 10,000
+#: holds some 64 MB of them several times over, beside a full heap.
+ROWS_AT_ONCE = 1000
+
+
+def bounded(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weak-label classifier keeps."""
+    bounded(spark)
     return good_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five words, 0.8): that of the
     smallest id."""
+    bounded(spark)
     return one_of_each(docs, size=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window of ten words."""
+    bounded(spark)
     return without_contamination(docs, table(spark, sf_dir, "benchmark"), size=10)
 
 
