@@ -123,7 +123,7 @@ def q_dq_stale(spark, sf):
 
 
 def q_dq_stale_blocked(spark, sf):
-    """Stale check on the bounded-partition plan (small blocks so the halo is exercised)."""
+    """Stale check with small blocks, so that rows are copied between blocks."""
     return quality.stale_quotes(raw_quotes(spark, sf), tie=TIE, block_rows=50,
                                 as_of=AS_OF).drop("detected_at")
 
@@ -139,7 +139,7 @@ def q_dq_outlier(spark, sf):
 
 
 def q_dq_outlier_halo(spark, sf):
-    """Outlier check on the blocked plan: 1000-row frames over blocks of 1000 + 999 halo rows."""
+    """Outlier check with small blocks: 1000-row frames over blocks of 1000 + 999 halo rows."""
     return (quality.price_outliers(raw_trades(spark, sf), tie=TIE, block_rows=1000, as_of=AS_OF)
             .select(*FINDING, "trade_price"))
 
@@ -533,8 +533,8 @@ def q_asof_trade_quote(spark, sf):
 
 
 def q_asof_trade_quote_bucketed(spark, sf):
-    """The as-of join forced onto its bucketed scale plan (per symbol-minute
-    windows plus the carry table)."""
+    """The as-of join with the buckets' width given by the caller (here a minute,
+    which is the default too)."""
     t = raw_trades(spark, sf).select("symbol", "timestamp", "tick_id", "trade_price", "trade_size")
     q = raw_quotes(spark, sf).select("symbol", "timestamp", "tick_id", "bid_price", "ask_price")
     return asof.prevailing(t, q, ["bid_price", "ask_price"], right_tie=TIE, strict=True, coarse_seconds=60)

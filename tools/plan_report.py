@@ -15,7 +15,8 @@ from tape.plans.catalog import QUERIES  # noqa: E402
 from tape.session import get_session  # noqa: E402
 
 # queries whose function writes files or runs a stream before returning
-SIDE_EFFECTS = {"csv_roundtrip", "book_csv_roundtrip", "partitioned_load", "batch_run_daily_summary",
+SIDE_EFFECTS = {"csv_roundtrip", "book_csv_roundtrip", "partitioned_load", "load_quarantine", "dq_scan_slices", "chk_not_null",
+                "spread_sketches", "daily_summary_declared", "symbols_by_view", "dq_outlier_range", *(k for k in QUERIES if k.startswith("batch_run")),
                 "stream_vwap_bars", "stream_volume_profile", "stream_dedup", "stream_stale", "stream_checks_sink"}
 
 
