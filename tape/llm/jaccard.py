@@ -251,17 +251,16 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets_of, percent: int, name:
 def one_of_class(found: DataFrame, classes: DataFrame) -> DataFrame:
     """(class, n, first) of each class once.  Only classes that several tasks
     have met are shuffled with their tokens."""
-    again = id_bitmap(classes.where("carriers > 1"), "class")
+    again = staged(id_bitmap(classes.where("carriers > 1"), "class"), "jaccard-again")
     rows = flagged(found.where("first is not null").select("class", "n", "first"), F.col("class"), again, "again")
     alone = rows.where("not again").drop("again")
     return alone.unionByName(rows.where("again").groupBy("class").agg(F.first("n").alias("n"), F.first("first").alias("first")))
 
 
-def common_tokens(firsts: DataFrame) -> DataFrame:
+def common_tokens(firsts: DataFrame, total: int) -> DataFrame:
     """(token, df): the prefix tokens of two classes or more, and of how many.
-    The tokens are dealt by hash to buckets of about ``BUCKET_TOKENS`` and go
-    there packed, each once from a batch with its count."""
-    total = firsts.agg(F.sum(F.size("first").cast("long"))).first()[0] or 0
+    The tokens (``total`` or a little less) are dealt by hash to buckets of about
+    ``BUCKET_TOKENS`` and go there packed, each once from a batch with its count."""
     buckets = 1 + total // BUCKET_TOKENS
 
     def deal(batches):
@@ -305,7 +304,8 @@ def shared_tokens(found: DataFrame, classes: DataFrame) -> DataFrame:
     prefix tokens from the most frequent one down (one global order), and how
     common the class's prefix is."""
     firsts = one_of_class(found, classes)
-    common = staged(common_tokens(firsts), "jaccard-common")
+    total = found.agg(F.sum(F.when(F.col("first").isNotNull(), F.size("first").cast("long")))).first()[0] or 0
+    common = staged(common_tokens(firsts, total), "jaccard-common")
     bitmap = found.sparkSession.sparkContext.broadcast(token_bitmap(common))
 
     def keep(batches):
@@ -325,7 +325,9 @@ def shared_tokens(found: DataFrame, classes: DataFrame) -> DataFrame:
     rows = firsts.select("class", "n", "first").mapInArrow(keep, "token long, class long, n long, prefix long").join(common, "token")
     of = Window.partitionBy("class")
     down = of.orderBy(F.desc("df"), F.desc("token"))
-    return staged(rows.withColumn("rank", F.row_number().over(down)).withColumn("hub", F.sum("df").over(of) / F.col("prefix")), "jaccard-shared")
+    shared = staged(rows.withColumn("rank", F.row_number().over(down)).withColumn("hub", F.sum("df").over(of) / F.col("prefix")), "jaccard-shared")
+    bitmap.destroy()
+    return shared
 
 
 def may_link(percent: int):
