@@ -38,3 +38,16 @@ def test_report_time_range_prunes_day_partitions(spark, tmp_path):
     assert "PushedFilters: [" in plan and "In(symbol, [click_0,view_1])" in plan
     got = rows(r)
     assert got and all(dt.date(2024, 1, 10) <= x["time"].date() <= dt.date(2024, 1, 12) for x in got)
+
+
+def test_sizes_of_files_plan_no_broadcast(spark, tmp_path):
+    """Sorted ticks with few values are small in Parquet, whatever their number: the
+    ranked rows must not be broadcast, only what is measured as small."""
+    from pyspark.sql import functions as F
+    from tape.operators import windows
+    path = str(tmp_path / "ticks")
+    (spark.range(20_000).select(F.lit("A").alias("symbol"), F.timestamp_micros((F.col("id") / 1000).cast("long") * 60_000_000).alias("timestamp"),
+                                F.col("id").alias("tick_id")).write.parquet(path))
+    x = windows.previous(spark.read.parquet(path), "tick_id", ["symbol"], ["timestamp", "tick_id"], "before", block_rows=5000)
+    assert "Broadcast" not in spark._jvm.PythonSQLUtils.explainString(x._jdf.queryExecution(), "simple")
+    assert x.where("before = tick_id - 1 or (before is null and tick_id = 0)").count() == 20_000
